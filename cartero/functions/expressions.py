@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,32 +35,40 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(packed)))
 
 
-def string_map(table: Mapping[str, str]) -> Column:
-    """A literal map column for a fixed word table."""
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+_LITERALS: dict[tuple, tuple[list[Column], Column]] = {}
 
 
-def lookup(table: Mapping[str, str]) -> Callable[[Column], Column]:
+def table_literals(table: Mapping[str, str]) -> tuple[list[Column], Column]:
+    """(keys, map) of a fixed word table as literals, built once per application."""
+    context = SparkContext._active_spark_context
+    key = (context and context.applicationId, *table.items())
+    if key not in _LITERALS:
+        keys = [F.lit(k) for k in table]
+        pairs = [c for k, v in zip(keys, table.values()) for c in (k, F.lit(v))]
+        _LITERALS[key] = keys, F.create_map(*pairs)
+    return _LITERALS[key]
+
+
+def lookup(table: Mapping[str, str], fold_case: bool = False) -> Callable[[Column], Column]:
     """Word -> table value, or the word itself.
 
-    Map lookup compares keys one by one, so the table is split by word length
-    and only keys of the right length are compared.
+    Map lookup compares keys one by one; the hashed membership test in front
+    keeps it to the words that are in the table.
     """
-    by_length: dict[int, dict[str, str]] = {}
-    for key, value in table.items():
-        by_length.setdefault(len(key), {})[key] = value
+    keys, values = table_literals(table)
 
     def replace(word: Column) -> Column:
-        size = F.length(word)
-        out = None
-        for n in sorted(by_length):
-            hit = F.try_element_at(string_map(by_length[n]), word)
-            out = F.when(size == n, hit) if out is None else out.when(size == n, hit)
-        return F.coalesce(out, word)
+        key = F.lower(word) if fold_case else word
+        return F.when(key.isin(keys), F.try_element_at(values, key)).otherwise(word)
 
     return replace
 
 
+def contains_any(text: Column, needles: Iterable[str]) -> Column:
+    """Plain substring tests, much cheaper than one regular expression."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(n)) for n in needles])
+
+
 def text_key(text: Column) -> Column:
     """128-bit key of a text, so that shuffles carry 16 bytes and not the text."""
     return F.unhex(F.md5(text))

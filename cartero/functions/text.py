@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cartero.functions import lexicons as lx
-from cartero.functions.expressions import let, lookup
+from cartero.functions.expressions import contains_any, let, lookup
 
 # FIXED VALUES: the five signal rules, applied in this order.  (?U) makes the
 # JVM classes Unicode-aware.
@@ -20,6 +20,10 @@ SIGNAL_RULES = [
     (r"!+", " tokenexclam "),
     (r"(?U)\d+", " tokennumero "),
 ]
+# What a lower-cased text must hold for a rule to match ("ſ" folds to "s").
+SIGNAL_HINTS = [
+    ["://", "www."], ["@"], ["$", "€", "£", "usd", "eur", "dolares", "dollars", "pesos", "ſ"], ["!"], None,
+]
 CLEAN_ALPHABET = "a-z0-9áéíóúñü_"
 
 MIN_CHARS = 5            # texts must be longer than this
@@ -56,15 +60,30 @@ def words(text: Column) -> Column:
 
 
 def mark_signals(text: Column) -> Column:
-    """Replace links, addresses, money, exclamations and numbers by signal tokens."""
-    for pattern, token in SIGNAL_RULES:
-        text = F.regexp_replace(text, pattern, token)
-    return text
+    """Replace links, addresses, money, exclamations and numbers by signal tokens.
+
+    A rule runs only on texts that hold one of its hints; replacements of
+    earlier rules bring in no hint of a later one.
+    """
+
+    def apply(low: Column) -> Column:
+        out = text
+        for (pattern, token), hints in zip(SIGNAL_RULES, SIGNAL_HINTS):
+            out = _rule(out, low, pattern, token, hints)
+        return out
+
+    return let(F.lower(text), apply)
+
+
+def _rule(text: Column, low: Column, pattern: str, token: str, hints: list[str] | None) -> Column:
+    if hints is None:
+        return F.regexp_replace(text, pattern, token)
+    return let(text, lambda t: F.when(contains_any(low, hints), F.regexp_replace(t, pattern, token)).otherwise(t))
 
 
 def normalise_charset(text: Column) -> Column:
-    """Lower-case, keep the bilingual alphabet, collapse blanks."""
-    kept = F.regexp_replace(F.lower(text), f"[^{CLEAN_ALPHABET}]+", " ")
+    """Lower-case, keep the bilingual alphabet, collapse blanks (single blanks are left untouched)."""
+    kept = F.regexp_replace(F.lower(text), f"[^{CLEAN_ALPHABET}]{{2,}}|[^{CLEAN_ALPHABET} ]", " ")
     return F.trim(kept)
 
 
@@ -74,32 +93,21 @@ def _replace_blank_separated(text: Column, table: Mapping[str, str]) -> Column:
 
 def _replace_words(text: Column, table: Mapping[str, str], fold_case: bool = False) -> Column:
     """Whole-word replacement in raw text; everything between words is kept."""
-    find = lookup(table)
-
-    def one(piece: Column) -> Column:
-        if not fold_case:
-            return find(piece)
-        low = F.lower(piece)
-        return let(low, lambda w: let(find(w), lambda r: F.when(r == w, piece).otherwise(r)))
-
     pieces = F.regexp_extract_all(text, F.lit(r"(?U)(\w+|\W+)"), 1)
-    return F.array_join(F.transform(pieces, one), "")
-
-
-def _alternation(phrases: list[str]) -> str:
-    return r"\b(?:" + "|".join(re.escape(p).replace(r"\ ", " ") for p in phrases) + r")\b"
+    return F.array_join(F.transform(pieces, lookup(table, fold_case)), "")
 
 
 def _replace_phrases(text: Column, table: Mapping[str, str], fold_case: bool) -> Column:
-    """Longest phrase first; texts without any phrase are scanned once only."""
+    """Longest phrase first; texts without any phrase skip the replacements."""
     flags = "(?iU)" if fold_case else "(?U)"
-    ordered = sorted(table, key=len, reverse=True)
 
     def chain(bound: Column) -> Column:
         out = bound
-        for phrase in ordered:
-            out = F.regexp_replace(out, flags + _alternation([phrase]), table[phrase])
-        return F.when(bound.rlike(flags + _alternation(ordered)), out).otherwise(bound)
+        for phrase in sorted(table, key=len, reverse=True):
+            out = F.regexp_replace(out, rf"{flags}\b{phrase}\b", table[phrase])
+        hints = [*table, "ſ"] if fold_case else list(table)
+        low = F.lower(bound) if fold_case else bound
+        return F.when(let(low, lambda t: contains_any(t, hints)), out).otherwise(bound)
 
     return let(text, chain)
 
@@ -153,7 +161,7 @@ def post_normalise(text: Column) -> Column:
         out = bound
         for second, whole in lx.SIGNAL_TOKEN_GLUE:
             out = F.regexp_replace(out, rf"(?iU)\btoken\s*{second}\b", whole)
-        return F.when(bound.rlike(r"(?i)token"), out).otherwise(bound)
+        return F.when(F.contains(F.lower(bound), F.lit("token")), out).otherwise(bound)
 
     return let(worded, glue)
 
@@ -246,21 +254,21 @@ def term_counts(terms: Column) -> Column:
             F.get(ordered, p).alias("term"),
             (F.coalesce(F.get(s, k + 1), n) - p).alias("cnt"))))
 
-    return let(F.array_sort(terms), runs)
+    return let(F.sort_array(terms), runs)
 
 
 def char_grams(text: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
     """Character n-grams of a (short) text."""
 
+    def of_size(bound: Column, n: int) -> Column:
+        last = F.length(bound) - (n - 1)
+        starts = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))
+        return F.when(last >= 1, F.transform(
+            starts, lambda i: F.substring(bound, i, F.lit(n)))).otherwise(
+                F.array().cast("array<string>"))
+
     def grams(bound: Column) -> Column:
-        parts = []
-        for n in sizes:
-            last = F.length(bound) - (n - 1)
-            parts.append(F.when(last >= 1, F.transform(
-                F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                lambda i, n=n: F.substring(bound, i, F.lit(n)))).otherwise(
-                    F.array().cast("array<string>")))
-        return F.concat(*parts)
+        return F.concat(*[of_size(bound, n) for n in sizes])
 
     return let(text, grams)
 

@@ -62,8 +62,8 @@ def certainty(df: DataFrame) -> DataFrame:
 
 
 def predict_batch(routed: DataFrame, model: bayes.NaiveBayes, thresholds: DataFrame,
-                  explain: bool = True, decimals: int = 4) -> DataFrame:
-    """The full prediction record of routed mails.
+                  explain: bool = True) -> DataFrame:
+    """The full prediction record of routed mails; probabilities keep nine decimals.
 
     ``thresholds`` has one row per model.  Scores and explanations come back by
     mail id; the weights are the only broadcast side.
@@ -72,8 +72,7 @@ def predict_batch(routed: DataFrame, model: bayes.NaiveBayes, thresholds: DataFr
     out = routed.join(scored, [MODEL, ID]).join(
         F.broadcast(thresholds.select(MODEL, "umbral")), MODEL)
     out = out.withColumn("p_spam", F.round("p_spam", 9))
-    out = certainty(out).withColumn("p_ham", F.round(1.0 - F.col("p_spam"), decimals)).withColumn(
-        "p_spam", F.round("p_spam", decimals))
+    out = certainty(out).withColumn("p_ham", F.round(1.0 - F.col("p_spam"), 9))
     if explain:
         why = bayes.explain(routed, "texto_procesado", bayes.term_weights(model), model.max_rows)
         out = out.join(why, [MODEL, ID]).withColumn(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartero.functions.expressions import hash_order
+from cartero.sources.mail import spread
 
 LANGS = ("de", "en", "es", "fr")
 
@@ -20,8 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(message_id, text, lang, source)."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("message_id"), "text", "lang", "source")
+    return spread(table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("message_id"), "text", "lang", "source"))
 
 
 def raw_mail(spark: SparkSession, sf_dir: str) -> DataFrame:

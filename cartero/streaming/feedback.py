@@ -110,12 +110,14 @@ def learn(events: DataFrame, state: ModelState, log_path: str, checkpoint: str)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.persist()      # read several times below; lost blocks are recomputed
-        features = taught_features(rows)
+        # Both are read several times below; lost blocks are computed again.
+        rows = batch.persist()
+        features = taught_features(rows).persist()
         after = state.teach(spark, batch_id, features)
         p = bayes.score(features, after).select(F.col(ID).alias("seq"), F.col("p_spam").alias("p_posterior"))
         records = history.feedback_records(rows.join(p, "seq"))
         records.write.mode("overwrite").json(f"{log_path}/batch={batch_id}")
+        features.unpersist()
         rows.unpersist()
 
     return (events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

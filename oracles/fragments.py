@@ -39,6 +39,11 @@ def h(ident: str, seed="42") -> str:
     return f"('0x' || substr(md5('{seed}:' || CAST({ident} AS VARCHAR)), 1, 8))::BIGINT"
 
 
+def half_up(e: str, n: int) -> str:
+    """Round half up on the decimal form of a double."""
+    return f"CAST(round(CAST(CAST({e} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
+
+
 def strip(e: str) -> str:
     return rf"regexp_replace({e}, '^\s+|\s+$', '', 'g')"
 
@@ -105,7 +110,7 @@ def pack(e: str, limit: int) -> str:
             f"WHEN length(a.o) + 1 + length(x) <= {limit} THEN {{'d': a.d, 'o': a.o || ' ' || x}} "
             f"ELSE {{'d': list_append(a.d, a.o), 'o': x}} END, "
             f"{{'d': CAST([] AS VARCHAR[]), 'o': CAST(NULL AS VARCHAR)}})")
-    return f"list_transform([{fold}], lambda r: CASE WHEN r.o IS NULL THEN r.d ELSE list_append(r.d, r.o) END)[1]"
+    return f"list_transform([{fold}], lambda pk: CASE WHEN pk.o IS NULL THEN pk.d ELSE list_append(pk.d, pk.o) END)[1]"
 
 
 def segment(e: str, limit: int = 500) -> str:

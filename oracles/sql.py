@@ -204,8 +204,8 @@ CTES["fr"] = f"""
 SELECT *, printf('%.1f%%', antes) AS porcentaje_antes, printf('%.1f%%', despues) AS porcentaje_despues,
        CASE WHEN delta >= 0 THEN '+' ELSE '' END || printf('%.1f%%', delta + 0e0) AS cambio_delta, pred_prev = etiqueta_ensenada AS era_correcto,
        CASE WHEN length(txt) > 120 THEN substr(txt, 1, 120) || '...' ELSE txt END AS texto_resumen
-FROM (SELECT *, round(despues - antes, 1) AS delta FROM (
-  SELECT *, {f.strip('texto')} AS txt, round(p_spam * 100e0, 1) AS antes, round(p_posterior * 100e0, 1) AS despues,
+FROM (SELECT *, {f.half_up('despues - antes', 1)} AS delta FROM (
+  SELECT *, {f.strip('texto')} AS txt, {f.half_up('p_spam * 100e0', 1)} AS antes, {f.half_up('p_posterior * 100e0', 1)} AS despues,
          CASE label WHEN 1 THEN 'SPAM' ELSE 'HAM' END AS etiqueta_ensenada FROM fb)) WHERE txt <> ''"""
 CTES["hg"] = """
 SELECT txt, count(*) AS veces, min(seq) AS primero, max(seq) AS ultimo, max_by(timestamp, seq) AS timestamp, min_by(timestamp, seq) AS primera_fecha,
@@ -390,7 +390,7 @@ BODY["pool_validation"] = "SELECT message_id, CASE WHEN es_incierto THEN 'ZONA G
 BODY["catalog_filter"] = """SELECT message_id, 'Camuflado' AS subcategoria, lang AS idioma, substr(source || ' / ' || text, 1, 35) AS categoria, substr(text, 1, 35) AS asunto
   FROM docs WHERE message_id % 3 = 0"""
 BODY["catalog_pick"] = f"SELECT message_id FROM docs ORDER BY {f.h('message_id')}, message_id LIMIT 1"
-BODY["uncertain_archive"] = """SELECT '2024-01-31 00:00:00' AS timestamp, upper(lang) AS idioma, printf('%.3f', round(p, 4)) AS p_spam, printf('%.2f', umbral) AS umbral, motivo,
+BODY["uncertain_archive"] = """SELECT '2024-01-31 00:00:00' AS timestamp, upper(lang) AS idioma, printf('%.3f', p) AS p_spam, printf('%.2f', umbral) AS umbral, motivo,
   md5(text) AS clave, texto_procesado FROM pr WHERE es_incierto"""
 
 BODY["feedback_records"] = """SELECT *, md5(txt) AS clave, upper(x) AS idioma, pred_prev AS prediccion_previa, p_spam AS probabilidad_spam_previa,
