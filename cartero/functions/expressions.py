@@ -49,6 +49,11 @@ def table_literals(table: Mapping[str, str]) -> tuple[list[Column], Column]:
     return _LITERALS[key]
 
 
+def literals(words: Iterable[str]) -> list[Column]:
+    """A fixed word list as literals for ``isin``."""
+    return table_literals({w: w for w in words})[0]
+
+
 def lookup(table: Mapping[str, str], fold_case: bool = False) -> Callable[[Column], Column]:
     """Word -> table value, or the word itself.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cartero.functions import lexicons as lx
-from cartero.functions.expressions import contains_any, let, lookup
+from cartero.functions.expressions import contains_any, let, literals, lookup
 
 # FIXED VALUES: the five signal rules, applied in this order.  (?U) makes the
 # JVM classes Unicode-aware.
@@ -219,7 +219,7 @@ def segment(text: Column, limit: int = FRAGMENT_CHARS) -> Column:
 
 def model_tokens(clean: Column, stop_words: list[str]) -> Column:
     """Tokens of two or more word characters of a cleaned text, stop words removed."""
-    stop = sorted({w for w in stop_words if re.fullmatch(r"\w\w+", w)})
+    stop = literals(sorted({w for w in stop_words if re.fullmatch(r"\w\w+", w)}))
     tokens = F.split(clean, " ")
     return F.filter(tokens, lambda t: (F.length(t) >= 2) & ~t.isin(stop))
 

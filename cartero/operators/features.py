@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
 from cartero.functions.expressions import bounded_broadcast, compute_once
+from cartero.operators.ranking import top_per_group
 
 MODEL = "modelo"
 ID = "message_id"
@@ -45,16 +46,11 @@ def long_counts(features: DataFrame, *carry: str) -> DataFrame:
 
 
 def vocabulary(features: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(modelo, term, idf, rango): most frequent terms, ties by term.
-
-    Rank is over (modelo); the constant bound on it makes every task drop all
-    but its own top terms before the shuffle.
-    """
+    """(modelo, term, total, df, idf, rango): most frequent terms, ties by term."""
     n = features.groupBy(MODEL).agg(F.count(F.lit(1)).alias("_n"))
     freq = long_counts(features).groupBy(MODEL, "term").agg(
         F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("df"))
-    rank = F.row_number().over(Window.partitionBy(MODEL).orderBy(F.desc("total"), "term"))
-    top = freq.withColumn("rango", rank).filter(F.col("rango") <= max_features)
+    top = top_per_group(freq, MODEL, "total", "term", max_features)
     idf = F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0
     return top.join(n, MODEL).select(MODEL, "term", "total", "df", idf.alias("idf"), "rango")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
 from cartero.functions.expressions import bounded_broadcast, compute_once
+from cartero.operators.ranking import top_per_group
 
 ID = "message_id"
 UNKNOWN = "desconocido"
@@ -62,8 +63,7 @@ def train_languages(df: DataFrame, text: str = "text", lang: str = "lang",
     grams = df.select(F.col(lang).alias("idioma"), F.explode(
         tx.char_grams(tx.language_window(F.col(text), window), sizes)).alias("g"))
     counts = grams.groupBy("idioma", "g").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("idioma").orderBy(F.desc("n"), "g"))
-    top = counts.withColumn("r", rank).filter(F.col("r") <= profile_size).drop("r")
+    top = top_per_group(counts, "idioma", "n", "g", profile_size)
     if languages is None:
         languages = tuple(sorted(r[0] for r in df.select(lang).distinct().collect()))
     wide = top.groupBy("g").agg(*[
