@@ -11,6 +11,7 @@ from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
 from cartero.functions.expressions import bounded_broadcast, compute_once
 from cartero.operators.ranking import top_per_group
+from cartero.sources.mail import write_stage
 
 ID = "message_id"
 UNKNOWN = "desconocido"
@@ -66,8 +67,8 @@ def train_languages(df: DataFrame, text: str = "text", lang: str = "lang",
     top = top_per_group(counts, "idioma", "n", "g", profile_size)
     if languages is None:
         languages = tuple(sorted(r[0] for r in df.select(lang).distinct().collect()))
-    wide = top.groupBy("g").agg(*[
-        F.sum(F.when(F.col("idioma") == x, F.col("n")).otherwise(0)).alias(x) for x in languages])
+    wide = write_stage(top.groupBy("g").agg(*[
+        F.sum(F.when(F.col("idioma") == x, F.col("n")).otherwise(0)).alias(x) for x in languages]), "profile")
     totals = wide.agg(F.count(F.lit(1)).alias("_v"), *[F.sum(x).alias(f"_{x}") for x in languages])
     floor = totals.select(*[
         (F.log(F.lit(smoothing)) - F.log(F.col(f"_{x}") + smoothing * F.col("_v"))).alias(x)
@@ -114,6 +115,6 @@ def top_languages(census: DataFrame, k: int = 8) -> DataFrame:
 
 
 def nlp_corpus(df: DataFrame, model: LanguageModel) -> DataFrame:
-    """The whole normalisation stage on a clean corpus."""
+    """The whole normalisation stage on a (written) clean corpus, which it reads twice."""
     lang = detect_language(df, model, text="Message")
     return normalise(df.join(lang, ID))

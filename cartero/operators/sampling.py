@@ -34,18 +34,20 @@ def cut_points(df: DataFrame, strata: Column, targets: DataFrame, ident: str = I
 
     ``targets`` has (_c, _cut, _k).  Ranks are exact: rows are counted per
     (class, bucket), counts are prefix-summed, and only the buckets that hold a
-    target rank are sorted (1/4096 of a class each, whatever its share).
+    target rank are sorted (1/4096 of a class each, whatever its share).  The
+    broadcast sides hold a row per class and cut; the strata are the classes of
+    a labelled corpus, so these are a handful of rows.
     """
     pos = _positions(df, strata, ident, seed)
     sizes = pos.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     sizes = sizes.withColumn("_end", F.sum("_n").over(run))
-    edge = sizes.join(targets, "_c").filter(
+    edge = sizes.join(F.broadcast(targets), "_c").filter(
         (F.col("_k") <= F.col("_end")) & (F.col("_k") > F.col("_end") - F.col("_n"))
     ).select("_c", "_b", "_cut", (F.col("_k") - F.col("_end") + F.col("_n")).alias("_r"))
-    ranked = pos.join(edge.select("_c", "_b").distinct(), ["_c", "_b"], "left_semi").withColumn(
+    ranked = pos.join(F.broadcast(edge.select("_c", "_b").distinct()), ["_c", "_b"], "left_semi").withColumn(
         "_r", F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", "_id")))
-    return ranked.join(edge, ["_c", "_b", "_r"]).select(
+    return ranked.join(F.broadcast(edge), ["_c", "_b", "_r"]).select(
         "_c", "_cut", F.struct("_h", "_id").alias("_at"))
 
 
@@ -54,7 +56,7 @@ def _with_cuts(df: DataFrame, strata: Column, targets: DataFrame, ident: str, se
     cuts = cut_points(df, strata, targets, ident, seed).groupBy("_c").agg(
         F.collect_list(F.struct("_cut", "_at")).alias("_pts"))
     here = F.struct(hash_order(F.col(ident), seed).alias("_h"), F.col(ident).alias("_id"))
-    return (df.withColumn("_c", strata).join(cuts, "_c", "left")
+    return (df.withColumn("_c", strata).join(F.broadcast(cuts), "_c", "left")
             .withColumn("_past", F.size(F.filter("_pts", lambda p: here > p["_at"])))
             .drop("_pts"))
 

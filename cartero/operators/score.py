@@ -9,6 +9,7 @@ from cartero.functions import text as tx
 from cartero.functions.expressions import compute_once, hash_order
 from cartero.operators import bayes
 from cartero.operators.features import ID, MODEL, stop_words, terms
+from cartero.sources.mail import write_stage
 
 MIN_TOKENS = 4        # up to this many tokens a mail says too little
 GREY_MARGIN = 0.15    # closer to the threshold than this is a grey zone
@@ -65,9 +66,11 @@ def predict_batch(routed: DataFrame, model: bayes.NaiveBayes, thresholds: DataFr
                   explain: bool = True) -> DataFrame:
     """The full prediction record of routed mails; probabilities keep nine decimals.
 
-    ``thresholds`` has one row per model.  Scores and explanations come back by
-    mail id; the weights are the only broadcast side.
+    ``thresholds`` has one row per model.  The routed mails are written once, as
+    scores, explanations and the record itself all read them; scores and
+    explanations come back by mail id.
     """
+    routed = write_stage(routed, "routed")
     scored = bayes.score(routed_features(routed), model)
     out = routed.join(scored, [MODEL, ID]).join(
         F.broadcast(thresholds.select(MODEL, "umbral")), MODEL)

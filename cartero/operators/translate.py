@@ -91,9 +91,12 @@ def safe_translate(df: DataFrame, translated: str = "traducido", text: str = "cl
 
 
 def latest_prior(prior: DataFrame, order: str, ident: str = ID) -> DataFrame:
-    """Last prior translation per key."""
-    best = prior.groupBy(ident).agg(F.max_by("texto_es", order).alias("texto_es"))
-    return best
+    """Last prior translation per key; ``order`` tells the versions of a key apart.
+
+    Only key and order number are aggregated; texts are fetched afterwards.
+    """
+    newest = prior.groupBy(ident).agg(F.max(order).alias(order))
+    return prior.join(newest, [ident, order], "left_semi").select(ident, "texto_es")
 
 
 def incremental_patch(df: DataFrame, prior: DataFrame, text: str = "clean_en", ident: str = ID,

@@ -295,7 +295,8 @@ def top_languages(spark, d):
 
 @query("message_id:l Category:s idioma_detectado:s long_clean:l num_palabras_clean:l clave:s")
 def nlp_corpus(spark, d):
-    out = normalise.nlp_corpus(clean.clean_corpus(raw_mail(spark, d)), _language_model(spark, d))
+    corpus = mail.write_stage(clean.clean_corpus(raw_mail(spark, d)), "clean")
+    out = normalise.nlp_corpus(corpus, _language_model(spark, d))
     return out.withColumn("clave", F.md5("clean_en"))
 
 
@@ -516,6 +517,11 @@ def lr_train_score(spark, d):
     return evaluate.evaluate(bayes.predict(out.withColumn("p_spam", F.round("p_spam", 9)), 0.5))
 
 
+@query("c:d1 f1_medio:d4 mejor:b")
+def lr_grid_search(spark, d):
+    return selection.logistic_grid(labelled_nlp(spark, d), "clean_en", features.stop_words("en"))
+
+
 @query("alpha:d1 max_features:l ngram:l f1_medio:d6 mejor:b")
 def grid_search(spark, d):
     return selection.grid_search(labelled_nlp(spark, d), "clean_en", features.stop_words("en"))

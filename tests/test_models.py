@@ -153,6 +153,13 @@ def test_logistic_regression_separates(spark, feats):
     assert logistic.coefficients(model, vocab).count() == vocab.count()
 
 
+def test_logistic_grid(spark):
+    df = spark.createDataFrame(corpus(60), "message_id long, clean_en string, Label_Code int")
+    rows = selection.logistic_grid(df, "clean_en", STOP, [0.01, 4.0], 30, 2).collect()
+    got = {r.c: (r.f1_medio, r.mejor) for r in rows}
+    assert got[4.0][1] and got[4.0][0] > 0.8 and not got[0.01][1]
+
+
 def test_explanation(spark):
     weights = spark.createDataFrame([("m", "win", 2.0), ("m", "win cash", 1.5), ("m", "office", -1.0)], "modelo string, term string, peso double")
     mails = spark.createDataFrame([("m", 1, "Win cash, win office!"), ("m", 2, "")], "modelo string, message_id long, t string")
