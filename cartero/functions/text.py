@@ -26,6 +26,10 @@ SIGNAL_HINTS = [
 ]
 CLEAN_ALPHABET = "a-z0-9áéíóúñü_"
 
+# FIXED VALUE: the characters that count as white space at the ends of a text.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
 MIN_CHARS = 5            # texts must be longer than this
 MAX_CHARS = 10_000       # longer mails are cut here
 LANGUAGE_WINDOW = 150    # characters looked at by the batch language step
@@ -37,8 +41,8 @@ CATALOGUE_CHARS = 35     # catalogue listing
 
 
 def strip(text: Column) -> Column:
-    """Strip any white space (``trim`` strips blanks only)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Strip any white space; only the ends of the text are looked at."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def sanitise(text: Column) -> Column:
