@@ -6,7 +6,6 @@ fold, grid cell), so one set of jobs trains or scores all of them.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +20,8 @@ MAX_FEATURES = 20_000
 
 
 def stop_words(language: str) -> list[str]:
-    """English: the list shipped with Spark ML; Spanish: the fixed list of the domain."""
-    if language == "es":
-        return list(lx.STOP_WORDS_ES)
-    return StopWordsRemover.loadDefaultStopWords("english")
+    """The fixed list of the vectoriser for English, of the domain for Spanish."""
+    return list(lx.STOP_WORDS_ES if language == "es" else lx.STOP_WORDS_EN)
 
 
 def terms(clean: Column, stop: list[str], ngram: int) -> Column:

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
 
 from cartero.functions import lexicons as lx
 
@@ -27,14 +24,6 @@ def pick(values, ident="message_id") -> str:
     return f"{sql_list(values)}[CAST({ident} % {len(values)} AS INT) + 1]"
 
 
-def english_stop_words() -> list[str]:
-    """The English list shipped with Spark ML, read from the installed jar."""
-    import pyspark
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-
-
 def h(ident: str, seed="42") -> str:
     return f"('0x' || substr(md5('{seed}:' || CAST({ident} AS VARCHAR)), 1, 8))::BIGINT"
 

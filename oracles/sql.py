@@ -9,7 +9,7 @@ from cartero.operators.score import GREY_ZONE, ROUTE_EN, ROUTE_ES, TOO_SHORT, UN
 from cartero.plans.queries import SPECS
 from oracles import fragments as f
 
-EN, ES = f.english_stop_words(), lx.STOP_WORDS_ES
+EN, ES = lx.STOP_WORDS_EN, lx.STOP_WORDS_ES
 LANGS = ("de", "en", "es", "fr")
 CTES: dict[str, str] = {}
 BODY: dict[str, str] = {}
