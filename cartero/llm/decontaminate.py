@@ -129,16 +129,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, chunk_words: in
         rows = [(r["item_id"], r["text"]) for r in items.collect()]  # at most chunk_words words
         return source.mapInArrow(partial(_scan, rows, n, carry), kept + HITS)
     # Several passes: rows of one text meet again by a key; equal rows have equal hits.
+    ident = source.schema["doc_id"].dataType.simpleString()
     keyed, out = source.withColumn("row", F.xxhash64("doc_id", "text")), None
     for i in range(chunks):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == i)
         rows = [(r["item_id"], r["text"]) for r in mine.collect()]  # about chunk_words words
-        part = keyed.mapInArrow(partial(_scan, rows, n, ("doc_id", "row")), f"{kept.split(',')[0]}, row long, {HITS}")
+        part = keyed.mapInArrow(partial(_scan, rows, n, ("doc_id", "row")), f"doc_id {ident}, row long, {HITS}")
         out = part if out is None else out.unionByName(part)
     one = out.groupBy("doc_id", "row", "n_words").agg(
         F.collect_set("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     merged = one.select(F.col("doc_id").alias("_doc"), "row", "n_words", "items", "hits").mapInArrow(
-        _merge, f"_{kept.split(',')[0][:3]}{kept.split(',')[0][6:]}, row long, n_words long, items array<string>, n_hit long, hits binary")
+        _merge, f"_doc {ident}, row long, n_words long, items array<string>, n_hit long, hits binary")
     same = keyed.doc_id.eqNullSafe(merged["_doc"]) & (keyed.row == merged.row)
     return keyed.join(merged, same).select(*carry, "n_words", "n_hit", "hits", "items")
 
