@@ -8,10 +8,10 @@
    the bit count of the signatures, corrected for chance collisions (pairs under
    ESTIMATE_CUT go; a pair of 0.75 falls there with probability below 1e-9), then
    the full sets.  The links give components.
-4. Buckets that still hold several components are compared member by member, in
-   blocks, across components only; a task keeps a union-find of what it has joined
-   and so returns fewer links than it has members.  No pairs are written out, and
-   no bucket is capped.
+4. In buckets that still hold several components, the members outside the largest
+   one are compared with all members, in blocks; a task keeps a union-find of what
+   it has joined and so returns fewer links than it has members.  No pairs are
+   written out, and no bucket is capped.
 
 Null, empty and blank texts have no shingles and link with nothing; fewer than five
 words are one shingle.  Rows that repeat an id belong to one node.  Extra columns
@@ -148,9 +148,10 @@ def _across(group: pa.Table) -> pa.Table:
             c = parent[c]
         return c
 
-    out = []
-    for i in range(len(ids) - 1):
-        for j in (i + 1 + np.flatnonzero(estimate(sigs[i], sigs[i + 1:]) >= ESTIMATE_CUT)).tolist():
+    out, asks = [], np.array(group["asks"].to_pylist())
+    members = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks).tolist():
+        for j in members[estimate(sigs[i], sigs[members]) >= ESTIMATE_CUT].tolist():
             p, q = find(comps[i]), find(comps[j])
             if p != q and linked(sets[i], sets[j]):
                 parent[p] = q
@@ -209,12 +210,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = stage(rest.join(once, "band"), "rest")
     if not rest.isEmpty():
         sets = _sets_of(source, stage(rest.select("doc_id").distinct(), "ids"))
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        mine = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-        dealt = rest.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        dealt = dealt.join(sets, "doc_id").join(light, "doc_id").select(
-            "band", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
-            "doc_id", "component", "signature", "shingles")
+        # A pair of different components has a member outside the bucket's largest one: those
+        # few meet every block of members, and the members are dealt out once for them.
+        parts = rest.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+        parts = stage(parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                                F.max("n").alias("most"), F.sum("n").alias("all")), "parts")
+        rest = rest.join(parts, "band").withColumn("outside", F.col("component") != F.col("largest"))
+        blocks = F.ceil(F.col("all") / BLOCK).cast("int")
+        groups = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
+        spot = F.xxhash64("doc_id")
+        left = rest.select("band", "doc_id", "component", F.lit(False).alias("asks"), F.pmod(spot, blocks).alias("x"),
+                           F.explode(F.sequence(F.lit(0), groups - 1)).alias("y"))
+        right = rest.filter("outside").select(
+            "band", "doc_id", "component", F.lit(True).alias("asks"),
+            F.explode(F.sequence(F.lit(0), blocks - 1)).cast("long").alias("x"), F.pmod(spot, groups).cast("int").alias("y"))
+        dealt = left.unionByName(right).join(sets, "doc_id").join(light, "doc_id")
         more = dealt.groupBy("band", "x", "y").applyInArrow(_across, "a long, b long")
         links = stage(links.unionByName(more), "confirmed")
         labels = stage(components(links), "labels")
