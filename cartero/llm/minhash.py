@@ -219,11 +219,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         blocks = F.ceil(F.col("all") / BLOCK).cast("int")
         groups = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
         spot = F.xxhash64("doc_id")
-        left = rest.select("band", "doc_id", "component", F.lit(False).alias("asks"), F.pmod(spot, blocks).alias("x"),
+        left = rest.select("band", "doc_id", "component", F.lit(False).alias("asks"), F.pmod(spot, blocks).cast("long").alias("x"),
                            F.explode(F.sequence(F.lit(0), groups - 1)).alias("y"))
         right = rest.filter("outside").select(
             "band", "doc_id", "component", F.lit(True).alias("asks"),
-            F.explode(F.sequence(F.lit(0), blocks - 1)).cast("long").alias("x"), F.pmod(spot, groups).cast("int").alias("y"))
+            F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("x"), F.pmod(spot, groups).cast("int").alias("y"))
         dealt = left.unionByName(right).join(sets, "doc_id").join(light, "doc_id")
         more = dealt.groupBy("band", "x", "y").applyInArrow(_across, "a long, b long")
         links = stage(links.unionByName(more), "confirmed")

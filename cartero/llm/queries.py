@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cartero.llm import decontaminate, minhash, packing, rans
-from cartero.llm.common import ship, table
+from cartero.llm import decontaminate, langid, minhash, packing, permutation, pseudo, rans, winnow
+from cartero.llm.common import crc_mod, narrow, ship, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,17 +31,48 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vec_id divisible by 20."""
+    return permutation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def language_model(spark: SparkSession, docs: DataFrame) -> langid.Model | None:
+    """Learnt from documents whose crc32(doc_id) mod 5 is not 0."""
+    learn = narrow(docs, "doc_id", "text", "lang").filter(crc_mod("doc_id", 5) != 0)
+    return langid.fit(learn, learn)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, language_model(spark, docs))
+    return found.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op6_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, read the files back and return a checksum per document."""
     back = rans.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
     return back.select("doc_id", "start", "n_tokens", crc32_of("ids").alias("ids_crc32"))
 
 
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pseudo.score(docs, pseudo.fit(docs)).withColumn(
+        "per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and runs that repeat an earlier run of lines, and a checksum of what is left."""
+    found = winnow.delete_runs(narrow(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return found.select("doc_id", "lines_removed", "runs_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -56,7 +87,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: shipped(q) for q in (
-    op2_decontaminate, op6_rans, op8_minhash, op10_packing)}
+    op2_decontaminate, op3_permutation, op4_language, op6_rans, op7_pseudo_likelihood, op8_minhash, op9_line_dedup, op10_packing)}
 OP2_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -86,4 +117,17 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b F
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op8_minhash": OP8_SQL}
+OP9_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents),
+f AS (SELECT doc_id, ln, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM l),
+p AS (SELECT doc_id, ln, t, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS p FROM f WHERE t <> ''),
+g AS (SELECT a.doc_id, a.p, [a.t, b.t, c.t] AS g FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.p = a.p + 1
+      JOIN p c ON a.doc_id = c.doc_id AND c.p = a.p + 2),
+later AS (SELECT doc_id, p FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 3)) AS p FROM later),
+runs AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE p - 1 NOT IN (SELECT y.p FROM gone y WHERE y.doc_id = x.doc_id)) AS r FROM gone x GROUP BY doc_id),
+kept AS (SELECT f.doc_id, string_agg(line, chr(10) ORDER BY f.ln) AS s FROM f LEFT JOIN p ON p.doc_id = f.doc_id AND p.ln = f.ln
+         LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.p = p.p WHERE gone.p IS NULL GROUP BY f.doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS lines_removed, coalesce(r, 0) AS runs_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM documents d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op8_minhash": OP8_SQL, "op9_line_dedup": OP9_SQL}
