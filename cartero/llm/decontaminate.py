@@ -119,8 +119,8 @@ def _merge(batches):
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, chunk_words: int = CHUNK_WORDS,
          carry: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """(carried columns, n_words, n_hit, hits as packed bits per word, items array<string>) of every document."""
-    source = narrow(docs, "doc_id", "text")
-    kept = "".join(f"{c} {source.schema[c].dataType.simpleString()}, " for c in carry)
+    source = narrow(docs, *dict.fromkeys(["doc_id", "text", *carry]))
+    kept = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in carry)
     items = narrow(benchmark, "item_id", "text").filter("text is not null").select(
         F.col("item_id").cast("string").alias("item_id"), "text")
     total = items.agg(F.sum(F.size(F.split("text", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")).cast("long"))).first()[0] or 0
@@ -144,10 +144,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, chunk_words: in
     return keyed.join(merged, same).select(*carry, "n_words", "n_hit", "hits", "items")
 
 
-def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, contaminated): contaminated from 1 word in 20."""
-    found = scan(docs, benchmark, n, carry=("doc_id",))
-    return found.select("doc_id", "n_words", "n_hit", "items").withColumn(
+def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(carried columns, n_words, n_hit, items, contaminated): contaminated from 1 word in 20."""
+    found = scan(docs, benchmark, n, carry=carry)
+    return found.select(*carry, "n_words", "n_hit", "items").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
@@ -175,5 +175,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Data
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = report(docs, benchmark, n).filter("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    return report(docs, benchmark, n, tuple(docs.columns)).filter("not contaminated").select(*docs.columns)

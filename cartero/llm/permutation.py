@@ -28,7 +28,7 @@ from cartero.llm.common import stage
 
 PIVOTS, ORDER, SAMPLE = 512, 64, 4096
 BLOCK, QUERIES = 16_384, 512
-FRACTION = 0.15
+FRACTION = 0.2
 QUERY_BYTES = 64 << 20
 INDEX = "block long, ids binary, vectors binary, first binary, starts binary, posted binary, ranks binary"
 
@@ -137,14 +137,15 @@ def search(vectors: DataFrame, asks, k: int = 20) -> DataFrame:
                       F.count(F.when(asks, 1)).alias("q")).first()
     rows = np.unique([np.frombuffer(r["vector"], np.float64) for r in sample if r["size"] == size], axis=0)
     rows = rows[np.random.default_rng(11).permutation(len(rows))[:PIVOTS]]
-    pivots = lift(rows, stats["norm2"])
+    norm2 = stats["norm2"]
+    pivots = lift(rows, norm2)
     blocks, chunks = -(-stats["n"] // BLOCK), max(1, -(-stats["q"] // QUERIES))
     dealt = valid.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("long"))
     index = stage(dealt.select("block", "vec_id", "vector").groupBy("block").applyInArrow(
-        partial(_index, size, stats["norm2"], pivots), INDEX), "index")
+        lambda group: _index(size, norm2, pivots, group), INDEX), "index")
     asked = valid.filter(asks).withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(chunks)).cast("long"))
     asked = stage(asked.select("chunk", "vec_id", "vector").groupBy("chunk").applyInArrow(
-        partial(_pack_queries, size), "chunk long, query_ids binary, queries binary"), "queries")
+        lambda group: _pack_queries(size, group), "chunk long, query_ids binary, queries binary"), "queries")
     # Queries are broadcast in groups of at most QUERY_BYTES; every group meets every block.
     group, found = max(1, QUERY_BYTES // (QUERIES * size * 8)), None
     for low in range(0, chunks, group):

@@ -28,7 +28,7 @@ from cartero.llm.decontaminate import words_of
 CLASSES = 32
 VOCAB = CLASSES * CLASSES
 SIDE, WIDTH, HIDDEN = 2, 16, 24
-MASKED, ROUNDS, BATCH, RATE = 8, 2, 512, 0.15
+MASKED, ROUNDS, BATCH, RATE = 16, 2, 1024, 0.2
 FLUSH = 1 << 20
 SHAPES = {"embed": (VOCAB + 1, WIDTH), "w1": (2 * SIDE * WIDTH, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES),
           "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, CLASSES), "bw": (CLASSES, CLASSES)}

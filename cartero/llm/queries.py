@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cartero.llm import decontaminate, langid, minhash, packing, permutation, pseudo, rans, winnow
+from cartero.llm import decontaminate, langid, minhash, packing, permutation, pseudo, rans, suffixes, toxicity, winnow
 from cartero.llm.common import crc_mod, narrow, ship, table
 
 
@@ -24,6 +24,15 @@ def crc32_of(data: pd.Series) -> pd.Series:
     return data.map(zlib.crc32)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels whose crc32(doc_id) mod 3 is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(crc_mod("doc_id", 3) != 1)
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in every document, and whether it counts as contaminated."""
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,6 +58,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 100 bytes from an earlier place."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, read the files back and return a checksum per document."""
     back = rans.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -87,7 +101,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: shipped(q) for q in (
-    op2_decontaminate, op3_permutation, op4_language, op6_rans, op7_pseudo_likelihood, op8_minhash, op9_line_dedup, op10_packing)}
+    op1_toxicity, op2_decontaminate, op3_permutation, op4_language, op5_suffix_array, op6_rans, op7_pseudo_likelihood, op8_minhash, op9_line_dedup, op10_packing)}
 OP2_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -104,6 +118,21 @@ items AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_s
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+OP5_SQL = r"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS g
+      FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) // 2 - 99 AS BIGINT))) AS p FROM t WHERE length(h) >= 200)),
+later AS (SELECT doc_id, p FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+bounds AS (SELECT doc_id, p, coalesce(p > lag(p) OVER w + 100, true) AS opens FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+numbered AS (SELECT doc_id, p, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM bounds),
+runs AS (SELECT doc_id, r, min(p) AS a, max(p) + 100 AS z FROM numbered GROUP BY doc_id, r),
+parts AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS prev FROM runs),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last,
+                string_agg(substr(h, CAST(2 * prev + 1 AS BIGINT), CAST(2 * (a - prev) AS BIGINT)), '' ORDER BY a) AS s
+         FROM parts JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE s || substr(h, CAST(2 * last + 1 AS BIGINT)) END)) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)"""
 OP8_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                               '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -130,4 +159,4 @@ kept AS (SELECT f.doc_id, string_agg(line, chr(10) ORDER BY f.ln) AS s FROM f LE
          LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.p = p.p WHERE gone.p IS NULL GROUP BY f.doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS lines_removed, coalesce(r, 0) AS runs_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM documents d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op8_minhash": OP8_SQL, "op9_line_dedup": OP9_SQL}
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_suffix_array": OP5_SQL, "op8_minhash": OP8_SQL, "op9_line_dedup": OP9_SQL}

@@ -1,10 +1,49 @@
-"""A training corpus from ``documents``: every stage calls one operator of cartero.llm."""
+"""A training corpus from ``documents``: every stage calls one operator of cartero.llm.
+
+Each stage gets what its predecessor kept and returns the columns of its input; the last
+returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cartero.llm import common, decontaminate, langid, minhash, packing, queries, winnow
+
+LEAST_CERTAIN = 0.5  # a language is rejected if it is not likelier than all others together
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID (4): texts without letters, or of no certain language, go."""
+    common.ship(spark)
+    found = langid.predict(docs, queries.language_model(spark, docs), tuple(docs.columns))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CERTAIN)).select(*docs.columns)
+
 
-from cartero.llm import common, packing, queries
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup (9): later runs of lines go, and documents that were nothing else."""
+    common.ship(spark)
+    cut = winnow.delete_runs(docs)
+    cut = cut.filter((F.col("lines_removed") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    if "n_chars" in docs.columns:
+        count = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup (8): the smallest id of every group stays."""
+    common.ship(spark)
+    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (2): contaminated documents go."""
+    common.ship(spark)
+    found = decontaminate.report(docs, common.table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
+    return found.filter("not contaminated").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,13 +52,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, queries.tokenizer_path())
 
 
-STAGES = [("packing", pack)]
-ORACLE_SQL = None
+STAGES = [("language ID", language), ("line dedup", lines), ("MinHash near-dedup", near_duplicates),
+          ("benchmark decontamination", benchmark), ("packing", pack)]
+ORACLE_SQL = None  # SQL cannot state the learnt language model
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage is written and read again by the next."""
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = common.stage(stage(spark, docs, sf_dir), name)
+    for name, step in STAGES[:-1]:
+        docs = common.stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
