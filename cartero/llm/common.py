@@ -159,13 +159,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def prefix_sums(buf: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTE[buf] * _powers(len(buf) + 1)[0][:len(buf)], out=total[1:])
+    return total
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
     """64-bit content hashes of byte spans, from one prefix sum of a polynomial."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * up[:len(buf)], out=total[1:])
+    down = _powers(len(buf) + 1)[1]
+    total = prefix_sums(buf) if total is None else total
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -1,17 +1,17 @@
 """Toxicity by weak supervision.
 
-1. Voters: a seed lexicon, lexicons induced from labelled rows (words far more frequent
-   in toxic texts), and patterns (an insult after a word of address, shouting,
+1. Voters: a seed lexicon, lexicons induced from labelled rows (words and word beginnings
+   far more frequent in toxic texts), and patterns (an insult after a word of address, shouting,
    exclamation).  Each says toxic (1), clean (0) or nothing (2) about a whole text.
 2. A generative label model over the counts of vote patterns of all documents estimates
    how often each voter says what about either class, and how strongly voters repeat
    each other given the class; correlated voters count less.  Labelled rows of the
    learning fold keep their label.
-3. A linear classifier over word presence with an L1 penalty is trained on the posterior
+3. A linear classifier over the presence of words and word beginnings with an L1 penalty is trained on the posterior
    labels of a bounded sample and scores every whole text.
 
 Bounds: at most LABELLED labelled rows of either class, LEXICON induced words, TRAIN
-rows per class for the classifier (with at most MAX_WORDS distinct words each), and
+rows per class for the classifier (with at most MAX_TERMS distinct terms each), and
 3**VOTERS vote patterns.  Everything else covers all documents.
 
 A null or empty text votes like a clean one and gets the classifier's base score; with
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartero.llm.common import binaries, bytes_of, narrow, slices, span_hashes, stage
+from cartero.llm.common import binaries, bytes_of, narrow, prefix_sums, slices, span_hashes, stage
 from cartero.llm.decontaminate import words_of
 
 # FIXED VALUES: plain insults and words of address in the corpus languages.
@@ -39,7 +39,8 @@ asqueroso cabrón mierda payaso idiote imbécile stupide connard salaud ordure m
 schwachkopf abschaum scheiße widerlich blödmann""".split()
 ADDRESS = "you your youre u are a an such du ihr euch bist tu vous es un une eres usted una".split()
 
-LABELLED, LEXICON, TRAIN, MAX_WORDS = 4000, 200, 3000, 4000
+LABELLED, LEXICON, TRAIN, MAX_TERMS = 4000, 200, 3000, 12_000
+STEMS = (4, 5, 6)  # bytes of a word beginning
 VOTERS, BUCKET_BITS = 10, 18
 L1, STEPS = 5e-4, 300
 
@@ -49,46 +50,73 @@ def word_keys(words: list[str]) -> np.ndarray:
     return np.unique(span_hashes(buf, s, e))
 
 
-def member(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(hashes), bool)
-    return keys[np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)] == hashes
+class Lexicon:
+    """Term hash -> rank, behind a table of hash prefixes that few other terms pass."""
+
+    def __init__(self, keys: np.ndarray):
+        self.rank = np.argsort(keys)
+        self.keys = keys[self.rank]
+        self.table = np.zeros(1 << 18, bool)
+        self.table[(keys >> np.uint64(46)).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of members, their ranks)."""
+        at = np.flatnonzero(self.table[(hashes >> np.uint64(46)).astype(np.int64)])
+        if not len(at) or not len(self.keys):
+            return at[:0], at[:0]
+        i = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        good = self.keys[i] == hashes[at]
+        return at[good], self.rank[i[good]]
+
+
+def terms(column: pa.Array):
+    """(text of every word, hashes of every word and its beginnings as rows)."""
+    buf, _, s, e, bounds = words_of(column)
+    total = prefix_sums(buf)
+    rows = [span_hashes(buf, s, e, total)]
+    for n in STEMS:
+        stem = span_hashes(buf, s, np.minimum(s + n, e), total) ^ np.uint64(n)
+        rows.append(np.where(e - s > n, stem, rows[0]))
+    return np.searchsorted(bounds[1:], np.arange(len(s)), "right"), np.stack(rows)
 
 
 # -------------------------------------------------------------------- in tasks
 def _word_counts(batches):
     """Documents per word, toxic and clean, of labelled rows."""
     for b in slices(batches):
-        buf, _, s, e, bounds = words_of(b.column("text"))
-        doc = np.searchsorted(bounds[1:], np.arange(len(s)), "right")
-        pairs = np.unique(np.stack([doc.astype(np.uint64), span_hashes(buf, s, e)]), axis=1)
+        doc, hashes = terms(b.column("text"))
+        order = np.lexsort((hashes.ravel(), np.tile(doc, len(hashes))))
+        pairs = np.stack([np.tile(doc, len(hashes)).astype(np.uint64), hashes.ravel()])[:, order]
+        pairs = pairs[:, np.r_[True, (pairs[:, 1:] != pairs[:, :-1]).any(0)][:pairs.shape[1]]]
         toxic = np.array(b.column("toxic").to_pylist(), np.int64)[pairs[0].astype(np.int64)]
         words, back = np.unique(pairs[1], return_inverse=True)
         n = [np.bincount(back, w, minlength=len(words)).astype(np.int64) for w in (toxic, 1 - toxic)]
         yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), *map(pa.array, n)], ["word", "toxic", "clean"])
 
 
-def votes(column: pa.Array, seed, induced, address) -> np.ndarray:
+def votes(column: pa.Array, seed: Lexicon, induced: Lexicon, address: Lexicon) -> np.ndarray:
     """One row of VOTERS votes per text."""
     raw, offs = bytes_of(column)
-    buf, _, s, e, bounds = words_of(column)
-    hashes, n = span_hashes(buf, s, e), len(column)
-    doc = np.searchsorted(bounds[1:], np.arange(len(s)), "right")
+    doc, hashes = terms(column)
+    n = len(column)
 
-    def per_text(mask):
-        return np.bincount(doc[mask], minlength=n)
+    def texts(words):
+        return np.bincount(doc[np.unique(words)], minlength=n)
 
-    in_seed, in_induced = member(seed, hashes), member(np.sort(induced), hashes)
-    seeds, found = per_text(in_seed), per_text(in_induced)
+    in_seed, _ = seed.find(hashes[0])
+    found = [induced.find(h) for h in hashes]
+    where, rank = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    seeds, induced_n = texts(in_seed), texts(where)
     out = np.full((n, VOTERS), 2, np.int8)
     out[seeds > 0, 0] = 1
     out[seeds == 0, 1], out[seeds > 1, 1] = 0, 1
     for i in range(4):  # four lexicons, dealt by rank
-        out[per_text(member(np.sort(induced[i::4]), hashes)) > 0, 2 + i] = 1
-    out[found == 0, 6], out[found > 1, 6] = 0, 1
-    hit = np.flatnonzero(in_seed | in_induced)
-    hit = hit[(hit > 0) & (doc[hit] == doc[hit - 1])]
-    out[per_text(hit[member(address, hashes[hit - 1])]) > 0, 7] = 1
+        out[texts(where[rank % 4 == i]) > 0, 2 + i] = 1
+    out[induced_n == 0, 6], out[induced_n > 1, 6] = 0, 1
+    hit = np.union1d(in_seed, where)
+    hit = hit[hit > 0]
+    hit = hit[doc[hit] == doc[hit - 1]]
+    out[texts(hit[address.find(hashes[0][hit - 1])[0]]) > 0, 7] = 1
 
     def total(mask):
         c = np.concatenate([[0], np.cumsum(mask)])
@@ -108,11 +136,9 @@ def _vote(seed, induced, address, carry, batches):
 
 
 def _buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) of every distinct word of every text."""
-    buf, _, s, e, bounds = words_of(column)
-    doc = np.searchsorted(bounds[1:], np.arange(len(s)), "right")
-    bucket = (span_hashes(buf, s, e) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    return doc, bucket
+    """(text, bucket) of every term of every text."""
+    doc, hashes = terms(column)
+    return np.tile(doc, len(hashes)), (hashes.ravel() >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def _features(batches):
@@ -122,15 +148,19 @@ def _features(batches):
         counts = np.bincount(pairs >> BUCKET_BITS, minlength=b.num_rows)
         cells = binaries((pairs & ((1 << BUCKET_BITS) - 1)).astype("<i4"), counts)
         out = pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), cells], ["doc_id", "y", "words"])
-        yield out.filter(pa.array(counts <= MAX_WORDS))
+        yield out.filter(pa.array(counts <= MAX_TERMS))
 
 
 def _score(weights, bias, carry, batches):
     active = weights != 0
     for b in slices(batches):
-        doc, bucket = _buckets(b.column("text"))
-        on = active[bucket]
-        pairs = np.unique((doc[on] << BUCKET_BITS) | bucket[on])
+        doc, hashes = terms(b.column("text"))
+        pairs = []
+        for h in hashes:
+            bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+            on = np.flatnonzero(active[bucket])
+            pairs.append((doc[on] << BUCKET_BITS) | bucket[on])
+        pairs = np.unique(np.concatenate(pairs))
         s = np.bincount(pairs >> BUCKET_BITS, weights[pairs & ((1 << BUCKET_BITS) - 1)], minlength=b.num_rows) + bias
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in carry), pa.array(1 / (1 + np.exp(-s)))], [*carry, "score"])
 
@@ -210,10 +240,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     n = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    top = (counts.filter(F.col("toxic") >= max(3, n1 // 100)).withColumn("odds", odds).filter(F.col("odds") > 2.5)
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    top = (counts.filter("toxic >= 3").withColumn("odds", odds - 1.5 * error).filter(F.col("odds") > 2.2)
            .orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(LEXICON).collect())
     induced = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    task = (word_keys(SEED), induced, word_keys(ADDRESS))
+    task = (Lexicon(word_keys(SEED)), Lexicon(induced), Lexicon(word_keys(ADDRESS)))
 
     cast = stage(source.mapInArrow(partial(_vote, *task, ("doc_id",)), f"doc_id {source.schema['doc_id'].dataType.simpleString()}, pattern long"), "votes")
     patterns = cast.join(F.broadcast(labelled), "doc_id", "left").groupBy("pattern").agg(
