@@ -175,4 +175,5 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Data
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    return report(docs, benchmark, n, tuple(docs.columns)).filter("not contaminated").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))  # columns may clash with those of the report
+    return report(rows, benchmark, n, ("_row",)).filter("not contaminated").select("_row.*")

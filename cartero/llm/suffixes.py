@@ -103,7 +103,9 @@ def _pieces(batches):
                 for s in range(lo, hi + 1):  # stretches aligned to the anchor
                     if s == lo or (p - s + 1) % COLUMNS == 0:
                         e = min(hi, s + (p - s) % COLUMNS)
-                        core = hashlib.blake2b(raw[e:s + LENGTH], digest_size=8, key=f"{gram}:{p - e}".encode()[:64])
+                        near = p - (p - s) // COLUMNS * COLUMNS  # the last start of a whole stretch
+                        shared = raw[near:near + LENGTH - COLUMNS + 1]
+                        core = hashlib.blake2b(shared, digest_size=8, key=f"{gram}:{p - near}".encode())
                         key = int.from_bytes(core.digest(), "little", signed=True)
                         out.append((key, True, doc, f["place"], p - s, raw[s:e + LENGTH]))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]

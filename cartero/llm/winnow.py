@@ -17,7 +17,7 @@ stays, judged on the input and not on what is left.
 
 Null and empty texts stay as they are; rows that repeat an id count as one place
 (equal rows keep their lines, as neither is later).  Extra columns are ignored by
-``repeated`` and kept by ``delete_runs``; an empty table gives an empty result.
+``repeated`` and kept by ``delete_runs`` (lines_removed and runs_removed are replaced); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def _delete(window, batches):
     for b in slices(batches):
         texts, removed, spans = [], [], []
-        columns = b.column("text"), b.column("starts").to_pylist()
+        columns = b.column("text"), b.column("_starts").to_pylist()
         buf, offs = bytes_of(columns[0])
         starts, ends, s, e, bounds = lines_of(buf, offs)
         raw = buf.tobytes()
@@ -136,17 +136,17 @@ def _delete(window, batches):
             texts.append(b"\n".join([raw[x:y] for x, y in zip(starts[a:z][keep], ends[a:z][keep])]).decode())
             removed.append(int(gone.sum()))
             spans.append(int((gone & ~np.r_[False, gone[:-1]]).sum()))
-        rest = [b.column(c) for c in b.schema.names if c not in ("text", "starts")]
+        rest = [b.column(c) for c in b.schema.names if c not in ("text", "_starts")]
         yield pa.RecordBatch.from_arrays(
             [*rest, pa.array(texts, pa.string()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())],
-            [*[c for c in b.schema.names if c not in ("text", "starts")], "text", "lines_removed", "runs_removed"])
+            [*[c for c in b.schema.names if c not in ("text", "_starts")], "text", "lines_removed", "runs_removed"])
 
 
 def delete_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All columns with the runs cut out of ``text``, and lines_removed, runs_removed."""
-    found = repeated(docs, window).withColumnRenamed("doc_id", "_doc")
+    found = repeated(docs, window).select(F.col("doc_id").alias("_doc"), F.col("starts").alias("_starts"))
     joined = docs.join(found, docs.doc_id == F.col("_doc"), "left").drop("_doc")
-    rest = [f for f in docs.schema.fields if f.name != "text"]
+    rest = [f for f in docs.schema.fields if f.name not in ("text", "lines_removed", "runs_removed")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         "text string, lines_removed long, runs_removed long"])
-    return joined.select(*[f.name for f in rest], "text", "starts").mapInArrow(partial(_delete, window), schema)
+    return joined.select(*[docs[f.name] for f in rest], "text", "_starts").mapInArrow(partial(_delete, window), schema)

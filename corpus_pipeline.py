@@ -17,8 +17,9 @@ LEAST_CERTAIN = 0.5  # a language is rejected if it is not likelier than all oth
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (4): texts without letters, or of no certain language, go."""
     common.ship(spark)
-    found = langid.predict(docs, queries.language_model(spark, docs), tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CERTAIN)).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    found = langid.predict(rows, queries.language_model(spark, docs), ("_row",))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CERTAIN)).select("_row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (2): contaminated documents go."""
     common.ship(spark)
-    found = decontaminate.report(docs, common.table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
-    return found.filter("not contaminated").select(*docs.columns)
+    return decontaminate.remove_documents(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
