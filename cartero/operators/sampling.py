@@ -130,5 +130,15 @@ def stratified_kfold(df: DataFrame, k: int = 3, ident: str = ID, seed: int | str
 
 
 def shuffle(df: DataFrame, ident: str = ID, seed: int | str = 42) -> DataFrame:
-    """Seeded permutation, as a global sort by hash position."""
-    return df.orderBy(hash_order(F.col(ident), seed), ident)
+    """Seeded permutation: ``posicion`` is the exact rank (from 1) in hash order.
+
+    Rows are numbered inside buckets of hash positions, on ids alone, and bucket
+    sizes are prefix-summed, so no task sorts everything.
+    """
+    pos = _positions(df, F.lit(0), ident, seed)
+    sizes = pos.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    start = sizes.select("_b", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_h", "_id"))
+    ranked = pos.join(start, "_b").select(F.col("_id").alias(ident), (F.col("_start") + inside).alias("posicion"))
+    return df.join(ranked, ident)

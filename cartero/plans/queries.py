@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
@@ -137,7 +138,7 @@ def keep_present_columns(spark, d):
 @query("message_id:l texto_es:s variante:l")
 def best_variant(spark, d):
     docs = documents(spark, d)
-    full = translate.translate_prefix(docs.filter(F.col(ID) % 7 == 0), "text")
+    full = translate.translate_fragments(docs.filter(F.col(ID) % 7 == 0), "text")
     neural = translate.translate_fragments(docs.filter(F.col(ID) % 3 == 0), "text")
     lexical = translate.translate_lexical(docs, "text")
     return mail.best_text(docs, [full, neural, lexical])
@@ -290,7 +291,7 @@ def language_census(spark, d):
 def top_languages(spark, d):
     pages = table(spark, d, "pages").select(F.regexp_extract("html", 'lang="([a-z]+)"', 1).alias("idioma_detectado"))
     langs = documents(spark, d).select(F.col("lang").alias("idioma_detectado")).unionByName(pages)
-    return normalise.top_languages(normalise.language_census(langs), 3)
+    return normalise.top_languages(normalise.language_census(langs), 8)
 
 
 @query("message_id:l Category:s idioma_detectado:s long_clean:l num_palabras_clean:l clave:s")
@@ -354,7 +355,7 @@ def _prior(spark, d):
     """Old translations of every second text, in two versions; some are blank."""
     docs = documents(spark, d).filter(F.col(ID) % 2 == 0)
     version = F.explode(F.array(F.lit(0), F.lit(1))).alias("version")
-    old = F.when(F.col(ID) % 10 == 0, "  ").otherwise(F.concat(F.lit("v"), "version", F.lit(":"), F.substring("text", 1, 20)))
+    old = F.when(F.col(ID) % 10 == 0, "  ").otherwise(F.concat(F.lit("v"), "version", F.lit(":"), "text"))
     return docs.select(ID, "text", version).select(ID, "version", old.alias("texto_es"))
 
 
@@ -373,13 +374,13 @@ def patch_report(spark, d):
 def resume_pending(spark, d):
     docs = documents(spark, d)
     done = docs.filter(hash_order(F.col(ID), "done") % 3 == 0).select(
-        ID, F.concat(F.lit("hecho "), F.substring("text", 1, 10)).alias("texto_es"), F.lit(1).alias("num_fragmentos"))
+        ID, F.concat(F.lit("hecho "), "text").alias("texto_es"), F.lit(1).alias("num_fragmentos"))
     return translate.resume(docs, done, lambda rows: translate.translate_lexical(rows, "text"))
 
 
 @query("n:l correlacion:d6 razon_media:d6 mas_largos:l")
 def length_parity(spark, d):
-    rows = translate.translate_lexical(sampling.random_sample(documents(spark, d), 1000), "text")
+    rows = translate.translate_lexical(documents(spark, d), "text")
     return translate.length_parity(rows, "text")
 
 
@@ -432,8 +433,7 @@ def stratified_kfold(spark, d):
 
 @query("message_id:l posicion:l")
 def shuffle(spark, d):
-    rows = sampling.shuffle(documents(spark, d)).withColumn("posicion", hash_order(F.col(ID)))
-    return rows
+    return sampling.shuffle(documents(spark, d))
 
 
 # --------------------------------------------------------------------- features
@@ -660,7 +660,10 @@ def heldout_evaluation(spark, d):
     seen = normalise.normalise(clean.clean_corpus(raw.filter("split = 'train'"))).withColumn("parte", F.lit("train"))
     unseen = normalise.normalise(clean.heldout_corpus(raw.filter("split = 'test'"))).withColumn("parte", F.lit("test"))
     rows = mail.write_stage(seen.unionByName(unseen, allowMissingColumns=True), "heldout")
-    spanish = translate.translate_prefix(rows)
+    # Training texts are translated whole; the mode under test cuts unseen mails only.
+    unseen = F.col("parte") == "test"
+    spanish = translate.translate_lexical(rows.filter(~unseen)).unionByName(
+        translate.translate_prefix(rows.filter(unseen)), allowMissingColumns=True)
     stack = features.featurise(rows, "clean_en", "en_heldout", features.stop_words("en"), 2).unionByName(
         features.featurise(spanish, "texto_es", "es_heldout", features.stop_words("es"), 1))
     stack = mail.write_stage(stack, "stack")
@@ -778,7 +781,7 @@ def feedback_log(spark, d):
 
 def _event_folder(spark, d, files: int = 4) -> tuple[str, DataFrame]:
     """The feedback log as JSON-line files, dealt out by arrival number."""
-    ev = feedback(spark, d).select(*mail.FEEDBACK_SCHEMA.fieldNames())
+    ev = feedback(spark, d).select(*mail.FEEDBACK_SCHEMA.fieldNames(), "p_posterior")
     path = mail.new_path(spark, "events")
     ev.repartition(files, F.col("seq") % files).write.json(path)
     return path, ev
@@ -810,7 +813,9 @@ def retrain_catalog(spark, d):
 def retrain_catalog_stream(spark, d):
     path, _ = _event_folder(spark, d)
     root = mail.new_path(spark, "stream")
-    run = stream.keep_catalogue(stream.read_events(spark, path, files_per_batch=1), f"{root}/catalogue", f"{root}/checkpoint")
+    scored = T.StructType([*mail.FEEDBACK_SCHEMA, T.StructField("p_posterior", T.DoubleType())])
+    run = stream.keep_catalogue(stream.read_events(spark, path, scored, files_per_batch=1), f"{root}/catalogue",
+                                f"{root}/checkpoint", posterior="p_posterior")
     run.awaitTermination()
     return stream.current_catalogue(spark, f"{root}/catalogue", stretch=1000).withColumn("clave", F.md5("texto"))
 

@@ -1,7 +1,7 @@
 """The mail corpus and the feedback log as views of the given tables.
 
 documents + labels stand for the mail corpus (quality 0 = spam, 1 = ham; first
-line = subject), events for the feedback log (error teaches spam, click ham).
+line = subject), events for the feedback log (error teaches spam, all others ham).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartero.functions.expressions import hash_order
+from cartero.operators.history import numbered
 from cartero.sources.mail import spread
 
 LANGS = ("de", "en", "es", "fr")
@@ -46,17 +47,20 @@ def raw_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feedback events: the taught document, label, scores before and after, arrival number."""
+    """Feedback events: the taught document, label, scores before and after, arrival number.
+
+    Events are dealt over the documents in order of their ids; ids may have gaps.
+    """
     docs = documents(spark, sf_dir)
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
     k = F.get_json_object("props", "$.k").cast("double") / 100
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "click"))
-    ev = ev.crossJoin(F.broadcast(n)).select(
+    ranks = numbered(docs.select("message_id", F.lit(1).alias("_all")), ["_all"], "message_id", column="_rank")
+    ev = table(spark, sf_dir, "events").crossJoin(F.broadcast(n)).select(
         F.col("event_id").alias("seq"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        (F.col("event_id") % F.col("_n")).alias("message_id"),
+        (F.col("event_id") % F.col("_n") + 1).alias("_rank"),
         F.when(F.col("event_type") == "error", 1).otherwise(0).alias("label"),
         F.round(k, 4).alias("p_spam"),
         F.round(F.col("value") / (F.col("value") + 20), 4).alias("p_posterior"),
         F.when(k >= 0.6, "SPAM").otherwise("HAM").alias("pred_prev"), F.lit(0.6).alias("umbral"))
-    return ev.join(docs.select("message_id", F.col("text").alias("texto"), F.col("lang").alias("idioma")),
+    return ev.join(ranks.select("_rank", "message_id"), "_rank").drop("_rank").join(docs.select("message_id", F.col("text").alias("texto"), F.col("lang").alias("idioma")),
                    "message_id").drop("message_id")

@@ -34,12 +34,14 @@ FEEDBACK_SCHEMA = T.StructType([
 
 # ---------------------------------------------------------------- shared folder
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; one of our own if it names none."""
+    """The folder the cluster names for checkpoints; in local mode one of our own if it names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="cartero-")
         spark.sparkContext.setCheckpointDir(named)
     return named

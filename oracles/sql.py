@@ -141,7 +141,7 @@ CTES["ho"] = f"""
 SELECT * FROM (SELECT * FROM hs UNION ALL
   SELECT message_id, coalesce(label, y) AS y, false AS tr, {f.clean(_subject_body + 'substr(text, 1, 10000)')} AS clean_en
   FROM valid WHERE split = 'test' AND length(text) > 5) WHERE length(clean_en) > 5"""
-CTES["ho_es"] = f"SELECT *, {f.lexical('substr(clean_en, 1, 600)')} AS texto_es FROM ho"
+CTES["ho_es"] = f"SELECT *, {f.lexical('CASE WHEN tr THEN clean_en ELSE substr(clean_en, 1, 600) END')} AS texto_es FROM ho"
 CTES["hx"] = (terms("ho", "'en_heldout' AS modelo, message_id, y, tr", "clean_en", EN, 2) + " UNION ALL "
               + terms("ho_es", "'es_heldout' AS modelo, message_id, y, tr", "texto_es", ES, 1))
 CTES.update(f.nb("hx", "hx"))
@@ -198,8 +198,8 @@ CTES["fb"] = """
 SELECT event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS label,
        round(k, 4) AS p_spam, round(value / (value + 20e0), 4) AS p_posterior, CASE WHEN k >= 0.6e0 THEN 'SPAM' ELSE 'HAM' END AS pred_prev,
        0.6e0 AS umbral, d.text AS texto, d.lang AS idioma
-FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100e0 AS k FROM events WHERE event_type IN ('error', 'click')) e
-JOIN docs d ON d.message_id = e.event_id % (SELECT count(*) FROM documents)"""
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100e0 AS k FROM events) e
+JOIN (SELECT *, row_number() OVER (ORDER BY message_id) AS r FROM docs) d ON d.r = e.event_id % (SELECT count(*) FROM documents) + 1"""
 CTES["fr"] = f"""
 SELECT *, printf('%.1f%%', antes) AS porcentaje_antes, printf('%.1f%%', despues) AS porcentaje_despues,
        CASE WHEN delta >= 0 THEN '+' ELSE '' END || printf('%.1f%%', delta + 0e0) AS cambio_delta, pred_prev = etiqueta_ensenada AS era_correcto,
@@ -213,7 +213,6 @@ SELECT txt, count(*) AS veces, min(seq) AS primero, max(seq) AS ultimo, max_by(t
        max_by(etiqueta_ensenada, seq) AS etiqueta_ensenada, max_by(cambio_delta, seq) AS cambio_delta, max_by(upper(idioma), seq) AS idioma,
        max_by(texto_resumen, seq) AS texto_resumen FROM fr GROUP BY 1"""
 CTES["cat_post"] = "SELECT *, p_posterior AS pf FROM fr"
-CTES["cat_prev"] = "SELECT *, p_spam AS pf FROM fr"
 
 
 def catalogue(src: str) -> str:
@@ -254,7 +253,7 @@ _frag = f"{f.residual('b')}"
 CTES["frag"] = (f"SELECT message_id, {_frag} AS texto_es, greatest(nb, 1) AS num_fragmentos FROM (SELECT message_id, array_to_string(list_transform(bl, lambda z: {f.lexical('z')}), ' ') AS b, "
                 f"len(bl) AS nb FROM (SELECT message_id, {f.segment('t')} AS bl FROM (SELECT message_id, {f.strip('text')} AS t FROM docs)))")
 BODY["best_variant"] = f"""
-SELECT message_id, CASE WHEN message_id % 7 = 0 THEN {f.lexical('substr(text, 1, 600)')} WHEN message_id % 3 = 0 THEN frag.texto_es ELSE {f.lexical('text')} END AS texto_es,
+SELECT message_id, CASE WHEN message_id % 7 = 0 OR message_id % 3 = 0 THEN frag.texto_es ELSE {f.lexical('text')} END AS texto_es,
        CASE WHEN message_id % 7 = 0 THEN 0 WHEN message_id % 3 = 0 THEN 1 ELSE 2 END AS variante FROM docs JOIN frag USING (message_id)"""
 BODY["glossary_export"] = f"""
 SELECT a.k AS abreviatura_en, a.v AS expansion_en, coalesce({f.sql_map(lx.ABBREVIATIONS_ES)}[a.k], '') AS equivalente_es, coalesce(u.n, 0) AS usos
@@ -296,7 +295,7 @@ BODY["language_detect"] = f"""SELECT message_id, lang, idioma_detectado,
   CASE WHEN len(list_intersect(list_distinct({f.words('lower(text)')}), {f.sql_list(lx.ENGLISH_HINTS)})) >= 2 THEN 'en' ELSE 'es' END AS pista FROM lgd"""
 BODY["language_census"] = "SELECT idioma_detectado AS idioma_iso, count(*) AS conteo, round(count(*) * 100e0 / (SELECT count(*) FROM lgd), 2) AS porcentaje FROM lgd GROUP BY 1"
 BODY["top_languages"] = """SELECT l AS idioma_iso, count(*) AS conteo FROM (SELECT lang AS l FROM docs UNION ALL
-  SELECT regexp_extract(html, 'lang="([a-z]+)"', 1) FROM pages) GROUP BY 1 ORDER BY conteo DESC, l LIMIT 3"""
+  SELECT regexp_extract(html, 'lang="([a-z]+)"', 1) FROM pages) GROUP BY 1 ORDER BY conteo DESC, l LIMIT 8"""
 CTES["lgm"] = (CTES["lgp"].replace("lgt d", "lgm_t d").replace("FROM lgg GROUP", "FROM lgm_g GROUP").replace("FROM lgg a", "FROM lgm_g a"))
 CTES["lgm_t"] = f"SELECT message_id, lang, {_lw.replace('text', 'msg')} AS t FROM corpus"
 CTES["lgm_g"] = _gr.replace("FROM lgt", "FROM lgm_t")
@@ -316,17 +315,17 @@ BODY["translate_prefix"] = f"SELECT message_id, {f.lexical('substr(text, 1, 600)
 BODY["post_normalise"] = f"SELECT message_id, {f.residual('text')} AS texto_es FROM {_ph([p + ' token number token email Token URL' for p in lx.RESIDUAL_PHRASES])}"
 BODY["safe_translate"] = f"SELECT message_id, CASE WHEN message_id % 10 = 0 THEN text ELSE {f.lexical('text')} END AS texto_es, message_id % 10 = 0 AS fallo FROM docs"
 CTES["patch"] = """
-SELECT message_id, need AS rehecho, CASE WHEN need THEN frag.texto_es ELSE 'v1:' || substr(text, 1, 20) END AS texto_es,
+SELECT message_id, need AS rehecho, CASE WHEN need THEN frag.texto_es ELSE 'v1:' || text END AS texto_es,
        CASE WHEN need THEN num_fragmentos ELSE 1 END AS num_fragmentos
 FROM (SELECT *, length(text) > 600 OR message_id % 2 = 1 OR message_id % 10 = 0 AS need FROM docs) JOIN frag USING (message_id)"""
 BODY["incremental_patch"] = "SELECT * FROM patch"
 BODY["patch_report"] = "SELECT count(*) FILTER (WHERE NOT rehecho) AS conservados, count(*) FILTER (WHERE rehecho) AS rehechos FROM patch"
-BODY["resume_pending"] = f"""SELECT message_id, CASE WHEN {f.h('message_id', 'done')} % 3 = 0 THEN 'hecho ' || substr(text, 1, 10) ELSE {f.lexical('text')} END AS texto_es,
+BODY["resume_pending"] = f"""SELECT message_id, CASE WHEN {f.h('message_id', 'done')} % 3 = 0 THEN 'hecho ' || text ELSE {f.lexical('text')} END AS texto_es,
   1 AS num_fragmentos FROM docs"""
 BODY["length_parity"] = f"""
 SELECT count(*) AS n, corr(b, a) AS correlacion, avg(b / nullif(a, 0)) AS razon_media, count(*) FILTER (WHERE b > a) AS mas_largos FROM (
   SELECT CAST(length(text) AS DOUBLE) AS a, CAST(length({f.lexical('text')}) AS DOUBLE) AS b FROM
-    (SELECT * FROM docs QUALIFY row_number() OVER (ORDER BY {f.h('message_id')}, message_id) <= 1000))"""
+    docs)"""
 BODY["examples_per_language"] = """SELECT message_id, lang, r AS orden FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY message_id) AS r FROM docs)
   WHERE r <= CASE lang WHEN 'en' THEN 10 ELSE 3 END"""
 BODY["translated_corpus"] = "SELECT message_id, texto_es, 1 AS num_fragmentos, length(texto_es) AS longitud_es FROM nlp_es"
@@ -339,7 +338,7 @@ BODY["random_sample"] = f"SELECT message_id FROM docs QUALIFY row_number() OVER
 BODY["stratified_split"] = (f"SELECT message_id, Category, CASE WHEN r <= round_even(0.64e0 * nc, 0) THEN 'train' WHEN r <= round_even(0.8e0 * nc, 0) THEN 'val' "
                             f"ELSE 'test' END AS parte FROM ({ranked('valid')})")
 BODY["stratified_kfold"] = " UNION ALL ".join(f"SELECT message_id, Category, {_fold} AS pliegue, {r} AS repeticion FROM ({ranked('valid', f'cv{r}')})" for r in (0, 1))
-BODY["shuffle"] = f"SELECT message_id, {f.h('message_id')} AS posicion FROM docs"
+BODY["shuffle"] = f"SELECT message_id, row_number() OVER (ORDER BY {f.h('message_id')}, message_id) AS posicion FROM docs"
 
 CTES["cl"] = f"SELECT message_id, {f.clean('text')} AS c FROM docs"
 BODY["tokenise_stop"] = f"SELECT message_id, array_to_string({f.tokens('c', EN)}, ' ') AS tokens, array_to_string({f.tokens('c', ES)}, ' ') AS tokens_es FROM cl"
@@ -399,7 +398,7 @@ BODY["feedback_log"] = f"""SELECT timestamp, idioma, CASE label WHEN 1 THEN 'SPA
   row_number() OVER (ORDER BY seq) AS num_muestras_total, md5(texto) AS clave, {f.clean('texto')} AS texto_procesado FROM fb"""
 BODY["online_learning"] = taught("sv", "ev", "SELECT modelo, y FROM sv UNION ALL SELECT modelo, y FROM ev")
 BODY["retrain_catalog"] = catalogue("cat_post")
-BODY["retrain_catalog_stream"] = catalogue("cat_prev")
+BODY["retrain_catalog_stream"] = catalogue("cat_post")
 BODY["history_groups"] = "SELECT *, md5(txt) AS clave FROM hg"
 BODY["history_timeline"] = """SELECT *, md5(txt) AS clave, row_number() OVER (PARTITION BY txt ORDER BY seq) AS iteracion,
   seq = max(seq) OVER (PARTITION BY txt) AS es_actual, CASE WHEN era_correcto THEN 'Confirmado' ELSE 'Reentrenado' END AS estado FROM fr"""
