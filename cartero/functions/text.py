@@ -109,7 +109,8 @@ def _replace_phrases(text: Column, table: Mapping[str, str], fold_case: bool) ->
         out = bound
         for phrase in sorted(table, key=len, reverse=True):
             out = F.regexp_replace(out, rf"{flags}\b{phrase}\b", table[phrase])
-        hints = [*table, "ſ"] if fold_case else list(table)
+        # Long s, dotless i and the dot of a lower-cased dotted I fold in the patterns but not in ``lower``.
+        hints = [*table, "ſ", "ı", "\u0307"] if fold_case else list(table)
         low = F.lower(bound) if fold_case else bound
         return F.when(let(low, lambda t: contains_any(t, hints)), out).otherwise(bound)
 
