@@ -65,6 +65,12 @@ def stage(df: DataFrame, name: str, keep: list | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, least: int = 12, per_task: int = 500_000) -> DataFrame:
+    """``df`` in fewer tasks where a bound on its rows is known to be small; larger ones keep theirs."""
+    parts = max(least, rows // per_task)
+    return df.coalesce(parts) if parts < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def discard(spark: SparkSession, paths: list) -> None:
     """Delete stages that no later job reads."""
     for path in paths:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartero.llm.common import discard, stage
+from cartero.llm.common import discard, sized, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -23,21 +23,22 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has two integer columns; order, repeats and self-links do not matter.
     """
     a, b = links.columns
-    spark = links.sparkSession
+    spark, n = links.sparkSession, links.count()
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct()
     old: list = []
-    edges = stage(edges, "links", old)
+    edges = stage(sized(edges, n), "links", old)
     state = _state(edges)
     while state[0]:
         new: list = []
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star", old)
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stage(sized(least, 2 * n), "star", old)
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large, "large", old)
-        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "star", old)
+        large = stage(sized(large, 2 * n), "large", old)
+        least = stage(sized(large.groupBy("u").agg(F.min("v").alias("m")), 2 * n), "star", old)
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        edges = stage(small, "links", new)
+        edges = stage(sized(small, 2 * n), "links", new)
         discard(spark, old)
         old, before, state = new, state, _state(edges)
         if state == before:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartero.llm.common import (LOWER, SLICE_BYTES, U64, bytes_of, mix, narrow, runs, slices, span_hashes, stage,
+from cartero.llm.common import (LOWER, U64, bytes_of, mix, runs, sized, slices, span_hashes, stage,
                                 window_hashes)
 from cartero.llm.components import components
 
@@ -171,16 +171,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document row."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = stage(source.mapInArrow(_signatures, SIGNATURES), "signatures")
-    some = sigs.filter("n_shingles > 0")
+    some, n = sigs.filter("n_shingles > 0"), sigs.count()
     same = ["n_shingles", "set_a", "set_b"]
-    classes = stage(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = stage(sized(classes, n), "classes")
     copies = some.select("doc_id", *same).join(classes.filter("copies > 1"), same).select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a != b")
     reps = some.join(classes.select(*same, F.col("rep").alias("doc_id")), ["doc_id", *same]).dropDuplicates(["doc_id"])
-    reps = stage(reps.select("doc_id", "signature", "bands"), "reps")
+    reps = stage(sized(reps.select("doc_id", "signature", "bands"), BANDS * n), "reps")
     posted = reps.select("doc_id", F.explode("bands").alias("band"))
-    buckets = stage(posted.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n"))
-                    .filter("n > 1"), "buckets")
+    buckets = posted.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    buckets = stage(sized(buckets, BANDS * n), "buckets")
     members = stage(posted.join(buckets, "band"), "members")
 
     light = reps.select("doc_id", "signature")
@@ -189,32 +190,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .join(light.select(F.col("doc_id").alias("b"), F.col("signature").alias("sig_b")), "b")
              .select("a", "b", "sig_a", "sig_b").mapInArrow(_estimated, "a long, b long"))
     pairs = stage(pairs, "pairs")
-    ids = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+    ids = stage(sized(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), n), "ids")
     sets = _sets_of(source, ids)
     found = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
              .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
              .select("a", "b", "set_a", "set_b").mapInArrow(_confirmed, "a long, b long"))
     links = stage(copies.unionByName(found), "confirmed")
-    labels = stage(components(links), "labels")
+    labels = stage(sized(components(links), n), "labels")
 
     # Buckets with several components: pairs of two members were all compared with their hub above.
     named = members.filter("n > 2").join(labels, members.doc_id == labels.id, "left").select(
         "band", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-    named = stage(named, "named")
+    named = stage(sized(named, BANDS * n), "named")
     open_ = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                       F.count(F.lit(1)).alias("size")).filter("lo != hi").select("band", "size")
-    rest = stage(named.join(open_, "band"), "open")
+    rest = stage(sized(named.join(open_, "band"), BANDS * n), "open")
     # The same members meet in many bands: one bucket of each set of members is enough.
     marks = rest.groupBy("band").agg(F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("mark"), F.max("size").alias("size"))
     once = marks.groupBy("mark", "size").agg(F.min("band").alias("band")).select("band")
-    rest = stage(rest.join(once, "band"), "rest")
+    rest = stage(sized(rest.join(once, "band"), BANDS * n), "rest")
     if not rest.isEmpty():
-        sets = _sets_of(source, stage(rest.select("doc_id").distinct(), "ids"))
+        sets = _sets_of(source, stage(sized(rest.select("doc_id").distinct(), n), "ids"))
         # A pair of different components has a member outside the bucket's largest one: those
         # few meet every block of members, and the members are dealt out once for them.
         parts = rest.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-        parts = stage(parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                                F.max("n").alias("most"), F.sum("n").alias("all")), "parts")
+        parts = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                          F.max("n").alias("most"), F.sum("n").alias("all"))
+        parts = stage(sized(parts, BANDS * n), "parts")
         rest = rest.join(parts, "band").withColumn("outside", F.col("component") != F.col("largest"))
         blocks = F.ceil(F.col("all") / BLOCK).cast("int")
         groups = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
@@ -227,7 +229,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         dealt = left.unionByName(right).join(sets, "doc_id").join(light, "doc_id")
         more = dealt.groupBy("band", "x", "y").applyInArrow(_across, "a long, b long")
         links = stage(links.unionByName(more), "confirmed")
-        labels = stage(components(links), "labels")
+        labels = stage(sized(components(links), n), "labels")
     out = sigs.select("doc_id", "n_shingles").join(labels, sigs.doc_id == labels.id, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id") == F.col("component_id"))
