@@ -48,6 +48,14 @@ def feedback_records(events: DataFrame, posterior: str = "p_posterior") -> DataF
         F.coalesce(F.col("pred_prev") == taught, F.lit(False)).alias("era_correcto"))
 
 
+def count_samples(events: DataFrame, priors: DataFrame, model: str = "modelo", stretch: int = STRETCH) -> DataFrame:
+    """``num_muestras_total``: samples the taught model has seen with this event, training rows included."""
+    seen = numbered(events.select(model, SEQ), [model], SEQ, stretch, "_nth").drop("_total", model)
+    trained = priors.select(model, (F.col("n_ham") + F.col("n_spam")).alias("_trained"))
+    return events.join(seen, SEQ).join(trained, model, "left").withColumn(
+        "num_muestras_total", F.col("_nth") + F.coalesce("_trained", F.lit(0))).drop("_nth", "_trained")
+
+
 def learning_log(records: DataFrame, clean: str = "texto_procesado") -> DataFrame:
     """Compact log of taught mails with the running number of samples."""
     return records.select(
@@ -115,8 +123,8 @@ def history_order() -> list[Column]:
 def history_timeline(log: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """Every record with its iteration number inside its text's group."""
     rows = log.withColumn("clave", text_key(tx.sanitise(F.col("texto"))))
-    out = numbered(rows, ["clave"], SEQ, stretch, "iteracion")
-    return out.withColumn("es_actual", F.col("iteracion") == F.col("_total")).withColumn(
+    places = numbered(rows.select("clave", SEQ), ["clave"], SEQ, stretch, "iteracion").drop("clave")
+    return rows.join(places, SEQ).withColumn("es_actual", F.col("iteracion") == F.col("_total")).withColumn(
         "estado", F.when(F.col("era_correcto"), "Confirmado").otherwise("Reentrenado")).drop("_total")
 
 
@@ -133,12 +141,32 @@ def history_search(groups: DataFrame, query: str, fields: tuple[str, ...] = (
     return groups.filter(cond)
 
 
-def history_page(groups: DataFrame, page: int = 1, size: int | str = 10) -> DataFrame:
-    """One page of the ordered history; the page number is clamped to the existing pages."""
-    ordered = groups.orderBy(*history_order())
+def history_page(groups: DataFrame, page: int = 1, size: int | str = 10, stretch: int = STRETCH) -> DataFrame:
+    """One page of the ordered history; the page number is clamped to the existing pages.
+
+    Groups are counted per day, and inside the days that the page touches per
+    second and stretch of arrival numbers; only rows of the cells that the page
+    touches are sorted, so page p costs no more than page 1.
+    """
     if size == "all":
-        return ordered
+        return groups.orderBy(*history_order())
     total = groups.count()
     pages = max(1, -(-total // int(size)))
-    page = min(max(1, page), pages)
-    return ordered.offset((page - 1) * int(size)).limit(int(size))
+    first = (min(max(1, page), pages) - 1) * int(size)
+
+    def touched(sizes: DataFrame, order: Window) -> DataFrame:
+        before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        out = sizes.withColumn("_before", F.col("_start") + before)
+        return out.filter((F.col("_before") < first + int(size)) & (F.col("_before") + F.col("_n") > first)).drop("_start", "_n")
+
+    rows = groups.select("primero", "tiempo", F.floor(F.col("tiempo") / 86400).alias("_day"),
+                         F.floor(F.col("primero") / stretch).alias("_s"))
+    count = F.count(F.lit(1)).alias("_n")
+    days = touched(rows.groupBy("_day").agg(count).withColumn("_start", F.lit(0)), Window.orderBy(F.desc("_day")))
+    near = rows.join(days.withColumnRenamed("_before", "_start"), "_day")
+    cells = touched(near.groupBy("_day", "_start", "tiempo", "_s").agg(count),
+                    Window.partitionBy("_day").orderBy(F.desc("tiempo"), "_s"))
+    inside = F.row_number().over(Window.partitionBy("_day", "tiempo", "_s").orderBy("primero"))
+    ranked = near.join(cells, ["_day", "tiempo", "_s"]).withColumn("_rank", F.col("_before") + inside)
+    wanted = ranked.filter((F.col("_rank") > first) & (F.col("_rank") <= first + int(size))).select("primero")
+    return groups.join(wanted, "primero", "left_semi").orderBy(*history_order())

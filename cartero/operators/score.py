@@ -22,6 +22,11 @@ TOO_SHORT = "Información insuficiente: correo muy escueto (%d tokens tras limpi
 GREY_ZONE = "Zona gris de incertidumbre: probabilidad P(Spam)=%.3f muy cercana al umbral (%.2f)."
 
 
+def model_of(lang: Column) -> Column:
+    """The model that serves and learns a language: English has its own, all others share the Spanish one."""
+    return F.when(lang == "en", "en").otherwise("es")
+
+
 def route(df: DataFrame, text: str = "text", lang: str = "idioma_detectado",
           force_english: bool = False) -> DataFrame:
     """Add ``modelo``, ``idioma_modelo`` and ``texto_procesado``.
@@ -33,7 +38,7 @@ def route(df: DataFrame, text: str = "text", lang: str = "idioma_detectado",
     native = code.isin("en", "es")
     source = F.when(native, F.col(text)).otherwise(tx.expand_then_translate(F.col(text)))
     out = compute_once(df.withColumn(lang, code), texto_procesado=tx.clean_text(source))
-    return out.withColumn(MODEL, F.when(F.col(lang) == "en", "en").otherwise("es")).withColumn(
+    return out.withColumn(MODEL, model_of(F.col(lang))).withColumn(
         "idioma_modelo", F.when(F.col(lang) == "en", ROUTE_EN).when(F.col(lang) == "es", ROUTE_ES)
         .otherwise(F.format_string(ROUTE_OTHER, F.upper(F.col(lang)))))
 

@@ -752,8 +752,10 @@ def catalog_pick(spark, d):
 
 @query("timestamp:s idioma:s p_spam:s umbral:s motivo:s clave:s texto_procesado:s")
 def uncertain_archive(spark, d):
-    out = score.uncertain_archive(_predictions(spark, d), "text", F.lit("2024-01-31 00:00:00"))
-    return out.withColumn("clave", F.md5("texto_original"))
+    found = score.uncertain_archive(_predictions(spark, d), "text", F.lit("2024-01-31 00:00:00"))
+    path = mail.new_path(spark, "uncertain")
+    mail.append_log(found, path)
+    return spark.read.schema(found.schema).json(path).withColumn("clave", F.md5("texto_original"))
 
 
 # --------------------------------------------------------------------- feedback
@@ -773,10 +775,12 @@ def feedback_records(spark, d):
 
 @query("timestamp:s idioma:s etiqueta_asignada:s p_spam_previa:s num_muestras_total:l clave:s texto_procesado:s")
 def feedback_log(spark, d):
-    ev = feedback(spark, d).withColumn("_all", F.lit(1))
-    ev = history.numbered(ev, ["_all"], column="num_muestras_total", stretch=1000)
-    ev = ev.withColumn("texto_procesado", tx.clean_text(F.col("texto")))
-    return history.learning_log(ev).withColumn("clave", F.md5("texto_original"))
+    ev = feedback(spark, d).withColumn("modelo", score.model_of(F.col("idioma")))
+    ev = history.count_samples(ev, served_model(spark, d).priors)
+    log = history.learning_log(ev.withColumn("texto_procesado", tx.clean_text(F.col("texto"))))
+    path = mail.new_path(spark, "learning-log")
+    mail.append_log(log, path)
+    return spark.read.schema(log.schema).json(path).withColumn("clave", F.md5("texto_original"))
 
 
 def _event_folder(spark, d, files: int = 4) -> tuple[str, DataFrame]:
@@ -806,7 +810,7 @@ CATALOGUE = "id:s fecha:s idioma:s etiqueta:s label:l clave:s veces_entrenado:l
 
 @query(CATALOGUE)
 def retrain_catalog(spark, d):
-    return history.retrain_catalogue(feedback(spark, d), stretch=1000).withColumn("clave", F.md5("texto"))
+    return history.retrain_catalogue(feedback(spark, d)).withColumn("clave", F.md5("texto"))
 
 
 @query(CATALOGUE)
@@ -817,7 +821,7 @@ def retrain_catalog_stream(spark, d):
     run = stream.keep_catalogue(stream.read_events(spark, path, scored, files_per_batch=1), f"{root}/catalogue",
                                 f"{root}/checkpoint", posterior="p_posterior")
     run.awaitTermination()
-    return stream.current_catalogue(spark, f"{root}/catalogue", stretch=1000).withColumn("clave", F.md5("texto"))
+    return stream.current_catalogue(spark, f"{root}/catalogue").withColumn("clave", F.md5("texto"))
 
 
 @query("clave:s veces:l primero:l ultimo:l timestamp:s primera_fecha:s tiempo:l insignia:b etiqueta_ensenada:s cambio_delta:s")
@@ -827,7 +831,7 @@ def history_groups(spark, d):
 
 @query("clave:s seq:l iteracion:l es_actual:b porcentaje_antes:s porcentaje_despues:s cambio_delta:s estado:s")
 def history_timeline(spark, d):
-    return history.history_timeline(records(spark, d), stretch=1000).withColumn("clave", F.md5("texto"))
+    return history.history_timeline(records(spark, d)).withColumn("clave", F.md5("texto"))
 
 
 @query("clave:s veces:l ultimo:l idioma:s")

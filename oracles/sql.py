@@ -395,7 +395,8 @@ BODY["uncertain_archive"] = """SELECT '2024-01-31 00:00:00' AS timestamp, upper(
 BODY["feedback_records"] = """SELECT *, md5(txt) AS clave, upper(x) AS idioma, pred_prev AS prediccion_previa, p_spam AS probabilidad_spam_previa,
   CASE WHEN p_posterior >= umbral THEN 'SPAM' ELSE 'HAM' END AS prediccion_posterior, p_posterior AS probabilidad_spam_posterior FROM (SELECT * RENAME (idioma AS x) FROM fr)"""
 BODY["feedback_log"] = f"""SELECT timestamp, idioma, CASE label WHEN 1 THEN 'SPAM' ELSE 'HAM' END AS etiqueta_asignada, printf('%.3f', p_spam) AS p_spam_previa,
-  row_number() OVER (ORDER BY seq) AS num_muestras_total, md5(texto) AS clave, {f.clean('texto')} AS texto_procesado FROM fb"""
+  row_number() OVER (PARTITION BY modelo ORDER BY seq) + coalesce(n, 0) AS num_muestras_total, md5(texto) AS clave, {f.clean('texto')} AS texto_procesado
+FROM (SELECT *, CASE WHEN idioma = 'en' THEN 'en' ELSE 'es' END AS modelo FROM fb) LEFT JOIN (SELECT modelo, count(*) AS n FROM sv GROUP BY 1) USING (modelo)"""
 BODY["online_learning"] = taught("sv", "ev", "SELECT modelo, y FROM sv UNION ALL SELECT modelo, y FROM ev")
 BODY["retrain_catalog"] = catalogue("cat_post")
 BODY["retrain_catalog_stream"] = catalogue("cat_post")

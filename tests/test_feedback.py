@@ -106,3 +106,21 @@ def test_online_learning_stream_equals_batch(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "log")).count() == 30
     replay = state.teach(spark, last, stream.taught_features(rows.filter(F.col("seq") < 0)))
     assert replay.priors.count() == 2
+
+
+def test_history_page_equals_plain_order(spark):
+    day = "CASE WHEN id % 3 = 0 THEN 1000 ELSE 1000 + (id * 37) % 400000 END"
+    groups = spark.range(1, 301).selectExpr("id AS primero", f"{day} AS tiempo", "concat('t', id) AS texto")
+    want = [r["primero"] for r in groups.orderBy(*history.history_order()).collect()]
+    for page in (1, 7, 12, 30, 99):
+        got = [r["primero"] for r in history.history_page(groups, page, 10, stretch=16).collect()]
+        first = (min(page, 30) - 1) * 10
+        assert got == want[first:first + 10]
+    assert history.history_page(groups.limit(0), 3, 10).count() == 0
+
+
+def test_samples_are_counted_per_model(spark):
+    events = spark.createDataFrame([(1, "en"), (2, "es"), (3, "en"), (5, "fr")], "seq long, modelo string")
+    priors = spark.createDataFrame([("en", 3, 4), ("es", 1, 1)], "modelo string, n_ham long, n_spam long")
+    got = {r["seq"]: r["num_muestras_total"] for r in history.count_samples(events, priors, stretch=2).collect()}
+    assert got == {1: 8, 2: 3, 3: 9, 5: 1}
