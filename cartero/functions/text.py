@@ -263,19 +263,22 @@ def term_counts(terms: Column) -> Column:
 
 
 def char_grams(text: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
-    """Character n-grams of a (short) text."""
+    """Character n-grams of a text.
 
-    def of_size(bound: Column, n: int) -> Column:
-        last = F.length(bound) - (n - 1)
-        starts = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))
-        return F.when(last >= 1, F.transform(
-            starts, lambda i: F.substring(bound, i, F.lit(n)))).otherwise(
-                F.array().cast("array<string>"))
+    They are put together from the array of its characters, so the work grows
+    with the length of the text and not with its square.
+    """
 
-    def grams(bound: Column) -> Column:
-        return F.concat(*[of_size(bound, n) for n in sizes])
+    def of_size(chars: Column, n: int) -> Column:
+        last = F.size(chars) - n
+        gram = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                           lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)]))
+        return F.when(last >= 0, gram).otherwise(F.array().cast("array<string>"))
+
+    def grams(chars: Column) -> Column:
+        return F.concat(*[of_size(chars, n) for n in sizes])
 
-    return let(text, grams)
+    return let(F.filter(F.split(text, ""), lambda c: c != ""), grams)
 
 
 def language_window(text: Column, window: int | None = LANGUAGE_WINDOW) -> Column:

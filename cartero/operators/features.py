@@ -53,9 +53,13 @@ def vocabulary(features: DataFrame, max_features: int = MAX_FEATURES) -> DataFra
 
 
 def tfidf(features: DataFrame, vocab: DataFrame, max_rows: int, *carry: str) -> DataFrame:
-    """(modelo, id, carried, term, x) with (1 + ln cnt) * idf and L2-normalised mails."""
+    """(modelo, id, carried, term, x) with (1 + ln cnt) * idf and L2-normalised mails.
+
+    Mails are dealt out as one row each before they are taken apart, so the
+    norm of a mail needs no exchange of term rows.
+    """
     side = bounded_broadcast(vocab.select(MODEL, "term", "idf"), max_rows)
-    raw = long_counts(features, *carry).join(side, [MODEL, "term"]).withColumn(
+    raw = long_counts(features.repartition(MODEL, ID), *carry).join(side, [MODEL, "term"]).withColumn(
         "x", (1.0 + F.log(F.col("cnt").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(MODEL, ID)))
     return raw.select(MODEL, ID, *carry, "term", (F.col("x") / norm).alias("x"))

@@ -15,6 +15,8 @@ from cartero.sources.mail import write_stage
 
 ID = "message_id"
 UNKNOWN = "desconocido"
+BLANK = "es"           # language of a blank mail at scoring time
+MAX_LANGUAGES = 200    # more codes than this are taken for an error in the column
 
 
 def normalise(df: DataFrame, text: str = "Message", keep_short: bool = False) -> DataFrame:
@@ -58,15 +60,19 @@ def train_languages(df: DataFrame, text: str = "text", lang: str = "lang",
                     languages: tuple[str, ...] | None = None) -> LanguageModel:
     """Count n-grams per language and keep each language's most frequent ones.
 
-    The list of languages is read from the data when it is not given; it is a
-    list of language codes, so its size is that of the code set.
+    The list of languages is read from the data when it is not given; a column
+    of more than ``MAX_LANGUAGES`` codes is refused.
     """
+    df = df.filter(F.col(lang).isNotNull())
     grams = df.select(F.col(lang).alias("idioma"), F.explode(
         tx.char_grams(tx.language_window(F.col(text), window), sizes)).alias("g"))
     counts = grams.groupBy("idioma", "g").agg(F.count(F.lit(1)).alias("n"))
     top = top_per_group(counts, "idioma", "n", "g", profile_size)
     if languages is None:
-        languages = tuple(sorted(r[0] for r in df.select(lang).distinct().collect()))
+        codes = df.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect()
+        if len(codes) > MAX_LANGUAGES:
+            raise ValueError(f"more than {MAX_LANGUAGES} languages in column {lang}")
+        languages = tuple(sorted(r[0] for r in codes))
     wide = write_stage(top.groupBy("g").agg(*[
         F.sum(F.when(F.col("idioma") == x, F.col("n")).otherwise(0)).alias(x) for x in languages]), "profile")
     totals = wide.agg(F.count(F.lit(1)).alias("_v"), *[F.sum(x).alias(f"_{x}") for x in languages])
@@ -82,18 +88,19 @@ def detect_language(df: DataFrame, model: LanguageModel, text: str = "text", ide
                     window: int | None = tx.LANGUAGE_WINDOW) -> DataFrame:
     """(id, idioma_detectado): best-scoring language, ``desconocido`` for very short texts.
 
-    A text's n-grams sit in one partition, so its scores are merged before the
-    shuffle and one narrow row per text moves.
+    ``window=None`` looks at the whole text.  A text's n-grams are counted inside
+    the row, and their scores are merged before the shuffle, so one narrow row
+    per text moves.
     """
     langs = model.languages
     cut = tx.language_window(F.col(text), window)
     short = df.select(ident, cut.alias("_t"))
     grams = short.select(ident, (F.length("_t") < tx.LANGUAGE_MIN_CHARS).alias("_short"),
-                         F.explode_outer(tx.char_grams(F.col("_t"), model.sizes)).alias("g"))
+                         F.inline_outer(tx.term_counts(tx.char_grams(F.col("_t"), model.sizes))).alias("g", "_c"))
     profile = bounded_broadcast(model.profile, len(langs) * model.profile_size)
     sums = grams.join(profile, "g", "left").groupBy(ident).agg(
-        F.count("g").alias("_n"), F.max("_short").alias("_short"),
-        *[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in langs])
+        F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"), F.max("_short").alias("_short"),
+        *[F.coalesce(F.sum(F.col(x) * F.col("_c")), F.lit(0.0)).alias(x) for x in langs])
     floor = model.floor.select(*[F.col(x).alias(f"_f_{x}") for x in langs])
     scored = sums.crossJoin(F.broadcast(floor))
     best = F.array_max(F.array(*[
@@ -103,6 +110,21 @@ def detect_language(df: DataFrame, model: LanguageModel, text: str = "text", ide
                          .alias("idioma_detectado"))
 
 
+def detect_mail_language(df: DataFrame, model: LanguageModel, text: str = "text", ident: str = ID) -> DataFrame:
+    """(id, idioma_detectado) at scoring time, from the whole text.
+
+    A blank mail counts as Spanish; one that is very short or has no letter is
+    told by its English hint words.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    facts = df.select(ident, (tx.strip(body) == "").alias("_blank"), body.rlike(r"\p{L}").alias("_letters"),
+                      tx.english_hint(body).alias("_hint"))
+    found = detect_language(df, model, text, ident, window=None).join(facts, ident)
+    told = F.col("_letters") & (F.col("idioma_detectado") != UNKNOWN)
+    return found.select(ident, F.when(F.col("_blank"), BLANK).when(told, F.col("idioma_detectado"))
+                        .otherwise(F.col("_hint")).alias("idioma_detectado"))
+
+
 def language_census(df: DataFrame, column: str = "idioma_detectado") -> DataFrame:
     """(idioma_iso, conteo, porcentaje with two decimals)."""
     n = df.groupBy(F.col(column).alias("idioma_iso")).agg(F.count(F.lit(1)).alias("conteo"))

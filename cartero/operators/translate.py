@@ -152,8 +152,14 @@ def length_parity(df: DataFrame, text: str = "clean_en", translated: str = "text
 
 
 def examples_per_language(df: DataFrame, lang: str = "idioma_detectado", ident: str = ID,
-                          main: str = "en", n_main: int = 10, n_other: int = 3) -> DataFrame:
-    """First rows per language; the constant bound on the rank lets every task keep its own top rows."""
+                          main: str = "en", n_main: int = 10, n_other: int = 3,
+                          n_plain: int = 30) -> DataFrame:
+    """First rows per language; the constant bound on the rank lets every task keep its own top rows.
+
+    Without a language column, the first ``n_plain`` rows.
+    """
+    if lang not in df.columns:
+        return df.orderBy(ident).limit(n_plain)
     rank = F.row_number().over(Window.partitionBy(lang).orderBy(ident))
     top = df.withColumn("orden", rank).filter(F.col("orden") <= max(n_main, n_other))
     return top.filter(F.col("orden") <= F.when(F.col(lang) == main, n_main).otherwise(n_other))

@@ -17,7 +17,7 @@ from cartero.functions import text as tx
 from cartero.functions.expressions import hash_order
 from cartero.operators import (bayes, clean, diagnostics, evaluate, features, history, logistic,
                                normalise, sampling, score, selection, translate)
-from cartero.plans.tables import LANGS, documents, feedback, raw_mail, table
+from cartero.plans.tables import documents, feedback, raw_mail, table
 from cartero.sources import mail
 from cartero.streaming import feedback as stream
 
@@ -268,7 +268,7 @@ def meta_token_counts(spark, d):
 
 def _language_model(spark, d):
     docs = documents(spark, d)
-    return normalise.train_languages(docs.filter(hash_order(F.col(ID), "lang") % 2 == 0), languages=LANGS)
+    return normalise.train_languages(docs.filter(hash_order(F.col(ID), "lang") % 2 == 0))
 
 
 def _detected(spark, d):
@@ -681,7 +681,9 @@ def metrics_unpivot(spark, d):
 
 # ---------------------------------------------------------------------- scoring
 def _routed(spark, d):
-    return score.route(documents(spark, d).withColumnRenamed("lang", "idioma_detectado"))
+    docs = documents(spark, d).drop("lang")
+    found = normalise.detect_mail_language(docs, _language_model(spark, d))
+    return score.route(docs.join(found, ID))
 
 
 @query("message_id:l modelo:s idioma_modelo:s clave:s")

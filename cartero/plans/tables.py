@@ -13,8 +13,6 @@ from cartero.functions.expressions import hash_order
 from cartero.operators.history import numbered
 from cartero.sources.mail import spread
 
-LANGS = ("de", "en", "es", "fr")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +50,30 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+_SCOPES: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), "cartero", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), "cartero", f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Remove what was written inside the scope when it is left.
+
+    A result is lazy and may read stages, so write it to a path of your own (or
+    collect it, if it is small) before the scope ends.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_stage(df: DataFrame, name: str) -> DataFrame:
@@ -101,13 +126,25 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.parquet(path)
 
 
+def readable(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The source, or None if it is missing or its first row cannot be read."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        df = read_any(spark, path, schema)
+        df.isEmpty()
+    except (PySparkException, Py4JJavaError):
+        return None
+    return df
+
+
 def read_first(spark: SparkSession, candidates: Sequence[str],
                schema: T.StructType | None = None) -> DataFrame:
-    """First candidate that exists; provenance and a default split are recorded."""
-    path = next((p for p in candidates if path_exists(spark, p)), None)
-    if path is None:
+    """First candidate that can be read; provenance and a default split are recorded."""
+    found = (readable(spark, p, schema) for p in candidates)
+    df = next((f for f in found if f is not None), None)
+    if df is None:
         raise FileNotFoundError("no readable source among: " + ", ".join(candidates))
-    df = read_any(spark, path, schema)
     split = F.coalesce(F.col("split"), F.lit("local")) if "split" in df.columns else F.lit("local")
     return df.withColumn("split", split).withColumn("fuente", F.lit("local_fallback"))
 

@@ -10,7 +10,6 @@ from cartero.plans.queries import SPECS
 from oracles import fragments as f
 
 EN, ES = lx.STOP_WORDS_EN, lx.STOP_WORDS_ES
-LANGS = ("de", "en", "es", "fr")
 CTES: dict[str, str] = {}
 BODY: dict[str, str] = {}
 
@@ -88,7 +87,7 @@ CTES["routed"] = f"""
 SELECT message_id, text, lang, CASE WHEN lang = 'en' THEN 'en' ELSE 'es' END AS modelo,
        CASE lang WHEN 'en' THEN {f.q(ROUTE_EN)} WHEN 'es' THEN {f.q(ROUTE_ES)} ELSE 'Español (Detectado ' || upper(lang) || ', Traducido a ES)' END AS idioma_modelo,
        {f.clean('src')} AS texto_procesado
-FROM (SELECT *, CASE WHEN lang IN ('en', 'es') THEN text ELSE {f.expand_lexical('text')} END AS src FROM docs)"""
+FROM (SELECT *, CASE WHEN lang IN ('en', 'es') THEN text ELSE {f.expand_lexical('text')} END AS src FROM wld)"""
 CTES["rt"] = (terms("(SELECT * FROM routed WHERE modelo = 'en')", "modelo, message_id", "texto_procesado", EN, 2) + " UNION ALL "
               + terms("(SELECT * FROM routed WHERE modelo = 'es')", "modelo, message_id", "texto_procesado", ES, 1))
 CTES.update({k: v for k, v in f.nb("sv", "sv").items() if k != "sv_p"})
@@ -180,17 +179,28 @@ CTES["lgt"] = f"SELECT message_id, lang, {_lw} AS t FROM docs"
 _gr = " UNION ALL ".join(f"SELECT message_id, lang, t, unnest(list_transform(range(1, greatest(length(t) - {n - 1}, 0) + 1), lambda i: substr(t, i, {n}))) AS g FROM lgt"
                          for n in (1, 2, 3))
 CTES["lgg"] = _gr
-CTES["lgc"] = (f"SELECT lang, g, count(*) AS n FROM lgg WHERE {f.h('message_id', 'lang')} % 2 = 0 GROUP BY 1, 2 "
+CTES["lgc"] = (f"SELECT lang, g, count(*) AS n FROM lgg WHERE lang IS NOT NULL AND {f.h('message_id', 'lang')} % 2 = 0 GROUP BY 1, 2 "
                "QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, g) <= 5000")
-CTES["lgs"] = "SELECT lang, sum(n) AS tot, (SELECT count(DISTINCT g) FROM lgc) AS v FROM lgc GROUP BY 1"
+CTES["lgs"] = "SELECT lang, sum(n) AS tot, (SELECT count(DISTINCT g) FROM lgc) AS v, CAST(row_number() OVER (ORDER BY lang) AS INT) AS o FROM lgc GROUP BY 1"
 CTES["lgp"] = """
 SELECT message_id, max_by(lang, struct_pack(s := s, o := o)) AS idioma FROM (
-  SELECT d.message_id, l.lang, -CAST(list_position(['de', 'en', 'es', 'fr'], l.lang) AS INT) AS o,
+  SELECT d.message_id, l.lang, -l.o AS o,
          round(coalesce(any_value(gain), 0e0) + any_value(coalesce(ng, 0)) * any_value(ln(0.5e0) - ln(tot + 0.5e0 * v)), 6) AS s
   FROM lgt d CROSS JOIN lgs l
   LEFT JOIN (SELECT message_id, count(*) AS ng FROM lgg GROUP BY 1) k ON k.message_id = d.message_id
   LEFT JOIN (SELECT a.message_id, b.lang, sum(ln(b.n + 0.5e0) - ln(0.5e0)) AS gain FROM lgg a JOIN lgc b ON a.g = b.g GROUP BY 1, 2) x
-    ON x.message_id = d.message_id AND x.lang = l.lang GROUP BY 1, 2) GROUP BY 1"""
+    ON x.message_id = d.message_id AND x.lang = l.lang GROUP BY 1, 2, 3) GROUP BY 1"""
+# whole texts, at scoring time
+CTES["wlt"] = f"SELECT message_id, text, source, lower({f.strip('text')}) AS t FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM docs)"
+_chars = "SELECT message_id, string_split(t, '') AS c FROM wlt WHERE t <> ''"
+CTES["wlg"] = "SELECT message_id, g, count(*) AS cnt FROM (" + " UNION ALL ".join(
+    f"SELECT message_id, unnest(list_transform(range(1, greatest(len(c) - {n - 1}, 0) + 1), lambda i: {' || '.join(f'c[i + {k}]' for k in range(n))})) AS g FROM ({_chars})"
+    for n in (1, 2, 3)) + ") GROUP BY 1, 2"
+CTES["wlp"] = (CTES["lgp"].replace("FROM lgt d", "FROM wlt d").replace("count(*) AS ng FROM lgg", "sum(cnt) AS ng FROM wlg")
+               .replace("sum(ln(b.n + 0.5e0) - ln(0.5e0)) AS gain FROM lgg a", "sum(a.cnt * (ln(b.n + 0.5e0) - ln(0.5e0))) AS gain FROM wlg a"))
+_hint = f"CASE WHEN len(list_intersect(list_distinct({f.words('lower(text)')}), {f.sql_list(lx.ENGLISH_HINTS)})) >= 2 THEN 'en' ELSE 'es' END"
+CTES["wld"] = f"""SELECT message_id, text, source, CASE WHEN {f.strip('text')} = '' THEN 'es' WHEN length(t) < 6 OR NOT regexp_matches(text, '\\p{{L}}') THEN {_hint}
+  ELSE idioma END AS lang FROM wlt JOIN wlp USING (message_id)"""
 CTES["lgd"] = "SELECT message_id, lang, text, CASE WHEN length(t) < 6 THEN 'desconocido' ELSE idioma END AS idioma_detectado FROM lgp JOIN lgt USING (message_id, ) JOIN (SELECT message_id, text FROM docs) USING (message_id)".replace("(message_id, )", "(message_id)")
 
 # feedback

@@ -1,7 +1,9 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartero.operators import clean, normalise, sampling, translate
 from cartero.operators.ranking import top_per_group
@@ -143,3 +145,41 @@ def test_resume_and_patch(spark):
     prior = spark.createDataFrame([(1, "previo"), (2, " "), (3, "viejo")], "message_id long, texto_es string")
     got = {r.message_id: (r.texto_es, r.rehecho) for r in translate.incremental_patch(df, prior).collect()}
     assert got == {1: ("previo", False), 2: ("ganar", True), 3: ("x" * 700, True)}
+
+
+def test_first_readable_source_and_removed_stages(spark, tmp_path):
+    broken = tmp_path / "broken.parquet"
+    broken.write_bytes(b"no parquet at all")
+    good = tmp_path / "good.jsonl"
+    good.write_text('{"message_id": 1, "text": "a"}\n')
+    schema = "message_id long, text string"
+    df = mail.read_first(spark, [str(tmp_path / "none.csv"), str(broken), str(good)], T.StructType.fromDDL(schema))
+    assert [r.message_id for r in df.collect()] == [1]
+    with mail.stage_scope(spark):
+        kept = mail.write_stage(df, "scoped")
+        path = kept.inputFiles()[0].removeprefix("file:")
+        assert kept.count() == 1 and os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+
+
+def test_examples_without_a_language_column(spark):
+    df = spark.range(50).select(F.col("id").alias("message_id"))
+    assert ids(translate.examples_per_language(df)) == list(range(30))
+
+
+def test_language_at_scoring_time(spark):
+    words = {"en": "the quick reply about money was sent this week", "es": "los pagos de esta semana se enviaron ayer",
+             "fr": "les paiements de cette semaine ont été envoyés hier"}
+    rows = [(i, words[l], l) for i, l in enumerate(words)] + [(9, "sin idioma", None)]
+    model = normalise.train_languages(spark.createDataFrame(rows, "message_id long, text string, lang string"))
+    assert model.languages == ("en", "es", "fr")
+    late = "7 " * 400 + words["fr"] * 20     # the language shows far behind the batch window
+    mails = [(1, None), (2, " \n"), (3, "12 345 678"), (4, "the"), (5, late), (6, words["en"])]
+    got = normalise.detect_mail_language(spark.createDataFrame(mails, "message_id long, text string"), model)
+    assert {r.message_id: r.idioma_detectado for r in got.collect()} == {1: "es", 2: "es", 3: "es", 4: "es", 5: "fr", 6: "en"}
+
+
+def test_too_many_languages_are_refused(spark):
+    df = spark.range(normalise.MAX_LANGUAGES + 1).select(F.lit("texto").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        normalise.train_languages(df)

@@ -190,3 +190,12 @@ def test_routing(spark):
     assert rows[1].texto_procesado == "hello number" and rows[3].texto_procesado == "hola ganar"
     assert rows[3].idioma_modelo == "Español (Detectado FR, Traducido a ES)"
     assert {r.modelo for r in score.route(df, force_english=True).collect()} == {"en"}
+
+
+def test_norms_need_no_exchange_of_term_rows(spark):
+    rows = spark.createDataFrame([(1, "uno dos dos"), (2, "dos tres")], "message_id long, t string")
+    feats = write_stage(features.featurise(rows, "t", "m", [], 1), "features")
+    vocab = write_stage(features.vocabulary(feats, 10), "vocab")
+    plan = features.tfidf(feats, vocab, 10)._jdf.queryExecution().executedPlan().toString()
+    window, generate, dealt = plan.index("Window ["), plan.index("Generate inline"), plan.index("REPARTITION_BY_COL")
+    assert window < generate < dealt and "ENSURE_REQUIREMENTS" not in plan[window:generate]
