@@ -47,6 +47,11 @@ def vocabulary(features: DataFrame, max_features: int = MAX_FEATURES) -> DataFra
     n = features.groupBy(MODEL).agg(F.count(F.lit(1)).alias("_n"))
     freq = long_counts(features).groupBy(MODEL, "term").agg(
         F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("df"))
+    return ranked_vocabulary(freq, n, max_features)
+
+
+def ranked_vocabulary(freq: DataFrame, n: DataFrame, max_features: int) -> DataFrame:
+    """The vocabulary of counted terms (modelo, term, total, df) and mails (modelo, _n)."""
     top = top_per_group(freq, MODEL, "total", "term", max_features)
     idf = F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0
     return top.join(n, MODEL).select(MODEL, "term", "total", "df", idf.alias("idf"), "rango")
