@@ -2,12 +2,15 @@
 
 A line is stripped of outer white space; blank lines take no part and stay.  A run
 counts when it has WINDOW lines or more that stand one after the
-other (blank lines between them aside).
+other (blank lines between them aside).  With ``words`` a run of fewer lines, one line
+also, counts too when it has more than so many words.
 
 1. Of every WINDOW consecutive line hashes the smallest is a fingerprint, so every run
-   of WINDOW lines holds one.  Fingerprints are counted over the corpus.
+   of WINDOW lines holds one.  A shorter run that counts by its words is a fingerprint of
+   its own, unless it holds a shorter one that counts.  Fingerprints are counted over the
+   corpus.
 2. Positions are joined with the fingerprints that occur twice or more, and every
-   match is extended to both sides: all runs of WINDOW lines around the position.
+   match is extended to both sides: all runs that count around the position.
 3. The first place (smallest doc_id, then line) of every such run is a grouped
    minimum; lines of a run with an earlier place are deleted.
 
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartero.llm.common import U64, bytes_of, narrow, slices, span_hashes, stage, window_hashes
+from cartero.llm.decontaminate import words_of
 
 WINDOW = 3
 _BLANK = np.zeros(256, bool)
@@ -55,14 +59,44 @@ def lines_of(buf: np.ndarray, offs: np.ndarray):
     return starts, ends, s, e, np.searchsorted(starts, offs)
 
 
-def _line_hashes(column: pa.Array):
-    """Per text: (hashes of lines that are not blank, their line numbers)."""
+def _line_hashes(column: pa.Array, words: int | None):
+    """Per text: (hashes of lines that are not blank, their numbers of words if ``words`` asks for them)."""
     buf, offs = bytes_of(column)
     starts, _, s, e, bounds = lines_of(buf, offs)
     hashes, full = span_hashes(buf, s, e), e > s
+    n_words = np.zeros(len(s), np.int64)
+    if words is not None:
+        begin = words_of(column)[2]
+        n_words = np.searchsorted(begin, e) - np.searchsorted(begin, s)
     for a, b in zip(bounds[:-1], bounds[1:]):
         used = np.flatnonzero(full[a:b])
-        yield hashes[a:b][used], used
+        yield hashes[a:b][used], n_words[a:b][used]
+
+
+def _counts(n_words: np.ndarray, k: int, window: int, words: int | None) -> np.ndarray:
+    """Whether the run of ``k`` lines at every start counts."""
+    n = max(len(n_words) - k + 1, 0)
+    if k == window:
+        return np.ones(n, bool)
+    if words is None:
+        return np.zeros(n, bool)
+    total = np.concatenate([[0], np.cumsum(n_words)])
+    return total[k:] - total[:-k] > words if n else np.zeros(0, bool)
+
+
+def _prints(hashes: np.ndarray, n_words: np.ndarray, window: int, words: int | None):
+    """(places, fingerprints) of a text."""
+    at = winnow(hashes, window)
+    places, prints = [at], [hashes[at]]
+    if words is not None:
+        held = np.zeros(len(hashes) + 1, bool)  # runs of k - 1 lines that count
+        for k in range(1, window):
+            own = _counts(n_words, k, window, words)
+            new = np.flatnonzero(own & ~held[:len(own)] & ~held[1:len(own) + 1])
+            places.append(new)
+            prints.append(window_hashes(hashes, k)[new])
+            held = np.append(own, False)
+    return np.concatenate(places), np.concatenate(prints)
 
 
 def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -74,12 +108,12 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.arange(n) + window - 1 - np.argmin(view, axis=1))
 
 
-def _marks(window, batches):
+def _marks(window, words, batches):
     for b in slices(batches):
         ids, prints, places = b.column("doc_id").to_numpy(False), [], []
-        for (hashes, _), ident in zip(_line_hashes(b.column("text")), ids):
-            p = winnow(hashes, window)
-            prints.append(hashes[p])
+        for (hashes, n_words), ident in zip(_line_hashes(b.column("text"), words), ids):
+            p, found = _prints(hashes, n_words, window, words)
+            prints.append(found)
             places.append((ident, p))
         doc = np.repeat(ids, [len(p) for _, p in places])
         yield pa.RecordBatch.from_arrays(
@@ -87,35 +121,38 @@ def _marks(window, batches):
             ["doc_id", "place", "print"])
 
 
-def _extend(window, batches):
-    """Runs of ``window`` lines around repeated fingerprints."""
+def _extend(window, words, batches):
+    """Runs that count around repeated fingerprints."""
     for b in slices(batches):
-        ids, out = b.column("doc_id").to_numpy(False), ([], [], [])
-        for (hashes, _), ident, places in zip(_line_hashes(b.column("text")), ids, b.column("places").to_pylist()):
-            runs = window_hashes(hashes, window)
-            at = np.unique(np.add.outer(np.array(places, np.int64), np.arange(1 - window, 1)))
-            at = at[(at >= 0) & (at < len(runs))]
-            out[0].append(np.full(len(at), ident))
-            out[1].append(at)
-            out[2].append(runs[at].view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["doc_id", "place", "run"])
-
-
-def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, starts array<long>): starts of later runs, counted in lines that are not blank."""
+        ids, out = b.column("doc_id").to_numpy(False), ([], [], [], [])
+        for (hashes, n_words), ident, places in zip(_line_hashes(b.column("text"), words), ids, b.column("places").to_pylist()):
+            for k in range(1 if words is not None else window, window + 1):
+                runs, own = window_hashes(hashes, k), _counts(n_words, k, window, words)
+                at = np.unique(np.add.outer(np.array(places, np.int64), np.arange(1 - k, 1)))
+                at = at[(at >= 0) & (at < len(runs))]
+                at = at[own[at]]
+                out[0].append(np.full(len(at), ident))
+                out[1].append(at)
+                out[2].append(np.full(len(at), k))
+                out[3].append(runs[at].view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["doc_id", "place", "lines", "run"])
+
+
+def repeated(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
+    """(doc_id, starts array<struct<place, lines>>): later runs, counted in lines that are not blank."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null")
-    marks = stage(source.mapInArrow(partial(_marks, window), "doc_id long, place long, print long"), "marks")
+    marks = stage(source.mapInArrow(partial(_marks, window, words), "doc_id long, place long, print long"), "marks")
     twice = stage(marks.groupBy("print").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("print"), "twice")
     places = marks.join(twice, "print").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    around = source.join(places, "doc_id").mapInArrow(partial(_extend, window), "doc_id long, place long, run long")
+    around = source.join(places, "doc_id").mapInArrow(partial(_extend, window, words), "doc_id long, place long, lines long, run long")
     around = stage(around, "runs")
     first = around.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = stage(first.filter("n > 1").select("run", "first"), "first")
     later = around.join(first, "run").filter(F.struct("doc_id", "place") > F.col("first"))
-    return later.groupBy("doc_id").agg(F.array_sort(F.collect_set("place")).alias("starts"))
+    return later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("place", "lines"))).alias("starts"))
 
 
-def _delete(window, batches):
+def _delete(batches):
     for b in slices(batches):
         texts, removed, spans = [], [], []
         columns = b.column("text"), b.column("_starts").to_pylist()
@@ -129,8 +166,11 @@ def _delete(window, batches):
                 spans.append(0)
                 continue
             full = np.flatnonzero(e[a:z] > s[a:z])
-            gone = np.zeros(len(full), bool)
-            gone[np.unique(np.add.outer(np.array(at), np.arange(window)))] = True
+            edge = np.zeros(len(full) + 1, np.int64)
+            place, n = (np.array([run[c] for run in at]) for c in ("place", "lines"))
+            np.add.at(edge, place, 1)
+            np.add.at(edge, place + n, -1)
+            gone = np.cumsum(edge[:-1]) > 0
             keep = np.ones(z - a, bool)
             keep[full[gone]] = False
             texts.append(b"\n".join([raw[x:y] for x, y in zip(starts[a:z][keep], ends[a:z][keep])]).decode())
@@ -142,11 +182,11 @@ def _delete(window, batches):
             [*[c for c in b.schema.names if c not in ("text", "_starts")], "text", "lines_removed", "runs_removed"])
 
 
-def delete_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def delete_runs(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """All columns with the runs cut out of ``text``, and lines_removed, runs_removed."""
-    found = repeated(docs, window).select(F.col("doc_id").alias("_doc"), F.col("starts").alias("_starts"))
+    found = repeated(docs, window, words).select(F.col("doc_id").alias("_doc"), F.col("starts").alias("_starts"))
     joined = docs.join(found, docs.doc_id == F.col("_doc"), "left").drop("_doc")
     rest = [f for f in docs.schema.fields if f.name not in ("text", "lines_removed", "runs_removed")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         "text string, lines_removed long, runs_removed long"])
-    return joined.select(*[docs[f.name] for f in rest], "text", "_starts").mapInArrow(partial(_delete, window), schema)
+    return joined.select(*[docs[f.name] for f in rest], "text", "_starts").mapInArrow(_delete, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cartero.llm import common, decontaminate, langid, minhash, packing, queries, winnow
 
+PASSAGE_WORDS = 50  # one or two lines of more words count as a run of lines
 LEAST_CERTAIN = 0.5  # a language is rejected if it is not likelier than all others together
 
 
@@ -23,9 +24,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup (9): later runs of lines go, and documents that were nothing else."""
+    """Line dedup (9): later runs of lines and passages go, and documents that were nothing else."""
     common.ship(spark)
-    cut = winnow.delete_runs(docs)
+    cut = winnow.delete_runs(docs, words=PASSAGE_WORDS)
     cut = cut.filter((F.col("lines_removed") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     if "n_chars" in docs.columns:
         count = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))

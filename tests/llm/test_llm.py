@@ -264,6 +264,21 @@ def test_line_dedup(docs):
         assert (r.text, r.lines_removed) == (want, len(lines)) and r.n_words == "clash"
 
 
+def test_line_dedup_counts_words(spark):
+    common.ship(spark)
+    long, half, other = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("l", 51), ("h", 26), ("o", 26)))
+    short = " ".join(f"s{i}" for i in range(50))
+    texts = [f"{long}\nend", f"{half}\n\n{other}", f"first\n {long} ", f"{half}\n{other}\nlast", short, short, long,
+             f"{half}\nbetween\n{other}"]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int")
+    got = {r.doc_id: (r.text, r.lines_removed, r.runs_removed) for r in winnow.delete_runs(frame, words=50).collect()}
+    want = {i: (t, 0, 0) for i, t in enumerate(texts)}
+    assert got == {**want, 2: ("first", 1, 1), 3: ("last", 2, 1), 6: ("", 1, 1)}
+    assert {r.doc_id: (r.text, r.lines_removed, r.runs_removed) for r in winnow.delete_runs(frame).collect()} == want
+    left = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, frame, SMALL).collect()}
+    assert left[2] == "first" and left[3] == "last" and 6 not in left and left[5] == short
+
+
 @pytest.mark.parametrize("hot", [1, 10 ** 6])
 def test_suffix_dedup(docs, hot):
     rows = sorted({(r.doc_id, (r.text or "").encode()) for r in docs.select("doc_id", "text").collect()})
