@@ -1,7 +1,10 @@
 """LM scoring by masked pseudo-likelihood: a window network predicts every word from both sides.
 
 Words are those of the benchmark contract.  The vocabulary holds the VOCAB - 1 most
-frequent words of all documents; any other word is word 0.  The network reads the
+frequent words of all documents; any other word is word 0, whose probability is shared
+out: a word with LEAST occurrences has its share of all words outside the vocabulary, and
+the share of the rarer ones is spelt out, letter by letter after the two letters before.
+Both count all documents, so their tables grow with the input.  The network reads the
 embeddings of SIDE words on either side (a padding word beyond the ends), one hidden
 layer, and a softmax in two steps, class and word in class.  Every partition trains on
 masked positions of all its documents (one in MASKED, another set in each round) from
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartero.llm.common import narrow, slices, span_hashes
+from cartero.llm.common import narrow, ragged, slices, span_hashes, stage
 from cartero.llm.decontaminate import words_of
 
 CLASSES = 32
@@ -30,6 +33,10 @@ VOCAB = CLASSES * CLASSES
 SIDE, WIDTH, HIDDEN = 2, 16, 24
 MASKED, ROUNDS, BATCH, RATE = 16, 2, 1024, 0.2
 FLUSH = 1 << 20
+LEAST, SMOOTH = 5, 16
+_LETTER = np.zeros(256, np.int64)  # 0 is the end of a word, and what stands before it
+_LETTER[48:58], _LETTER[97:123], _LETTER[128:] = np.arange(1, 11), np.arange(11, 37), np.arange(37, 165)
+LETTERS = 165
 SHAPES = {"embed": (VOCAB + 1, WIDTH), "w1": (2 * SIDE * WIDTH, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES),
           "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, CLASSES), "bw": (CLASSES, CLASSES)}
 
@@ -123,6 +130,49 @@ class Vocabulary:
         return np.where(self.keys[at] == hashes, self.ids[at], 0)
 
 
+def spelling(buf: np.ndarray, s: np.ndarray, e: np.ndarray):
+    """(code of every letter and end after the two before it, first code of each word)."""
+    sizes = e - s + 1
+    first = np.cumsum(sizes) - sizes
+    sym = _LETTER[buf[np.minimum(ragged(s, sizes), len(buf) - 1)]]
+    sym[first + sizes - 1] = 0
+    one, two = np.zeros_like(sym), np.zeros_like(sym)
+    one[1:], two[2:] = sym[:-1], sym[:-2]
+    two[first] = 0
+    return (two * LETTERS + one) * LETTERS + sym, first
+
+
+class Outside:
+    """Log probabilities of words given that they are outside the vocabulary."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, rarer: int, codes: np.ndarray, n: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order]
+        self.rarer = max(rarer, 1)
+        self.total = int(counts.sum()) + self.rarer
+        three = np.zeros(LETTERS ** 3, np.float32)
+        three[codes] = n
+        three = three.reshape(LETTERS, LETTERS, LETTERS)
+        two = three.sum(0, dtype=np.float64)
+        one = (two.sum(0) + 1) / (two.sum() + LETTERS)
+        two = (two + SMOOTH * one) / (two.sum(1, keepdims=True) + SMOOTH)
+        size = three.sum(2, keepdims=True) + np.float32(SMOOTH)
+        three += (SMOOTH * two).astype(np.float32)
+        self.logs = np.log(three / size).ravel()
+
+    def of(self, hashes: np.ndarray, buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        if not len(hashes):
+            return np.zeros(0)
+        codes, first = spelling(buf, s, e)
+        spelt = np.add.reduceat(self.logs[codes].astype(np.float64), first) + np.log(self.rarer / self.total)
+        if not len(self.keys):
+            return spelt
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        known = np.flatnonzero(self.keys[at] == hashes)
+        spelt[known] = np.logaddexp(spelt[known], np.log(self.counts[at[known]] / self.total))
+        return spelt
+
+
 # -------------------------------------------------------------------- in tasks
 def _count(batches):
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -148,9 +198,17 @@ def _count(batches):
 def _train(vocabulary, flat, turn, batches):
     net = {k: v.copy() for k, v in unpack(flat).items()}
     memory, seen, wait = {k: np.full_like(v, 1e-3) for k, v in net.items()}, 0, []
+    spelt, held = np.zeros(LETTERS ** 3 if turn == 0 else 0, np.int64), []
     for b in slices(batches):
         buf, _, s, e, bounds = words_of(b.column("text"))
         ids = vocabulary.of(span_hashes(buf, s, e).view(np.int64))
+        if turn == 0:
+            other = np.flatnonzero(ids == 0)
+            if len(other):
+                held.append(spelling(buf, s[other], e[other])[0])
+            if sum(map(len, held)) > 4 * FLUSH:
+                spelt += np.bincount(np.concatenate(held), minlength=len(spelt))
+                held = []
         at = np.arange((turn * 5 + seen) % MASKED, len(ids), MASKED)
         if not len(at):
             continue
@@ -165,6 +223,11 @@ def _train(vocabulary, flat, turn, batches):
     for around, words in wait:
         if len(words):
             step(net, memory, around, words)
+    if held:
+        spelt += np.bincount(np.concatenate(held), minlength=len(spelt))
+    codes = np.flatnonzero(spelt)
+    if len(codes):
+        yield pa.RecordBatch.from_arrays([pa.array(codes + len(flat)), pa.array(spelt[codes].astype(np.float64))], ["i", "v"])
     if seen:
         new = np.concatenate([net[k].ravel() for k in SHAPES]).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(new))), pa.array(np.append(seen, new * seen))], ["i", "v"])
@@ -174,11 +237,14 @@ def _score(vocabulary, flat, carry, batches):
     net = unpack(flat)
     for b in slices(batches):
         buf, _, s, e, bounds = words_of(b.column("text"))
-        ids = vocabulary.of(span_hashes(buf, s, e).view(np.int64))
+        hashes = span_hashes(buf, s, e).view(np.int64)
+        ids = vocabulary.of(hashes)
         total = np.zeros(len(ids) + 1)
         for i in range(0, len(ids), 1 << 14):
             at = np.arange(i, min(len(ids), i + (1 << 14)))
             total[at + 1] = log_probabilities(net, contexts(ids, bounds, at), ids[at])
+        other = np.flatnonzero(ids == 0)
+        total[other + 1] += vocabulary.outside.of(hashes[other], buf, s[other], e[other])
         np.cumsum(total, out=total)
         yield pa.RecordBatch.from_arrays(
             [*(b.column(c) for c in carry), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]])],
@@ -189,14 +255,27 @@ def _score(vocabulary, flat, carry, batches):
 def fit(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and weights from all documents."""
     source = narrow(docs, "text")
-    words = source.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = stage(source.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     top = words.orderBy(F.desc("n"), "word").limit(VOCAB - 1).collect()  # VOCAB - 1 rows
     vocabulary, flat = Vocabulary([r["word"] for r in top]), initial()
+    codes, n = np.zeros(0, np.int64), np.zeros(0)
     for turn in range(ROUNDS):
         sums = source.mapInArrow(partial(_train, vocabulary, flat, turn), "i long, v double")
-        sums = {r["i"]: r["v"] for r in sums.groupBy("i").agg(F.sum("v").alias("v")).collect()}  # one row per weight
-        if sums:
-            flat = (np.array([sums[i] for i in range(len(flat))]) / sums[-1]).astype(np.float32)
+        sums = sums.groupBy("i").agg(F.sum("v").alias("v")).toArrow()  # one row per weight, and per three letters
+        i, v = (sums[c].to_numpy() for c in ("i", "v"))
+        if turn == 0:
+            codes, n = i[i >= len(flat)] - len(flat), v[i >= len(flat)]
+        if (i < 0).any():
+            new = np.zeros(len(flat))
+            own = (i >= 0) & (i < len(flat))
+            new[i[own]] = v[own]
+            flat = (new / v[i < 0][0]).astype(np.float32)
+    table = words.filter(F.col("n") >= LEAST).toArrow()  # one row per word; none of the rarer ones
+    keys, counts = (table[c].to_numpy() for c in ("word", "n"))
+    own = vocabulary.of(keys) == 0
+    every = words.agg(F.sum("n")).first()[0] or 0
+    rarer = every - sum(r["n"] for r in top) - int(counts[own].sum())
+    vocabulary.outside = Outside(keys[own], counts[own], rarer, codes, n)
     return vocabulary, flat
 
 

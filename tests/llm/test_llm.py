@@ -394,6 +394,24 @@ def test_pseudo_likelihood_learns(spark, docs):
     assert abs(np.exp(pseudo.log_probabilities(p, around, np.arange(pseudo.VOCAB))).sum() - 1) < 1e-3
 
 
+def test_pseudo_likelihood_tells_junk(spark):
+    common.ship(spark)
+    rng = random.Random(11)
+    letter = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    lexicon = ["".join(letter(1, "bdklmnrst") + letter(1, "aeiou") for _ in range(rng.randint(2, 4))) for _ in range(4000)]
+    weights = [1 / (i + 10) for i in range(4000)]
+    texts = [" ".join(rng.choices(lexicon, weights, k=200)) for _ in range(200)]
+    junk = [" ".join(letter(rng.randint(6, 12), "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200)) for _ in range(5)]
+    rare = " ".join(lexicon[2000:2200])  # outside the vocabulary, but words of the corpus
+    docs = spark.createDataFrame(list(enumerate([*texts, rare, *junk])), "doc_id long, text string").repartition(4)
+    model = pseudo.fit(docs)
+    got = {r.doc_id: r.log_likelihood / r.n_words for r in pseudo.score(docs, model).collect()}
+    worst = max(got[i] for i in range(201, 206))
+    assert worst < got[200] < min(got[i] for i in range(200)) and got[200] - worst > 3
+    hashed = model[0].outside
+    assert len(hashed.keys) > 500 and np.exp(hashed.logs).reshape(-1, pseudo.LETTERS).sum(1).max() < 1.001
+
+
 # -------------------------------------------------------------- empty, pipeline
 def test_empty_tables(spark, empty, tokenizer):
     assert rans.round_trip(empty, tokenizer).count() == 0
