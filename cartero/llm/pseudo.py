@@ -7,8 +7,8 @@ the share of the rarer ones is spelt out, letter by letter after the two letters
 Both count all documents, so their tables grow with the input.  The network reads the
 embeddings of SIDE words on either side (a padding word beyond the ends), one hidden
 layer, and a softmax in two steps, class and word in class.  Every partition trains on
-masked positions of all its documents (one in MASKED, another set in each round) from
-the same weights; the weights are averaged by the number of positions as a grouped sum.
+masked positions of all its documents (every ROUNDS-th of a text, from the next one on
+in each round, so that each position is a target once) from the same weights; the weights are averaged by the number of positions as a grouped sum.
 
 Score: the sum of log conditional probabilities of all words of a whole text.  A text
 without words (null or empty too) has 0 words and score 0.  Rows with equal ids are
@@ -31,7 +31,7 @@ from cartero.llm.decontaminate import words_of
 CLASSES = 32
 VOCAB = CLASSES * CLASSES
 SIDE, WIDTH, HIDDEN = 2, 16, 24
-MASKED, ROUNDS, BATCH, RATE = 16, 2, 1024, 0.2
+ROUNDS, BATCH, RATE = 2, 2048, 0.2
 FLUSH = 1 << 20
 LEAST, SMOOTH = 5, 16
 _LETTER = np.zeros(256, np.int64)  # 0 is the end of a word, and what stands before it
@@ -73,6 +73,12 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def targets(bounds: np.ndarray, turn: int) -> np.ndarray:
+    """Masked positions of a round; the rounds have every position of every text once."""
+    n = int(bounds[-1])
+    return np.flatnonzero((np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))) % ROUNDS == turn)
+
+
 def _by_class(words: np.ndarray):
     order = np.argsort(words // CLASSES, kind="stable")
     cut = np.searchsorted((words // CLASSES)[order], np.arange(CLASSES + 1))
@@ -94,6 +100,9 @@ def log_probabilities(net: dict, around: np.ndarray, words: np.ndarray) -> np.nd
 def step(net: dict, memory: dict, around: np.ndarray, words: np.ndarray) -> None:
     """One Adagrad step on a batch."""
     n = len(words)
+    order = np.argsort((words // CLASSES).astype(np.uint8), kind="stable")
+    around, words = around[order], words[order]
+    cuts = np.searchsorted(words // CLASSES, np.arange(CLASSES + 1))
     x = net["embed"][around].reshape(n, -1)
     h = np.tanh(x @ net["w1"] + net["b1"])
     g = {k: np.zeros_like(v) for k, v in net.items()}
@@ -101,14 +110,16 @@ def step(net: dict, memory: dict, around: np.ndarray, words: np.ndarray) -> None
     p[np.arange(n), words // CLASSES] -= 1
     g["wc"], g["bc"] = h.T @ p, p.sum(0)
     dh = p @ net["wc"].T
-    for c, rows in _by_class(words):
+    for c in np.flatnonzero(cuts[1:] > cuts[:-1]):
+        rows = slice(cuts[c], cuts[c + 1])
         p = _softmax(h[rows] @ net["ww"][c] + net["bw"][c])
-        p[np.arange(len(rows)), words[rows] % CLASSES] -= 1
+        p[np.arange(len(p)), words[rows] % CLASSES] -= 1
         g["ww"][c], g["bw"][c] = h[rows].T @ p, p.sum(0)
         dh[rows] += p @ net["ww"][c].T
     da = dh * (1 - h * h)
     g["w1"], g["b1"] = x.T @ da, da.sum(0)
-    np.add.at(g["embed"], around.ravel(), (da @ net["w1"].T).reshape(-1, WIDTH))
+    cells = (around.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    g["embed"] += np.bincount(cells, (da @ net["w1"].T).ravel(), g["embed"].size).reshape(g["embed"].shape)
     for k, v in g.items():
         v /= n
         memory[k] += v * v
@@ -209,7 +220,7 @@ def _train(vocabulary, flat, turn, batches):
             if sum(map(len, held)) > 4 * FLUSH:
                 spelt += np.bincount(np.concatenate(held), minlength=len(spelt))
                 held = []
-        at = np.arange((turn * 5 + seen) % MASKED, len(ids), MASKED)
+        at = targets(bounds, turn)
         if not len(at):
             continue
         at = np.random.default_rng(turn).permutation(at)

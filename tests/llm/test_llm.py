@@ -412,6 +412,18 @@ def test_pseudo_likelihood_tells_junk(spark):
     assert len(hashed.keys) > 500 and np.exp(hashed.logs).reshape(-1, pseudo.LETTERS).sum(1).max() < 1.001
 
 
+def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", None, "b c d", "", " ".join(f"w{i}" for i in range(3001))])], ["text"])
+    ids = {w: i for i, w in enumerate(["a", "b", "c", "d", *(f"w{i}" for i in range(1000))], 1)}
+    seen = collections.Counter()
+    monkeypatch.setattr(pseudo, "step", lambda net, memory, around, words: seen.update(words.tolist()))
+    buf, _, s, e, _ = pseudo.words_of(pa.array([" ".join(ids)]))
+    vocabulary = pseudo.Vocabulary(pseudo.span_hashes(buf, s, e).view(np.int64).tolist())
+    for turn in range(pseudo.ROUNDS):
+        list(pseudo._train(vocabulary, pseudo.initial(), turn, [batch]))
+    assert seen == {**dict.fromkeys(ids.values(), 1), 0: 2001}
+
+
 # -------------------------------------------------------------- empty, pipeline
 def test_empty_tables(spark, empty, tokenizer):
     assert rans.round_trip(empty, tokenizer).count() == 0
