@@ -35,10 +35,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup (8): the smallest id of every group stays."""
+    """MinHash near-dedup (8): the smallest id of every group stays.
+
+    Rows without an id pass.  Of rows that repeat an id, those of one text are one document; another
+    text of the id is a document of its own, after all others, and goes only if it is linked to one.
+    """
     common.ship(spark)
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    mark = F.xxhash64("text")
+    rows = docs.filter("doc_id is not null").withColumn("_mark", mark)
+    many = rows.groupBy("doc_id").agg(F.min("_mark").alias("_first"), F.max("_mark").alias("_last")).filter("_first < _last")
+    many = common.stage(many.select(F.col("doc_id").alias("_id"), "_first"), "repeated-ids")
+    later = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    rows = rows.join(many, rows.doc_id == F.col("_id"), "left")
+    rows = rows.withColumn("_key", F.when(F.col("_mark") > F.col("_first"), later).otherwise(F.col("doc_id").cast("long")))
+    found = minhash.near_duplicates(rows.select(F.col("_key").alias("doc_id"), "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = rows.join(kept, rows["_key"] == F.col("_kept"), "left_semi").dropDuplicates(["_key"])
+    return rows.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

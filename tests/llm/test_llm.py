@@ -449,6 +449,15 @@ def test_pipeline(spark, tokenizer):
     check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect(), docs.collect(), tokenizer, 1024)
 
 
+def test_pipeline_keeps_null_and_repeated_ids(spark):
+    common.ship(spark)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(None, a), (None, b), (1, a), (2, a), (2, b), (3, c), (3, c), (3, c + " end"), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.text or "") for r in corpus_pipeline.near_duplicates(spark, frame, SMALL).collect()))
+    assert len(got) == 6 and got[:4] == [(0, a), (0, b), (1, a), (2, b)] and got[4] in [(3, c), (3, c + " end")] and got[5] == (4, "")
+
+
 def test_queries_are_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
