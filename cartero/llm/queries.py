@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cartero.llm import decontaminate, langid, minhash, packing, permutation, pseudo, rans, suffixes, toxicity, winnow
+from cartero.llm import blockmax, decontaminate, extract, langid, minhash, packing, permutation, pseudo, rans, squares, suffixes, toxicity, winnow
 from cartero.llm.common import crc_mod, narrow, ship, table
 
 
@@ -92,6 +92,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, one in ten of which is made periodic first, and a checksum of what is left."""
+    docs = narrow(table(spark, sf_dir, "documents"), "doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    found = squares.find_runs(docs, plant=(g, F.when(h % 10 == 0, 3 + g % 8)))
+    top = squares.longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"),
+        top["period"].alias("period"), F.floor(1000 * top["length"] / top["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    index = blockmax.build(table(spark, sf_dir, "documents"))
+    return blockmax.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query, after the package was sent to the workers."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +126,8 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: shipped(q) for q in (
-    op1_toxicity, op2_decontaminate, op3_permutation, op4_language, op5_suffix_array, op6_rans, op7_pseudo_likelihood, op8_minhash, op9_line_dedup, op10_packing)}
+    op1_toxicity, op2_decontaminate, op3_permutation, op4_language, op5_suffix_array, op6_rans, op7_pseudo_likelihood, op8_minhash, op9_line_dedup, op10_packing,
+    op11_main_text, op12_periodic_runs, op13_ranked_search)}
 OP2_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -159,4 +185,39 @@ kept AS (SELECT f.doc_id, string_agg(line, chr(10) ORDER BY f.ln) AS s FROM f LE
          LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.p = p.p WHERE gone.p IS NULL GROUP BY f.doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS lines_removed, coalesce(r, 0) AS runs_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM documents d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_suffix_array": OP5_SQL, "op8_minhash": OP8_SQL, "op9_line_dedup": OP9_SQL}
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                      lambda c: [CAST(ascii(c) AS BIGINT), 256, 256, 256, 256, 256, 256, 256, 256]))),
+                      lambda a, x: CASE WHEN x < 256 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) AS h FROM documents),
+s AS (SELECT doc_id, w, h, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS turns FROM d),
+x AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // turns) END])
+                             ELSE w END AS w FROM s),
+t AS (SELECT doc_id, n, unnest(w) AS t, unnest(range(n)) AS i FROM x),
+same AS (SELECT a.doc_id, b.i - a.i AS p, a.i FROM t a JOIN t b ON a.doc_id = b.doc_id AND a.t = b.t AND a.i < b.i AND 2 * (b.i - a.i) <= a.n),
+isle AS (SELECT doc_id, p, i, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS k FROM same),
+stretch AS (SELECT doc_id, p, min(i) AS s, min(i) + count(*) + p AS e FROM isle GROUP BY doc_id, p, k HAVING count(*) + p >= greatest(12, 2 * p)),
+run AS (SELECT doc_id, s, e, min(p) AS p FROM stretch GROUP BY doc_id, s, e),
+top AS (SELECT doc_id, s, e - s AS length, p FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY e - s DESC, s, p) = 1),
+runs AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || p || chr(10), '' ORDER BY s, p) AS r FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + p, e)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS c FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT x.doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.length, top.p AS period, 1000 * top.length // top.p AS exponent_milli,
+       sha256(coalesce(r, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM x LEFT JOIN runs USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM n, c),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t SEMI JOIN q USING (term) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 * any_value(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, c GROUP BY term),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50"""
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_suffix_array": OP5_SQL, "op8_minhash": OP8_SQL, "op9_line_dedup": OP9_SQL,
+                           "op12_periodic_runs": OP12_SQL, "op13_ranked_search": OP13_SQL}
