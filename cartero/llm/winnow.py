@@ -19,8 +19,10 @@ in a third of all documents costs no more than any other.  The first copy always
 stays, judged on the input and not on what is left.
 
 Null and empty texts stay as they are; rows that repeat an id count as one place
-(equal rows keep their lines, as neither is later).  Extra columns are ignored by
-``repeated`` and kept by ``delete_runs`` (lines_removed and runs_removed are replaced); an empty table gives an empty result.
+(equal rows keep their lines, as neither is later).  A row without an id, or whose id is no
+integer, is left as it is and is no earlier place of another.  Extra columns are ignored by
+``repeated`` and kept by ``delete_runs``, whatever their names (lines_removed and runs_removed
+are replaced); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartero.llm.common import U64, bytes_of, narrow, slices, span_hashes, stage, window_hashes
 from cartero.llm.decontaminate import words_of
@@ -140,7 +143,7 @@ def _extend(window, words, batches):
 
 def repeated(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(doc_id, starts array<struct<place, lines>>): later runs, counted in lines that are not blank."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null")
+    source = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     marks = stage(source.mapInArrow(partial(_marks, window, words), "doc_id long, place long, print long"), "marks")
     twice = stage(marks.groupBy("print").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("print"), "twice")
     places = marks.join(twice, "print").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
@@ -176,17 +179,17 @@ def _delete(batches):
             texts.append(b"\n".join([raw[x:y] for x, y in zip(starts[a:z][keep], ends[a:z][keep])]).decode())
             removed.append(int(gone.sum()))
             spans.append(int((gone & ~np.r_[False, gone[:-1]]).sum()))
-        rest = [b.column(c) for c in b.schema.names if c not in ("text", "_starts")]
         yield pa.RecordBatch.from_arrays(
-            [*rest, pa.array(texts, pa.string()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())],
-            [*[c for c in b.schema.names if c not in ("text", "_starts")], "text", "lines_removed", "runs_removed"])
+            [b.column("_row"), pa.array(texts, pa.string()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())],
+            ["_row", "text", "lines_removed", "runs_removed"])
 
 
 def delete_runs(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """All columns with the runs cut out of ``text``, and lines_removed, runs_removed."""
-    found = repeated(docs, window, words).select(F.col("doc_id").alias("_doc"), F.col("starts").alias("_starts"))
-    joined = docs.join(found, docs.doc_id == F.col("_doc"), "left").drop("_doc")
-    rest = [f for f in docs.schema.fields if f.name not in ("text", "lines_removed", "runs_removed")]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
-                        "text string, lines_removed long, runs_removed long"])
-    return joined.select(*[docs[f.name] for f in rest], "text", "_starts").mapInArrow(_delete, schema)
+    found = repeated(docs, window, words).select(F.col("doc_id").alias("_id"), F.col("starts").alias("_starts"))
+    rest = [c for c in docs.columns if c not in ("text", "lines_removed", "runs_removed")]
+    rows = docs.select(F.col("doc_id").try_cast("long").alias("_key"), "text", F.struct(*rest).alias("_row"))  # names cannot clash inside
+    joined = rows.join(found, F.col("_key") == F.col("_id"), "left").select("_row", "text", "_starts")
+    schema = T.StructType([joined.schema["_row"], T.StructField("text", T.StringType()),
+                           T.StructField("lines_removed", T.LongType()), T.StructField("runs_removed", T.LongType())])
+    return joined.mapInArrow(_delete, schema).select("_row.*", "text", "lines_removed", "runs_removed")
