@@ -82,8 +82,8 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and runs that repeat an earlier run of lines, and a checksum of what is left."""
-    found = winnow.delete_runs(narrow(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    """Lines and runs that repeat an earlier run of three lines, or of over 50 words, and a checksum of what is left."""
+    found = winnow.delete_runs(narrow(table(spark, sf_dir, "documents"), "doc_id", "text"), words=50)
     return found.select("doc_id", "lines_removed", "runs_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -175,11 +175,14 @@ FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
 OP9_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents),
 f AS (SELECT doc_id, ln, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM l),
-p AS (SELECT doc_id, ln, t, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS p FROM f WHERE t <> ''),
-g AS (SELECT a.doc_id, a.p, [a.t, b.t, c.t] AS g FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.p = a.p + 1
-      JOIN p c ON a.doc_id = c.doc_id AND c.p = a.p + 2),
-later AS (SELECT doc_id, p FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 3)) AS p FROM later),
+p AS (SELECT doc_id, ln, t, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS p,
+             len(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS n FROM f WHERE t <> ''),
+g AS (SELECT a.doc_id, a.p, 3 AS k, [a.t, b.t, c.t] AS g FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.p = a.p + 1
+      JOIN p c ON a.doc_id = c.doc_id AND c.p = a.p + 2
+      UNION ALL SELECT a.doc_id, a.p, 2, [a.t, b.t] FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.p = a.p + 1 WHERE a.n + b.n > 50
+      UNION ALL SELECT doc_id, p, 1, [t] FROM p WHERE n > 50),
+later AS (SELECT doc_id, p, k FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS p FROM later),
 runs AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE p - 1 NOT IN (SELECT y.p FROM gone y WHERE y.doc_id = x.doc_id)) AS r FROM gone x GROUP BY doc_id),
 kept AS (SELECT f.doc_id, string_agg(line, chr(10) ORDER BY f.ln) AS s FROM f LEFT JOIN p ON p.doc_id = f.doc_id AND p.ln = f.ln
          LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.p = p.p WHERE gone.p IS NULL GROUP BY f.doc_id)
