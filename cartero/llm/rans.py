@@ -9,7 +9,7 @@ A written corpus is a folder of two Parquet tables:
   one of its ids.  Any block, or any checkpoint in it, can be decoded alone.
 
 Nulls and empty texts become one end id.  Repeated ids keep all their rows,
-ordered by text.  Extra columns are ignored; an empty table gives no blocks.
+ordered by text; rows without an id come first and keep it so.  Extra columns are ignored; an empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ MAX_LANES = 2048
 CHECKPOINT = 64
 LOW, WORD = U64(1 << 31), U64(32)
 TOKENS = "doc_id long, part int, start_in_part long, n_tokens long, ids binary"
-BLOCKS = ("part int, start_in_part long, doc_ids binary, doc_tokens binary, n_ids long, lanes int, "
+BLOCKS = ("part int, start_in_part long, doc_ids array<long>, doc_tokens binary, n_ids long, lanes int, "
           "states binary, words binary, checkpoints binary, words_crc long, ids_crc long")
 
 
@@ -129,13 +129,13 @@ def _encode(freq, dtype, batches):
         lanes = int(min(MAX_LANES, max(1, len(ids) // 64)))
         states, words, marks = encode_block(ids, freq, base, lanes)
         raw = words.astype("<u4").tobytes()
-        return (rows[0][1], rows[0][2], np.array([r[0] for r in rows], "<i8").tobytes(),
+        return (rows[0][1], rows[0][2], [r[0] for r in rows],
                 np.array([r[3] for r in rows], "<i8").tobytes(), len(ids), lanes, states.astype("<u8").tobytes(),
                 raw, marks.astype("<u8").tobytes(), zlib.crc32(raw), zlib.crc32(ids.astype("<u4").tobytes()))
 
     def batch(values):
         names = [c.split()[0] for c in BLOCKS.split(", ")]
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), *[pa.binary()] * 3,
+        kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int32(), *[pa.binary()] * 3,
                  pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
@@ -167,7 +167,7 @@ def _decode(freq, dtype, offsets, batches):
             counts = np.frombuffer(r["doc_tokens"], "<i8")
             start = offsets[r["part"]] + r["start_in_part"] + np.cumsum(counts) - counts
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(r["doc_ids"], "<i8")), pa.array(start), pa.array(counts), binaries(ids, counts)],
+                [pa.array(r["doc_ids"], pa.int64()), pa.array(start), pa.array(counts), binaries(ids, counts)],
                 ["doc_id", "start", "n_tokens", "ids"])
 
 
