@@ -21,7 +21,8 @@ doc_id, or the same document and an earlier start), judged on the input.
    that leaves only the first of equal strings.
 
 Null texts are empty; texts under LENGTH bytes keep everything.  Rows that repeat an id
-with the same text are one document, none earlier than the other.  Extra columns are
+with the same text are one document, none earlier than the other.  A row without an id, or
+whose id is no integer, keeps everything and is no earlier place of another.  Extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -40,6 +41,7 @@ from cartero.llm.common import U64, _BYTE, _powers, bytes_of, discard, mix, runs
 LENGTH, GRAM = 100, 32
 WINDOW = LENGTH - GRAM + 1
 POSITION_BITS = 26
+SEGMENT = 1 << 25  # starts whose anchors are found at once, so that places of equal grams compare
 CHUNK_ROWS = 1 << 15
 HOT, SALTS, COLUMNS = 100_000, 64, 9
 PIECES = "key long, hot boolean, doc_id long, place long, reach int, piece binary"
@@ -48,9 +50,19 @@ SPANS = "key long, hot boolean, doc_id long, place long, low int, high int, piec
 
 def anchors(buf: np.ndarray, offs: np.ndarray):
     """(gram hashes, start of every string of LENGTH bytes, place of its anchor)."""
-    n = len(buf)
-    if n < LENGTH:
+    if len(buf) < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    parts = [_anchors(buf[a:a + SEGMENT + LENGTH - 1]) for a in range(0, len(buf) - LENGTH + 1, SEGMENT)]
+    begin = np.arange(len(buf) - LENGTH + 1)
+    place = np.concatenate([p + i * SEGMENT for i, (_, p) in enumerate(parts)])
+    grams = np.concatenate([*(g[:SEGMENT] for g, _ in parts[:-1]), parts[-1][0]])
+    inside = np.searchsorted(offs, begin, "right") == np.searchsorted(offs, begin + LENGTH - 1, "right")
+    return grams, begin[inside], place[inside]
+
+
+def _anchors(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gram hashes, place of the anchor of the string at every start) of a buffer whose places fit POSITION_BITS."""
+    n = len(buf)
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[buf] * up[:n], out=total[1:])
@@ -64,9 +76,7 @@ def anchors(buf: np.ndarray, offs: np.ndarray):
     if width < WINDOW:
         key = np.minimum(key[:len(key) - (WINDOW - width)], key[WINDOW - width:])
     begin = np.arange(len(key))
-    place = begin + (((mask - (key & mask)).astype(np.int64) - begin) & int(mask))
-    inside = np.searchsorted(offs, begin, "right") == np.searchsorted(offs, begin + LENGTH - 1, "right")
-    return grams, begin[inside], place[inside]
+    return grams, begin + (((mask - (key & mask)).astype(np.int64) - begin) & int(mask))
 
 
 def _marks(batches):
@@ -206,8 +216,8 @@ def _grouped(pieces: DataFrame, survive: bool, *keys: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame, list]:
     """(ids of whole later copies, spans (doc_id, starts array<struct<low, high>>), stages to discard)."""
     keep: list = []
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
-        f"text is not null and octet_length(text) >= {LENGTH}")
+    source = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text").filter(
+        f"doc_id is not null and text is not null and octet_length(text) >= {LENGTH}")
     digests = stage(source.select("doc_id", F.unhex(F.md5("text")).alias("digest"), F.octet_length("text").alias("size")),
                     "digests", keep)
     first = digests.groupBy("digest", "size").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -258,7 +268,7 @@ def _remove(batches):
 def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document row."""
     copies, spans, keep = repeated_spans(docs, hot)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text")
     flags = spans.join(copies.withColumn("copy", F.lit(True)), "doc_id", "full")
     flags = stage(flags.select("doc_id", "runs", F.coalesce("copy", F.lit(False)).alias("copy")), "flags")
     discard(docs.sparkSession, keep)
