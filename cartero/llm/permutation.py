@@ -128,14 +128,15 @@ def search(vectors: DataFrame, asks, k: int = 20) -> DataFrame:
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     valid = stage(source.mapInArrow(_valid, "vec_id long, vector binary, size long, norm2 double"), "vectors")
     schema = "query_id long, rank int, vec_id long, score double"
-    sample = valid.orderBy(F.xxhash64("vec_id", "vector")).limit(SAMPLE).collect()  # SAMPLE rows
-    if not sample:
+    lengths = valid.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
+    if lengths is None:
         return spark.createDataFrame([], schema)
-    size = sample[0]["size"]
+    size = lengths["size"]  # vectors of another length than most have no inner product with them
     valid = valid.filter(F.col("size") == size)
+    sample = valid.orderBy(F.xxhash64("vec_id", "vector")).limit(SAMPLE).collect()  # SAMPLE rows
     stats = valid.agg(F.max("norm2").alias("norm2"), F.count(F.lit(1)).alias("n"),
                       F.count(F.when(asks, 1)).alias("q")).first()
-    rows = np.unique([np.frombuffer(r["vector"], np.float64) for r in sample if r["size"] == size], axis=0)
+    rows = np.unique([np.frombuffer(r["vector"], np.float64) for r in sample], axis=0)
     rows = rows[np.random.default_rng(11).permutation(len(rows))[:PIVOTS]]
     norm2 = stats["norm2"]
     pivots = lift(rows, norm2)
