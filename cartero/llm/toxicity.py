@@ -39,7 +39,7 @@ asqueroso cabrón mierda payaso idiote imbécile stupide connard salaud ordure m
 schwachkopf abschaum scheiße widerlich blödmann""".split()
 ADDRESS = "you your youre u are a an such du ihr euch bist tu vous es un une eres usted una".split()
 
-LABELLED, LEXICON, TRAIN, MAX_TERMS = 4000, 200, 3000, 12_000
+LABELLED, LEXICON, TRAIN = 4000, 200, 3000
 STEMS = (4, 5, 6)  # bytes of a word beginning
 VOTERS, BUCKET_BITS = 10, 18
 L1, STEPS = 5e-4, 120
@@ -147,8 +147,7 @@ def _features(batches):
         pairs = np.unique((doc << BUCKET_BITS) | bucket)
         counts = np.bincount(pairs >> BUCKET_BITS, minlength=b.num_rows)
         cells = binaries((pairs & ((1 << BUCKET_BITS) - 1)).astype("<i4"), counts)
-        out = pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), cells], ["doc_id", "y", "words"])
-        yield out.filter(pa.array(counts <= MAX_TERMS))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), cells], ["doc_id", "y", "words"])  # 2**BUCKET_BITS words at most
 
 
 def _score(weights, bias, carry, batches):
@@ -262,8 +261,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     rows = [(int(c), float(p)) for c, p in zip(model.codes, model.posterior)]
     posterior = docs.sparkSession.createDataFrame(rows, "pattern long, y double")
     soft = cast.join(F.broadcast(posterior), "pattern").select("doc_id", "y", (F.col("y") > 0.5).cast("int").alias("side"))
-    picked = _sample(soft, "side", TRAIN).drop("side")
-    picked = stage(picked.dropDuplicates(["doc_id"]), "picked")
+    picked = _sample(soft, "side", TRAIN).groupBy("doc_id").agg(F.max("y").alias("y"))  # a repeated id: its likeliest text
+    picked = stage(picked, "picked")
     kinds = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, y double, words binary"
     train = source.join(F.broadcast(picked), "doc_id").mapInArrow(_features, kinds).orderBy("doc_id", "words").collect()
     return train_linear([np.frombuffer(r["words"], "<i4").astype(np.int64) for r in train], np.array([r["y"] for r in train]))
