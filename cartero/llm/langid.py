@@ -19,15 +19,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartero.llm.common import SLICE_BYTES, bytes_of, narrow, slices
+from cartero.llm.common import narrow, slices
 
 BITS = 14
 MAX_ROWS = 3000
 MAX_LANGUAGES = 200
-TRAIN_CHARS = 4000
+LETTERS = 0x40000  # no letter is assigned beyond
 
 _KEEP = np.zeros(0x110000, np.int32)
 _LETTER = np.zeros(0x110000, bool)
@@ -36,7 +36,7 @@ _LETTER = np.zeros(0x110000, bool)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Code point -> folded letter or blank; built once per process."""
     if not _LETTER[97]:
-        for cp in range(0x30000):
+        for cp in range(LETTERS):
             c = chr(cp)
             if c.isalpha():
                 low = c.lower()
@@ -45,7 +45,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
                 _KEEP[cp] = cp
             else:
                 _KEEP[cp] = 32
-        _KEEP[0x30000:] = 32
+        _KEEP[LETTERS:] = 32
     return _KEEP, _LETTER
 
 
@@ -104,6 +104,19 @@ def _frequencies(batches):
     yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], docs))], ["c", "n"])
 
 
+def _features(idf, batches):
+    """Columns and values of whole texts."""
+    for b in slices(batches):
+        cells = [[], []]
+        for texts in _chunks(b.column("text")):
+            r, c, x = tfidf(texts, idf)
+            cut = np.searchsorted(r, np.arange(len(texts) + 1))
+            cells[0] += [c[a:z].astype("<i2").tobytes() for a, z in zip(cut[:-1], cut[1:])]
+            cells[1] += [x[a:z].astype("<f4").tobytes() for a, z in zip(cut[:-1], cut[1:])]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), *(pa.array(c, pa.binary()) for c in cells)],
+                                         ["doc_id", "lang", "columns", "x"])
+
+
 def train_ftrl(rows, labels: np.ndarray, n_classes: int, alpha=0.5, beta=1.0, l1=1e-3, l2=1e-3, epochs=4):
     """FTRL-proximal for the multinomial log loss; ``rows`` are (columns, values)."""
     z = np.zeros((1 << BITS, n_classes), np.float64)
@@ -169,28 +182,26 @@ def fit(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not langs:
         return None
-    # A bounded sample of labelled rows: the smallest id hashes of every language.
+    # A bounded sample of labelled rows: the smallest id hashes of every language, whole texts.
     each = max(1, max_rows // len(langs))
+    spot = F.xxhash64("doc_id")
+    order = Window.partitionBy("lang").orderBy("spot", "doc_id")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spot, picks = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), None
-    bound = F.lit(0)
+    narrowed = F.lit(1 << 30)  # few rows are ranked: a share of the hashes that surely holds enough of a language
     for lang in langs:
         share = min(1.0, 1.5 * each / counts[lang] + 20 / counts[lang])
-        bound = F.when(F.col("lang") == lang, int(share * (1 << 30))).otherwise(bound)
-    picks = known.filter(spot < bound).select(
-        "doc_id", "lang", F.expr(f"substring(text, 1 + int(pmod(xxhash64(doc_id, 1), greatest(1, length(text) - {TRAIN_CHARS}))), {TRAIN_CHARS})")
-        .alias("text"), spot.alias("spot")).orderBy("spot", "doc_id").limit(3 * max_rows + 50 * len(langs))
+        narrowed = F.when(F.col("lang") == lang, int(share * (1 << 30))).otherwise(narrowed)
+    ids = known.filter(F.pmod(spot, F.lit(1 << 30)) <= narrowed).select("doc_id", "lang", F.pmod(spot, F.lit(1 << 30)).alias("spot"))
+    picks = ids.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each).select("doc_id", "lang").distinct()
+    chosen = known.join(F.broadcast(picks), ["doc_id", "lang"]).select("doc_id", "lang", "text")  # about max_rows rows
+    kind = known.schema["doc_id"].dataType.simpleString()
     rows, seen = [], dict.fromkeys(langs, 0)
-    for r in picks.collect():
+    found = chosen.mapInArrow(partial(_features, idf), f"doc_id {kind}, lang string, columns binary, x binary")
+    for r in found.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "columns").limit(2 * max_rows).collect():  # 2**BITS cells a row at most
         if seen[r["lang"]] < each:
             seen[r["lang"]] += 1
-            rows.append((r["text"], langs.index(r["lang"])))
-    feats, labels = [], np.array([y for _, y in rows])
-    for i in range(0, len(rows), 32):
-        texts = [t for t, _ in rows[i:i + 32]]
-        r, c, x = tfidf(texts, idf)
-        cut = np.searchsorted(r, np.arange(len(texts) + 1))
-        feats += [(c[a:b], x[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+            rows.append((np.frombuffer(r["columns"], "<i2").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(np.float64), langs.index(r["lang"])))
+    feats, labels = [(c, x) for c, x, _ in rows], np.array([y for _, _, y in rows])
     kept_back = np.arange(len(rows)) % 5 == 4
     weights = train_ftrl([f for f, k in zip(feats, kept_back) if not k], labels[~kept_back], len(langs))
     held = np.array([x @ weights[c] for (c, x), k in zip(feats, kept_back) if k]).reshape(-1, len(langs))
