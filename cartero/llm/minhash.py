@@ -169,9 +169,9 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document row."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text")
     sigs = stage(source.mapInArrow(_signatures, SIGNATURES), "signatures")
-    some, n = sigs.filter("n_shingles > 0"), sigs.count()
+    some, n = sigs.filter("n_shingles > 0 and doc_id is not null"), sigs.count()
     same = ["n_shingles", "set_a", "set_b"]
     classes = some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = stage(sized(classes, n), "classes")
@@ -232,4 +232,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         labels = stage(sized(components(links), n), "labels")
     out = sigs.select("doc_id", "n_shingles").join(labels, sigs.doc_id == labels.id, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
-        "kept", F.col("doc_id") == F.col("component_id"))
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of every group, with all its columns, whatever their names.
+
+    Rows without an id pass.  Of rows that repeat an id, those of one text are one document; another
+    text of the id is a document of its own, after all others, and goes only if it is linked to one.
+    """
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")  # names cannot clash inside
+    rows = docs.select(F.col("doc_id").try_cast("long").alias("id"), F.xxhash64("text").alias("mark"), "text", rest)
+    many = rows.filter("id is not null").groupBy("id").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
+    many = stage(many.filter("first < last").select(F.col("id").alias("again"), "first"), "repeated-ids")
+    later = F.xxhash64("id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    keyed = rows.filter("id is not null").join(many, F.col("id") == F.col("again"), "left")
+    keyed = keyed.withColumn("key", F.when(F.col("mark") > F.col("first"), later).otherwise(F.col("id"))).select("key", "text", "row")
+    found = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("kept")).distinct()
+    one = keyed.join(kept, F.col("key") == F.col("kept"), "left_semi").dropDuplicates(["key"])
+    return one.select("row.*", "text").unionByName(rows.filter("id is null").select("row.*", "text")).select(*docs.columns)
