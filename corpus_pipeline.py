@@ -16,7 +16,7 @@ LEAST_CERTAIN = 0.5  # a language is rejected if it is not likelier than all oth
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID (4): texts without letters, or of no certain language, go."""
+    """Language ID (4): texts without letters (null ones too), or of no certain language, go; ids do not matter."""
     common.ship(spark)
     rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
     found = langid.predict(rows, queries.language_model(spark, docs), ("_row",))
@@ -24,14 +24,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup (9): later runs of lines and passages go, and documents that were nothing else."""
+    """Line dedup (9): later runs of lines and passages go, and documents that were nothing else.
+
+    Rows without an id and null texts stay as they are; rows that repeat an id keep what none of them has earlier.
+    """
     common.ship(spark)
-    cut = winnow.delete_runs(docs, words=PASSAGE_WORDS)
-    cut = cut.filter((F.col("lines_removed") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    cut = winnow.delete_runs(docs.select("doc_id", "text", rest), words=PASSAGE_WORDS)
+    changed = F.col("lines_removed") > 0
+    cut = cut.filter(~changed | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")).select(changed.alias("changed"), "text", "row")
+    columns = {c: F.col("row")[c] for c in docs.columns if c != "text"} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        count = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        columns["n_chars"] = F.when(F.col("changed"), F.length("text").cast(kind)).otherwise(F.col("row")["n_chars"])
+    return cut.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,27 +47,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text of the id is a document of its own, after all others, and goes only if it is linked to one.
     """
     common.ship(spark)
-    mark = F.xxhash64("text")
-    rows = docs.filter("doc_id is not null").withColumn("_mark", mark)
-    many = rows.groupBy("doc_id").agg(F.min("_mark").alias("_first"), F.max("_mark").alias("_last")).filter("_first < _last")
-    many = common.stage(many.select(F.col("doc_id").alias("_id"), "_first"), "repeated-ids")
-    later = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    rows = rows.join(many, rows.doc_id == F.col("_id"), "left")
-    rows = rows.withColumn("_key", F.when(F.col("_mark") > F.col("_first"), later).otherwise(F.col("doc_id").cast("long")))
-    found = minhash.near_duplicates(rows.select(F.col("_key").alias("doc_id"), "text"))
-    kept = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = rows.join(kept, rows["_key"] == F.col("_kept"), "left_semi").dropDuplicates(["_key"])
-    return rows.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    return minhash.first_of_groups(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination (2): contaminated documents go."""
+    """Benchmark decontamination (2): contaminated documents go; null texts, null ids and repeated rows are judged row by row."""
     common.ship(spark)
     return decontaminate.remove_documents(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing (10): the pieces of all documents in sequences of 1024 tokens."""
+    """Packing (10): the pieces of all rows in sequences of 1024 tokens; a null text is one end id, a null id is carried."""
     common.ship(spark)
     return packing.pack(docs, queries.tokenizer_path())
 
