@@ -786,27 +786,43 @@ def feedback_log(spark, d):
 
 
 def _event_folder(spark, d, files: int = 4) -> tuple[str, DataFrame]:
-    """The feedback log as JSON-line files, dealt out by arrival number."""
-    ev = feedback(spark, d).select(*mail.FEEDBACK_SCHEMA.fieldNames(), "p_posterior")
-    path = mail.new_path(spark, "events")
-    ev.repartition(files, F.col("seq") % files).write.json(path)
+    """The feedback log as JSON-line files of consecutive arrival numbers, written one after the other."""
+    ev = mail.write_stage(feedback(spark, d).select(*mail.FEEDBACK_SCHEMA.fieldNames(), "p_posterior"), "log")
+    path, ends = mail.new_path(spark, "events"), ev.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
+    lo, width = ends["lo"], -(-(ends["hi"] - ends["lo"] + 1) // files)
+    for i in range(files):
+        part = ev.filter((F.col("seq") >= lo + i * width) & (F.col("seq") < lo + (i + 1) * width))
+        part.coalesce(1).write.mode("append").json(path)
     return path, ev
 
 
-@query("modelo:s term:s w_ham:d6 w_spam:d6 n_ham:l n_spam:l")
-def online_learning(spark, d):
-    """The stream is run to its end; the result is the taught model."""
+def _taught(spark, d, catalogue: bool = False):
+    """The stream of feedback run to its end: (model state, log folder, catalogue, batches)."""
     base = served_model(spark, d)
     path, _ = _event_folder(spark, d)
     root = mail.new_path(spark, "stream")
     state = stream.ModelState(f"{root}/model", base.max_rows).start(base)
-    run = stream.learn(stream.read_events(spark, path, files_per_batch=1), state, f"{root}/log", f"{root}/checkpoint")
+    kept = stream.CatalogueState(f"{root}/catalogue") if catalogue else None
+    run = stream.learn(stream.read_events(spark, path, files_per_batch=1), state, f"{root}/log", f"{root}/checkpoint", kept)
     run.awaitTermination()
-    last = max(p["batchId"] for p in run.recentProgress)
-    model = state.model_before(spark, last + 1)
+    return state, f"{root}/log", kept, stream.batches_done(run)
+
+
+@query("modelo:s term:s w_ham:d6 w_spam:d6 n_ham:l n_spam:l")
+def online_learning(spark, d):
+    """The stream is run to its end; the result is the taught model."""
+    state, _, _, done = _taught(spark, d)
+    model = state.model_before(spark, done)
     return model.counts.join(F.broadcast(model.priors), "modelo")
 
 
+@query("seq:l idioma:s probabilidad_spam_posterior:d6 prediccion_posterior:s etiqueta_ensenada:s")
+def online_scores(spark, d):
+    """Every taught mail with its score right after its own event."""
+    _, log, _, _ = _taught(spark, d)
+    return spark.read.json(log)
+
+
 CATALOGUE = "id:s fecha:s idioma:s etiqueta:s label:l clave:s veces_entrenado:l ultima_fecha:s ultima_probabilidad_spam:d4"
 
 
@@ -820,10 +836,18 @@ def retrain_catalog_stream(spark, d):
     path, _ = _event_folder(spark, d)
     root = mail.new_path(spark, "stream")
     scored = T.StructType([*mail.FEEDBACK_SCHEMA, T.StructField("p_posterior", T.DoubleType())])
-    run = stream.keep_catalogue(stream.read_events(spark, path, scored, files_per_batch=1), f"{root}/catalogue",
-                                f"{root}/checkpoint", posterior="p_posterior")
+    state = stream.CatalogueState(f"{root}/catalogue")
+    run = stream.keep_catalogue(stream.read_events(spark, path, scored, files_per_batch=1), state,
+                                f"{root}/checkpoint", "p_posterior")
     run.awaitTermination()
-    return stream.current_catalogue(spark, f"{root}/catalogue").withColumn("clave", F.md5("texto"))
+    return state.current(spark, stream.batches_done(run)).withColumn("clave", F.md5("texto"))
+
+
+@query(CATALOGUE)
+def learned_catalog(spark, d):
+    """The catalogue kept by the stream that teaches, with the model's own scores."""
+    _, _, kept, done = _taught(spark, d, catalogue=True)
+    return kept.current(spark, done).withColumn("clave", F.md5("texto"))
 
 
 @query("clave:s veces:l primero:l ultimo:l timestamp:s primera_fecha:s tiempo:l insignia:b etiqueta_ensenada:s cambio_delta:s")

@@ -16,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartero.functions import text as tx
 from cartero.functions.expressions import text_key
-from cartero.operators import bayes, history, score
+from cartero.operators import bayes, history, online, score
 from cartero.operators.features import ID, MODEL
-from cartero.sources.mail import FEEDBACK_SCHEMA, path_exists
+from cartero.sources.mail import FEEDBACK_SCHEMA, path_exists, stage_scope, write_stage
 
 COMPACT_EVERY = 50      # batches between two snapshots of the counts
 
@@ -29,6 +29,9 @@ COUNT_SCHEMA = T.StructType([
 PRIOR_SCHEMA = T.StructType([
     T.StructField(MODEL, T.StringType()), T.StructField("n_ham", T.LongType()),
     T.StructField("n_spam", T.LongType())])
+TEXT_SCHEMA = "clave binary, texto string"
+ENTRY_SCHEMA = ("clave binary, veces_entrenado long, primero long, ultimo long, primera struct<idioma: string, fecha: string>, "
+                "ultima struct<label: int, fecha: string, p: double>")
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType = FEEDBACK_SCHEMA,
@@ -41,10 +44,27 @@ def read_events(spark: SparkSession, path: str, schema: T.StructType = FEEDBACK_
 
 
 @dataclass(frozen=True)
-class ModelState:
-    """Count tables of a served model, batch by batch, under ``path``."""
+class BatchState:
+    """Tables of additive rows under ``path``: one delta per micro-batch, a snapshot now and then."""
 
     path: str
+
+    def _folder(self, kind: str, batch: int, table: str) -> str:
+        return f"{self.path}/{kind}/{batch}/{table}"
+
+    def _before(self, spark: SparkSession, batch: int, last: str) -> tuple[int | None, list[int]]:
+        """The latest snapshot before ``batch`` and the deltas after it; ``last`` is the table written last."""
+        def whole(kind: str, b: int) -> bool:
+            return path_exists(spark, self._folder(kind, b, last) + "/_SUCCESS")
+
+        snap = next((b for b in range(batch - 1, -2, -1) if (b == -1 or (b + 1) % COMPACT_EVERY == 0) and whole("snapshot", b)), None)
+        return snap, [b for b in range(-1 if snap is None else snap + 1, batch) if whole("delta", b)]
+
+
+@dataclass(frozen=True)
+class ModelState(BatchState):
+    """Count tables of a served model, batch by batch, under ``path``."""
+
     max_rows: int
     alpha: float = bayes.ALPHA
 
@@ -54,33 +74,28 @@ class ModelState:
         return self
 
     def _write(self, kind: str, batch: int, counts: DataFrame, priors: DataFrame) -> None:
-        counts.write.mode("overwrite").parquet(f"{self.path}/{kind}/{batch}/counts")
-        priors.write.mode("overwrite").parquet(f"{self.path}/{kind}/{batch}/priors")
+        counts.write.mode("overwrite").parquet(self._folder(kind, batch, "counts"))
+        priors.write.mode("overwrite").parquet(self._folder(kind, batch, "priors"))
 
     def _read(self, spark: SparkSession, kind: str, batches: list[int], table: str) -> DataFrame:
         schema = COUNT_SCHEMA if table == "counts" else PRIOR_SCHEMA
-        return spark.read.schema(schema).parquet(*[f"{self.path}/{kind}/{b}/{table}" for b in batches])
+        return spark.read.schema(schema).parquet(*[self._folder(kind, b, table) for b in batches])
 
     def model_before(self, spark: SparkSession, batch: int) -> bayes.NaiveBayes:
         """Latest earlier snapshot plus the deltas that came after it."""
-        snap = next(b for b in range(batch - 1, -2, -1)
-                    if (b == -1 or (b + 1) % COMPACT_EVERY == 0)
-                    and path_exists(spark, f"{self.path}/snapshot/{b}/priors/_SUCCESS"))
+        snap, later = self._before(spark, batch, "priors")
         base = bayes.NaiveBayes(self._read(spark, "snapshot", [snap], "counts"),
                                 self._read(spark, "snapshot", [snap], "priors"), self.max_rows, self.alpha)
-        later = [b for b in range(snap + 1, batch)
-                 if path_exists(spark, f"{self.path}/delta/{b}/priors/_SUCCESS")]
         if not later:
             return base
         return bayes.add_counts(base, self._read(spark, "delta", later, "counts"),
                                 self._read(spark, "delta", later, "priors"))
 
-    def teach(self, spark: SparkSession, batch: int, features: DataFrame) -> bayes.NaiveBayes:
-        """Write the batch's own counts and return the model after it."""
-        before = self.model_before(spark, batch)
-        gained = bayes.tfidf(features, before.counts, self.max_rows, "Label_Code")
-        counts = bayes.class_sums(gained, [MODEL, "term"], F.col("x")).withColumn(
-            "idf", F.lit(None).cast("double"))
+    def teach(self, spark: SparkSession, batch: int, features: DataFrame, terms: DataFrame | None = None) -> bayes.NaiveBayes:
+        """Write the batch's own counts and return the model after it; ``terms`` are the unit weights, if they are known."""
+        if terms is None:
+            terms = unit_terms(features, self.model_before(spark, batch))
+        counts = bayes.class_sums(terms, [MODEL, "term"], F.col("x")).withColumn("idf", F.lit(None).cast("double"))
         self._write("delta", batch, counts.select(MODEL, "term", "idf", "w_ham", "w_spam"),
                     bayes.class_counts(features))
         after = self.model_before(spark, batch + 1)
@@ -89,6 +104,63 @@ class ModelState:
         return after
 
 
+@dataclass(frozen=True)
+class CatalogueState(BatchState):
+    """The retraining catalogue: entries as mergeable rows per micro-batch, each text stored once.
+
+    An entry is a key, two numbers and what its first and its last event say; texts lie in a table
+    of their own by key, so neither a delta nor a snapshot grows with the length of the texts, and
+    a text taught again is not written again.
+    """
+
+    def add(self, batch: int, events: DataFrame, posterior: str) -> None:
+        """Write the entries that the events (seq, timestamp, texto, label, idioma, posterior) of a batch add."""
+        spark = events.sparkSession
+        rows = events.withColumn("texto", tx.sanitise(F.col("texto"))).filter(F.col("texto") != "")
+        rows = rows.withColumn("clave", text_key(F.col("texto")))
+        first = F.struct(F.upper("idioma").alias("idioma"), F.col("timestamp").alias("fecha"))
+        last = F.struct("label", F.col("timestamp").alias("fecha"), F.col(posterior).alias("p"))
+        entries = rows.groupBy("clave").agg(
+            F.count(F.lit(1)).alias("veces_entrenado"), F.min("seq").alias("primero"), F.max("seq").alias("ultimo"),
+            F.min_by(first, F.col("seq")).alias("primera"), F.max_by(last, F.col("seq")).alias("ultima"))
+        texts = rows.groupBy("clave").agg(F.any_value("texto").alias("texto"))
+        known = [self._folder("delta", b, "texts") for b in self._all(spark, batch)]
+        if known:
+            texts = texts.join(spark.read.schema(TEXT_SCHEMA).parquet(*known).select("clave"), "clave", "left_anti")
+        texts.write.mode("overwrite").parquet(self._folder("delta", batch, "texts"))
+        entries.write.mode("overwrite").parquet(self._folder("delta", batch, "entries"))
+        if (batch + 1) % COMPACT_EVERY == 0:
+            self.entries(spark, batch + 1).write.mode("overwrite").parquet(self._folder("snapshot", batch, "entries"))
+
+    def _all(self, spark: SparkSession, batch: int) -> list[int]:
+        return [b for b in range(batch) if path_exists(spark, self._folder("delta", b, "entries") + "/_SUCCESS")]
+
+    def entries(self, spark: SparkSession, batch: int) -> DataFrame:
+        """The entries after all batches before ``batch``."""
+        snap, later = self._before(spark, batch, "entries")
+        paths = [self._folder("snapshot", snap, "entries")] if snap is not None else []
+        rows = spark.read.schema(ENTRY_SCHEMA).parquet(*paths, *[self._folder("delta", b, "entries") for b in later])
+        return rows.groupBy("clave").agg(
+            F.sum("veces_entrenado").alias("veces_entrenado"), F.min("primero").alias("primero"), F.max("ultimo").alias("ultimo"),
+            F.min_by("primera", "primero").alias("primera"), F.max_by("ultima", "ultimo").alias("ultima"))
+
+    def current(self, spark: SparkSession, batch: int, stretch: int = history.STRETCH) -> DataFrame:
+        """The catalogue after all batches before ``batch``, with ids in order of first arrival."""
+        out = history.numbered(self.entries(spark, batch).withColumn("_all", F.lit(1)), ["_all"], "primero", stretch)
+        texts = spark.read.schema(TEXT_SCHEMA).parquet(*[self._folder("delta", b, "texts") for b in self._all(spark, batch)])
+        return out.join(texts, "clave").select(
+            F.format_string("fb_%03d", "numero").alias("id"), F.col("primera.fecha").alias("fecha"),
+            F.col("primera.idioma").alias("idioma"), history.label_name(F.col("ultima.label")).alias("etiqueta"),
+            F.col("ultima.label").alias("label"), "texto", "veces_entrenado",
+            F.when(F.col("veces_entrenado") > 1, F.col("ultima.fecha")).alias("ultima_fecha"),
+            F.col("ultima.p").alias("ultima_probabilidad_spam"))
+
+
+def unit_terms(features: DataFrame, model: bayes.NaiveBayes) -> DataFrame:
+    """(modelo, id, Label_Code, term, x): known terms of taught mails under the frozen idf."""
+    return bayes.tfidf(features, model.counts, model.max_rows, "Label_Code")
+
+
 def taught_features(events: DataFrame) -> DataFrame:
     """Features of taught mails under the model of their language (English, else Spanish).
 
@@ -101,58 +173,43 @@ def taught_features(events: DataFrame) -> DataFrame:
     return score.routed_features(routed, "Label_Code")
 
 
-def learn(events: DataFrame, state: ModelState, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Teach the model with each micro-batch and append the history records.
+def learn(events: DataFrame, state: ModelState, log_path: str, checkpoint: str,
+          catalogue: CatalogueState | None = None) -> StreamingQuery:
+    """Teach the model with each micro-batch, append the history records and keep the catalogue.
 
-    Mails are scored again with the model after the batch; one file per batch
-    gives the finest steps, and the final counts do not depend on the batches.
+    Every mail is scored again by the model that has just learnt it, by running sums over the
+    batch in arrival order; neither scores nor counts depend on the batches.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Both are read several times below; lost blocks are computed again.
-        rows = batch.persist()
-        features = taught_features(rows).persist()
-        after = state.teach(spark, batch_id, features)
-        p = bayes.score(features, after).select(F.col(ID).alias("seq"), F.col("p_spam").alias("p_posterior"))
-        records = history.feedback_records(rows.join(p, "seq"))
-        records.write.mode("overwrite").json(f"{log_path}/batch={batch_id}")
-        features.unpersist()
-        rows.unpersist()
+        with stage_scope(spark):
+            rows = write_stage(batch, "batch")
+            features = write_stage(taught_features(rows), "taught_features")
+            before = state.model_before(spark, batch_id)
+            terms = write_stage(unit_terms(features, before), "taught_terms")
+            state.teach(spark, batch_id, features, terms)
+            after = online.posterior_after_each(features, terms, before).select(F.col(ID).alias("seq"), "p_posterior")
+            scored = write_stage(rows.join(after, "seq"), "taught_scores")
+            history.feedback_records(scored).write.mode("overwrite").json(f"{log_path}/batch={batch_id}")
+            if catalogue is not None:
+                catalogue.add(batch_id, scored, "p_posterior")
 
     return (events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def catalogue_updates(events: DataFrame, posterior: str = "p_spam") -> DataFrame:
-    """Running catalogue entry per text (keyed aggregate, update mode)."""
-    rows = events.withColumn("texto", tx.sanitise(F.col("texto"))).filter(F.col("texto") != "")
-    first = F.struct(F.upper("idioma").alias("idioma"), F.col("timestamp").alias("fecha"), "texto")
-    last = F.struct("label", F.col("timestamp").alias("fecha"), F.col(posterior).alias("p"))
-    return rows.groupBy(text_key(F.col("texto")).alias("clave")).agg(
-        F.count(F.lit(1)).alias("veces_entrenado"), F.min("seq").alias("primero"),
-        F.min_by(first, F.col("seq")).alias("_first"), F.max_by(last, F.col("seq")).alias("_last"))
-
-
-def keep_catalogue(events: DataFrame, path: str, checkpoint: str, posterior: str = "p_spam") -> StreamingQuery:
-    """Write the changed entries of every micro-batch under ``path/batch=<id>``."""
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return (catalogue_updates(events, posterior).writeStream.outputMode("update").foreachBatch(upsert)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
-
-def current_catalogue(spark: SparkSession, path: str, stretch: int = history.STRETCH) -> DataFrame:
-    """Latest version of every entry, with ids in order of first arrival."""
-    rows = spark.read.parquet(path)
-    newest = rows.groupBy("clave").agg(F.max("batch").alias("batch"))
-    out = rows.join(newest, ["clave", "batch"]).withColumn("_all", F.lit(1))
-    out = history.numbered(out, ["_all"], "primero", stretch)
-    return out.select(
-        F.format_string("fb_%03d", "numero").alias("id"), F.col("_first.fecha").alias("fecha"),
-        F.col("_first.idioma").alias("idioma"), history.label_name(F.col("_last.label")).alias("etiqueta"),
-        F.col("_last.label").alias("label"), F.col("_first.texto").alias("texto"), "veces_entrenado",
-        F.when(F.col("veces_entrenado") > 1, F.col("_last.fecha")).alias("ultima_fecha"),
-        F.col("_last.p").alias("ultima_probabilidad_spam"))
+def keep_catalogue(events: DataFrame, state: CatalogueState, checkpoint: str, posterior: str) -> StreamingQuery:
+    """Keep the catalogue of events that carry their score after teaching in ``posterior``."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        with stage_scope(batch.sparkSession):
+            state.add(batch_id, write_stage(batch, "batch"), posterior)
+
+    return (events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def batches_done(run: StreamingQuery) -> int:
+    """The number after the last micro-batch of a finished run."""
+    return max((p["batchId"] for p in run.recentProgress), default=-1) + 1

@@ -248,6 +248,24 @@ def taught(base: str, extra: str, samples: str) -> str:
             f"FROM {base}_w LEFT JOIN ({gain}) USING (modelo, term) JOIN ({n}) USING (modelo)")
 
 
+# posterior of every event after its own teaching: running sums in order of arrival
+CTES["evx"] = """SELECT modelo, message_id, y, term, x / sqrt(sum(x * x) OVER (PARTITION BY modelo, message_id)) AS u FROM (
+  SELECT modelo, message_id, y, term, (1e0 + ln(count(*))) * any_value(idf) AS x FROM (SELECT modelo, message_id, y, unnest(terms) AS term FROM ev)
+  JOIN sv_v USING (modelo, term) GROUP BY 1, 2, 3, 4)"""
+CTES["evr"] = """SELECT modelo, message_id, sum(u) AS su, sum(u * (ln(w_spam + gs + 0.1e0) - ln(w_ham + gh + 0.1e0))) AS dot FROM (
+  SELECT *, sum(CASE WHEN y = 0 THEN u ELSE 0e0 END) OVER w AS gh, sum(CASE WHEN y = 1 THEN u ELSE 0e0 END) OVER w AS gs FROM evx
+  WINDOW w AS (PARTITION BY modelo, term ORDER BY message_id ROWS UNBOUNDED PRECEDING)) JOIN sv_w USING (modelo, term) GROUP BY 1, 2"""
+CTES["evp"] = """SELECT message_id AS seq, 1e0 / (1e0 + exp(-(ln((ns + ks) / (nh + kh)) + dot + su * (ln(th + mh + 0.1e0 * v) - ln(ts + ms + 0.1e0 * v))))) AS pm FROM (
+  SELECT e.modelo, e.message_id, coalesce(su, 0e0) AS su, coalesce(dot, 0e0) AS dot,
+         sum(CASE WHEN y = 0 THEN 1e0 ELSE 0e0 END) OVER w AS kh, sum(CASE WHEN y = 1 THEN 1e0 ELSE 0e0 END) OVER w AS ks,
+         sum(CASE WHEN y = 0 THEN coalesce(su, 0e0) ELSE 0e0 END) OVER w AS mh, sum(CASE WHEN y = 1 THEN coalesce(su, 0e0) ELSE 0e0 END) OVER w AS ms
+  FROM ev e LEFT JOIN evr r ON r.modelo = e.modelo AND r.message_id = e.message_id
+  WINDOW w AS (PARTITION BY e.modelo ORDER BY e.message_id ROWS UNBOUNDED PRECEDING))
+JOIN (SELECT modelo, count(*) AS v, sum(w_ham) AS th, sum(w_spam) AS ts FROM sv_w GROUP BY 1) USING (modelo)
+JOIN (SELECT modelo, count(*) FILTER (WHERE y = 0) AS nh, count(*) FILTER (WHERE y = 1) AS ns FROM sv GROUP BY 1) USING (modelo)"""
+CTES["cat_learned"] = "SELECT *, pm AS pf FROM fr JOIN evp USING (seq)"
+
+
 # ---------------------------------------------------------------------- queries
 BODY["ingest_splits"] = "SELECT *, length(text) AS n, md5(text) AS clave, 'jsonl' AS fuente FROM (SELECT * EXCLUDE (fuente) FROM raw)"
 BODY["ingest_fallback"] = "SELECT doc_id, lang, 'local' AS split, 'local_fallback' AS fuente FROM documents"
@@ -410,6 +428,9 @@ FROM (SELECT *, CASE WHEN idioma = 'en' THEN 'en' ELSE 'es' END AS modelo FROM f
 BODY["online_learning"] = taught("sv", "ev", "SELECT modelo, y FROM sv UNION ALL SELECT modelo, y FROM ev")
 BODY["retrain_catalog"] = catalogue("cat_post")
 BODY["retrain_catalog_stream"] = catalogue("cat_post")
+BODY["learned_catalog"] = catalogue("cat_learned")
+BODY["online_scores"] = """SELECT seq, upper(idioma) AS idioma, pm AS probabilidad_spam_posterior,
+  CASE WHEN pm >= umbral THEN 'SPAM' ELSE 'HAM' END AS prediccion_posterior, etiqueta_ensenada FROM fr JOIN evp USING (seq)"""
 BODY["history_groups"] = "SELECT *, md5(txt) AS clave FROM hg"
 BODY["history_timeline"] = """SELECT *, md5(txt) AS clave, row_number() OVER (PARTITION BY txt ORDER BY seq) AS iteracion,
   seq = max(seq) OVER (PARTITION BY txt) AS es_actual, CASE WHEN era_correcto THEN 'Confirmado' ELSE 'Reentrenado' END AS estado FROM fr"""
