@@ -99,10 +99,10 @@ def labelled(df: DataFrame) -> DataFrame:
     return with_length(rows.na.drop(subset=["Category"]))
 
 
-def clean_corpus(df: DataFrame) -> DataFrame:
-    """The whole cleaning stage."""
+def clean_corpus(df: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """The whole cleaning stage; mails are cut only if ``max_chars`` is given."""
     rows = min_length(dedupe_exact(labelled(df)))
-    return keep_present(truncate_long(rows))
+    return keep_present(rows if max_chars is None else truncate_long(rows, max_chars))
 
 
 def long_mail_bias(df: DataFrame, limit: int = tx.MAX_CHARS) -> DataFrame:
@@ -136,11 +136,12 @@ def cleaning_funnel(df: DataFrame) -> DataFrame:
         "etapa", "conteo", F.round(F.col("conteo") * 100.0 / F.col("_n"), 1).alias("porcentaje"))
 
 
-def heldout_corpus(df: DataFrame) -> DataFrame:
-    """Cleaning of an unseen split: code label first, no copy removal, original length kept."""
+def heldout_corpus(df: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Cleaning of an unseen split: code label first, no copy removal, original length kept; cut only if ``max_chars`` is given."""
     rows = normalise_label(drop_null_text(resolve_aliases(df)), label_first=True)
     rows = with_length(rows.na.drop(subset=["Category"]))
-    return keep_present(truncate_long(min_length(rows), keep_length=True))
+    rows = min_length(rows)
+    return keep_present(rows if max_chars is None else truncate_long(rows, max_chars, keep_length=True))
 
 
 def class_distribution(df: DataFrame, column: str = "Category") -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cartero.functions import grams
 from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
-from cartero.functions.expressions import bounded_broadcast, compute_once
+from cartero.functions.expressions import compute_once
 from cartero.operators.ranking import top_per_group
 from cartero.sources.mail import write_stage
 
@@ -17,6 +20,8 @@ ID = "message_id"
 UNKNOWN = "desconocido"
 BLANK = "es"           # language of a blank mail at scoring time
 MAX_LANGUAGES = 200    # more codes than this are taken for an error in the column
+SERVED_PROFILE = 100_000  # n-grams of a language that the serving model tells apart
+MAX_PROFILE = 2_000_000   # n-grams of all languages that are sent to every task
 
 
 def normalise(df: DataFrame, text: str = "Message", keep_short: bool = False) -> DataFrame:
@@ -42,7 +47,7 @@ def signal_counts(df: DataFrame, by: str = "Category", text: str = "clean_en") -
 class LanguageModel:
     """Character n-gram log-probabilities per language.
 
-    ``profile`` has one row per n-gram and one column per language with the gain
+    ``profile`` has one row per n-gram (its key) and one column per language with the gain
     over an unseen n-gram; ``floor`` is one row with the unseen log-probability.
     Its rows are bounded by ``languages x profile_size``.
     """
@@ -53,20 +58,27 @@ class LanguageModel:
     profile_size: int
     sizes: tuple[int, ...]
 
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted keys, gains) for the tasks; the number of rows is checked first."""
+        n = self.profile.count()
+        if n > MAX_PROFILE:
+            raise ValueError(f"a profile of {n} n-grams is too large to send to every task; lower profile_size")
+        rows = self.profile.toPandas().sort_values("g")  # at most MAX_PROFILE rows
+        return rows["g"].to_numpy(np.int64), rows[list(self.languages)].to_numpy(np.float64)
+
 
 def train_languages(df: DataFrame, text: str = "text", lang: str = "lang",
                     sizes: tuple[int, ...] = (1, 2, 3), profile_size: int = 5000,
-                    smoothing: float = 0.5, window: int = tx.LANGUAGE_WINDOW,
+                    smoothing: float = 0.5, window: int | None = tx.LANGUAGE_WINDOW,
                     languages: tuple[str, ...] | None = None) -> LanguageModel:
     """Count n-grams per language and keep each language's most frequent ones.
 
-    The list of languages is read from the data when it is not given; a column
-    of more than ``MAX_LANGUAGES`` codes is refused.
+    ``window=None`` learns from whole texts.  The list of languages is read from the data when it is
+    not given; a column of more than ``MAX_LANGUAGES`` codes is refused.
     """
     df = df.filter(F.col(lang).isNotNull())
-    grams = df.select(F.col(lang).alias("idioma"), F.explode(
-        tx.char_grams(tx.language_window(F.col(text), window), sizes)).alias("g"))
-    counts = grams.groupBy("idioma", "g").agg(F.count(F.lit(1)).alias("n"))
+    texts = df.select(F.col(lang).alias("idioma"), tx.language_window(F.col(text), window).alias("_t"))
+    counts = texts.mapInArrow(grams.counter(sizes), grams.COUNTS).groupBy("idioma", "g").agg(F.sum("n").alias("n"))
     top = top_per_group(counts, "idioma", "n", "g", profile_size)
     if languages is None:
         codes = df.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect()
@@ -84,45 +96,52 @@ def train_languages(df: DataFrame, text: str = "text", lang: str = "lang",
     return LanguageModel(profile, floor, languages, profile_size, sizes)
 
 
-def detect_language(df: DataFrame, model: LanguageModel, text: str = "text", ident: str = ID,
-                    window: int | None = tx.LANGUAGE_WINDOW) -> DataFrame:
-    """(id, idioma_detectado): best-scoring language, ``desconocido`` for very short texts.
+def train_whole_texts(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
+    """The model that serves: whole texts, and all n-grams up to ``SERVED_PROFILE`` of a language."""
+    return train_languages(df, text, lang, profile_size=SERVED_PROFILE, window=None)
+
 
-    ``window=None`` looks at the whole text.  A text's n-grams are counted inside
-    the row, and their scores are merged before the shuffle, so one narrow row
-    per text moves.
+def add_language(df: DataFrame, model: LanguageModel, text: str = "text",
+                 window: int | None = tx.LANGUAGE_WINDOW) -> DataFrame:
+    """``df`` with ``idioma_detectado``: best-scoring language, ``desconocido`` for very short texts.
+
+    ``window=None`` looks at the whole text.  Rows are scored where they are: nothing is
+    shuffled, and the profile is sent to every task once.
     """
-    langs = model.languages
-    cut = tx.language_window(F.col(text), window)
-    short = df.select(ident, cut.alias("_t"))
-    grams = short.select(ident, (F.length("_t") < tx.LANGUAGE_MIN_CHARS).alias("_short"),
-                         F.inline_outer(tx.term_counts(tx.char_grams(F.col("_t"), model.sizes))).alias("g", "_c"))
-    profile = bounded_broadcast(model.profile, len(langs) * model.profile_size)
-    sums = grams.join(profile, "g", "left").groupBy(ident).agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"), F.max("_short").alias("_short"),
-        *[F.coalesce(F.sum(F.col(x) * F.col("_c")), F.lit(0.0)).alias(x) for x in langs])
-    floor = model.floor.select(*[F.col(x).alias(f"_f_{x}") for x in langs])
-    scored = sums.crossJoin(F.broadcast(floor))
+    langs, floor = model.languages, model.floor.first()
+    profile = df.sparkSession.sparkContext.broadcast(model.arrays())
+    row = F.struct(*df.columns).alias("_row")
+    cut = df.select(row, tx.language_window(F.col(text), window).alias("_t"))
+    schema = T.StructType([cut.schema["_row"], *T.StructType.fromDDL(grams.SUMS)])
+    scored = cut.mapInArrow(grams.scorer(model.sizes, profile, len(langs)), schema)
     best = F.array_max(F.array(*[
-        F.struct(F.round(F.col(x) + F.col("_n") * F.col(f"_f_{x}"), 6).alias("s"),
+        F.struct(F.round(F.col("_sums")[i] + F.col("_n") * F.lit(floor[x]), 6).alias("s"),
                  F.lit(-i).alias("o"), F.lit(x).alias("l")) for i, x in enumerate(langs)]))["l"]
-    return scored.select(ident, F.when(F.col("_short"), UNKNOWN).otherwise(best)
-                         .alias("idioma_detectado"))
+    short = F.length(tx.language_window(F.col("_row")[text], window)) < tx.LANGUAGE_MIN_CHARS
+    return scored.select("_row.*", F.when(short, UNKNOWN).otherwise(best).alias("idioma_detectado"))
 
 
-def detect_mail_language(df: DataFrame, model: LanguageModel, text: str = "text", ident: str = ID) -> DataFrame:
-    """(id, idioma_detectado) at scoring time, from the whole text.
+def detect_language(df: DataFrame, model: LanguageModel, text: str = "text", ident: str = ID,
+                    window: int | None = tx.LANGUAGE_WINDOW) -> DataFrame:
+    """(id, idioma_detectado)."""
+    return add_language(df.select(ident, text), model, text, window).select(ident, "idioma_detectado")
+
+
+def add_mail_language(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """``df`` with ``idioma_detectado`` at scoring time, from the whole text.
 
     A blank mail counts as Spanish; one that is very short or has no letter is
     told by its English hint words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    facts = df.select(ident, (tx.strip(body) == "").alias("_blank"), body.rlike(r"\p{L}").alias("_letters"),
-                      tx.english_hint(body).alias("_hint"))
-    found = detect_language(df, model, text, ident, window=None).join(facts, ident)
-    told = F.col("_letters") & (F.col("idioma_detectado") != UNKNOWN)
-    return found.select(ident, F.when(F.col("_blank"), BLANK).when(told, F.col("idioma_detectado"))
-                        .otherwise(F.col("_hint")).alias("idioma_detectado"))
+    told = body.rlike(r"\p{L}") & (F.col("idioma_detectado") != UNKNOWN)
+    return add_language(df, model, text, None).withColumn(
+        "idioma_detectado", F.when(tx.strip(body) == "", BLANK).when(told, F.col("idioma_detectado")).otherwise(tx.english_hint(body)))
+
+
+def detect_mail_language(df: DataFrame, model: LanguageModel, text: str = "text", ident: str = ID) -> DataFrame:
+    """(id, idioma_detectado) at scoring time."""
+    return add_mail_language(df.select(ident, text), model, text).select(ident, "idioma_detectado")
 
 
 def language_census(df: DataFrame, column: str = "idioma_detectado") -> DataFrame:
@@ -137,6 +156,5 @@ def top_languages(census: DataFrame, k: int = 8) -> DataFrame:
 
 
 def nlp_corpus(df: DataFrame, model: LanguageModel) -> DataFrame:
-    """The whole normalisation stage on a (written) clean corpus, which it reads twice."""
-    lang = detect_language(df, model, text="Message")
-    return normalise(df.join(lang, ID))
+    """The whole normalisation stage on a clean corpus."""
+    return normalise(add_language(df, model, "Message"))

@@ -206,7 +206,7 @@ def cleaning_funnel(spark, d):
 
 @query("message_id:l Category:s Label_Code:l subject:s split:s fuente:s longitud_correo:l truncado:l clave:s")
 def clean_corpus(spark, d):
-    return clean.clean_corpus(raw_mail(spark, d)).withColumn("clave", F.md5("Message"))
+    return clean.clean_corpus(raw_mail(spark, d), tx.MAX_CHARS).withColumn("clave", F.md5("Message"))
 
 
 @query("message_id:l subject:s nulo:b")
@@ -267,14 +267,12 @@ def meta_token_counts(spark, d):
 
 
 def _language_model(spark, d):
-    docs = documents(spark, d)
-    return normalise.train_languages(docs.filter(hash_order(F.col(ID), "lang") % 2 == 0))
+    """The batch step learns, as it detects, from the first characters of a text."""
+    return normalise.train_languages(documents(spark, d))
 
 
 def _detected(spark, d):
-    docs = documents(spark, d)
-    found = normalise.detect_language(docs, _language_model(spark, d))
-    return docs.join(found, ID)
+    return normalise.add_language(documents(spark, d), _language_model(spark, d))
 
 
 @query("message_id:l lang:s idioma_detectado:s pista:s")
@@ -296,8 +294,7 @@ def top_languages(spark, d):
 
 @query("message_id:l Category:s idioma_detectado:s long_clean:l num_palabras_clean:l clave:s")
 def nlp_corpus(spark, d):
-    corpus = mail.write_stage(clean.clean_corpus(raw_mail(spark, d)), "clean")
-    out = normalise.nlp_corpus(corpus, _language_model(spark, d))
+    out = normalise.nlp_corpus(clean.clean_corpus(raw_mail(spark, d)), _language_model(spark, d))
     return out.withColumn("clave", F.md5("clean_en"))
 
 
@@ -680,10 +677,12 @@ def metrics_unpivot(spark, d):
 
 
 # ---------------------------------------------------------------------- scoring
-def _routed(spark, d):
-    docs = documents(spark, d).drop("lang")
-    found = normalise.detect_mail_language(docs, _language_model(spark, d))
-    return score.route(docs.join(found, ID))
+def _routed(spark, d, truth: DataFrame | None = None):
+    """All mails, or those with a known label, routed by the language of their whole text."""
+    docs = documents(spark, d)
+    model = normalise.train_whole_texts(docs)
+    mails = docs.drop("lang") if truth is None else docs.drop("lang").join(truth, ID)
+    return score.route(normalise.add_mail_language(mails, model))
 
 
 @query("message_id:l modelo:s idioma_modelo:s clave:s")
@@ -703,8 +702,8 @@ def thresholds(spark):
     return spark.createDataFrame([("en", 0.75), ("es", 0.65)], "modelo string, umbral double")
 
 
-def _predictions(spark, d, explain=False):
-    return score.predict_batch(_routed(spark, d), served_model(spark, d), thresholds(spark), explain)
+def _predictions(spark, d, explain=False, truth=None):
+    return score.predict_batch(_routed(spark, d, truth), served_model(spark, d), thresholds(spark), explain)
 
 
 @query("message_id:l etiqueta:s etiqueta_tentativa:s es_incierto:b motivo_incertidumbre:s")
@@ -722,7 +721,7 @@ def predict_batch(spark, d):
 
 def _bank(spark, d):
     truth = _labelled(spark, d).select(ID, F.upper("Category").alias("etiqueta_esperada"))
-    return _predictions(spark, d).join(truth, ID).withColumn("categoria", F.col("idioma_detectado"))
+    return _predictions(spark, d, truth=truth).withColumn("categoria", F.col("idioma_detectado"))
 
 
 @query("categoria:s aciertos:l total:l tasa:d1")

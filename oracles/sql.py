@@ -33,8 +33,9 @@ CTES["dedup"] = "SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY tex
 CTES["corpus"] = """
 SELECT * EXCLUDE (text), substr(text, 1, 10000) AS msg, least(length(text), 10000) AS longitud_correo,
        CASE WHEN length(text) > 10000 THEN 1 ELSE 0 END AS truncado FROM dedup WHERE length(text) > 5"""
+CTES["whole"] = "SELECT *, text AS msg, length(text) AS longitud_correo FROM dedup WHERE length(text) > 5"
 _subject_body = "coalesce(subject, '') || ' ' || "
-CTES["nlp"] = f"SELECT * FROM (SELECT *, {f.clean(_subject_body + 'msg')} AS clean_en FROM corpus) WHERE length(clean_en) > 5"
+CTES["nlp"] = f"SELECT * FROM (SELECT *, {f.clean(_subject_body + 'msg')} AS clean_en FROM whole) WHERE length(clean_en) > 5"
 
 
 def ranked(src: str, seed="42") -> str:
@@ -134,11 +135,11 @@ CTES["mcp"] = "SELECT modelo, y, round(p, 6) AS p, umbral, CASE WHEN round(p, 6)
 
 # held-out evaluation
 CTES["hs"] = f"""
-SELECT message_id, CASE Category WHEN 'ham' THEN 0 ELSE 1 END AS y, true AS tr, {f.clean(_subject_body + 'substr(text, 1, 10000)')} AS clean_en
+SELECT message_id, CASE Category WHEN 'ham' THEN 0 ELSE 1 END AS y, true AS tr, {f.clean(_subject_body + 'text')} AS clean_en
 FROM (SELECT * FROM valid WHERE split = 'train' QUALIFY row_number() OVER (PARTITION BY text ORDER BY message_id) = 1) WHERE length(text) > 5"""
 CTES["ho"] = f"""
 SELECT * FROM (SELECT * FROM hs UNION ALL
-  SELECT message_id, coalesce(label, y) AS y, false AS tr, {f.clean(_subject_body + 'substr(text, 1, 10000)')} AS clean_en
+  SELECT message_id, coalesce(label, y) AS y, false AS tr, {f.clean(_subject_body + 'text')} AS clean_en
   FROM valid WHERE split = 'test' AND length(text) > 5) WHERE length(clean_en) > 5"""
 CTES["ho_es"] = f"SELECT *, {f.lexical('CASE WHEN tr THEN clean_en ELSE substr(clean_en, 1, 600) END')} AS texto_es FROM ho"
 CTES["hx"] = (terms("ho", "'en_heldout' AS modelo, message_id, y, tr", "clean_en", EN, 2) + " UNION ALL "
@@ -179,7 +180,7 @@ CTES["lgt"] = f"SELECT message_id, lang, {_lw} AS t FROM docs"
 _gr = " UNION ALL ".join(f"SELECT message_id, lang, t, unnest(list_transform(range(1, greatest(length(t) - {n - 1}, 0) + 1), lambda i: substr(t, i, {n}))) AS g FROM lgt"
                          for n in (1, 2, 3))
 CTES["lgg"] = _gr
-CTES["lgc"] = (f"SELECT lang, g, count(*) AS n FROM lgg WHERE lang IS NOT NULL AND {f.h('message_id', 'lang')} % 2 = 0 GROUP BY 1, 2 "
+CTES["lgc"] = (f"SELECT lang, g, count(*) AS n FROM lgg WHERE lang IS NOT NULL GROUP BY 1, 2 "
                "QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, g) <= 5000")
 CTES["lgs"] = "SELECT lang, sum(n) AS tot, (SELECT count(DISTINCT g) FROM lgc) AS v, CAST(row_number() OVER (ORDER BY lang) AS INT) AS o FROM lgc GROUP BY 1"
 CTES["lgp"] = """
@@ -196,7 +197,10 @@ _chars = "SELECT message_id, string_split(t, '') AS c FROM wlt WHERE t <> ''"
 CTES["wlg"] = "SELECT message_id, g, count(*) AS cnt FROM (" + " UNION ALL ".join(
     f"SELECT message_id, unnest(list_transform(range(1, greatest(len(c) - {n - 1}, 0) + 1), lambda i: {' || '.join(f'c[i + {k}]' for k in range(n))})) AS g FROM ({_chars})"
     for n in (1, 2, 3)) + ") GROUP BY 1, 2"
-CTES["wlp"] = (CTES["lgp"].replace("FROM lgt d", "FROM wlt d").replace("count(*) AS ng FROM lgg", "sum(cnt) AS ng FROM wlg")
+CTES["wlc"] = ("SELECT lang, g, CAST(sum(cnt) AS BIGINT) AS n FROM wlg JOIN docs USING (message_id) WHERE lang IS NOT NULL GROUP BY 1, 2 "
+               "QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sum(cnt) DESC, g) <= 100000")
+CTES["wls"] = CTES["lgs"].replace("lgc", "wlc")
+CTES["wlp"] = (CTES["lgp"].replace("JOIN lgc", "JOIN wlc").replace("JOIN lgs", "JOIN wls").replace("FROM lgt d", "FROM wlt d").replace("count(*) AS ng FROM lgg", "sum(cnt) AS ng FROM wlg")
                .replace("sum(ln(b.n + 0.5e0) - ln(0.5e0)) AS gain FROM lgg a", "sum(a.cnt * (ln(b.n + 0.5e0) - ln(0.5e0))) AS gain FROM wlg a"))
 _hint = f"CASE WHEN len(list_intersect(list_distinct({f.words('lower(text)')}), {f.sql_list(lx.ENGLISH_HINTS)})) >= 2 THEN 'en' ELSE 'es' END"
 CTES["wld"] = f"""SELECT message_id, text, source, CASE WHEN {f.strip('text')} = '' THEN 'es' WHEN length(t) < 6 OR NOT regexp_matches(text, '\\p{{L}}') THEN {_hint}
@@ -325,7 +329,7 @@ BODY["language_census"] = "SELECT idioma_detectado AS idioma_iso, count(*) AS co
 BODY["top_languages"] = """SELECT l AS idioma_iso, count(*) AS conteo FROM (SELECT lang AS l FROM docs UNION ALL
   SELECT regexp_extract(html, 'lang="([a-z]+)"', 1) FROM pages) GROUP BY 1 ORDER BY conteo DESC, l LIMIT 8"""
 CTES["lgm"] = (CTES["lgp"].replace("lgt d", "lgm_t d").replace("FROM lgg GROUP", "FROM lgm_g GROUP").replace("FROM lgg a", "FROM lgm_g a"))
-CTES["lgm_t"] = f"SELECT message_id, lang, {_lw.replace('text', 'msg')} AS t FROM corpus"
+CTES["lgm_t"] = f"SELECT message_id, lang, {_lw.replace('text', 'msg')} AS t FROM whole"
 CTES["lgm_g"] = _gr.replace("FROM lgt", "FROM lgm_t")
 BODY["nlp_corpus"] = f"""
 SELECT message_id, Category, CASE WHEN length(t) < 6 THEN 'desconocido' ELSE idioma END AS idioma_detectado, length(clean_en) AS long_clean,
@@ -437,7 +441,7 @@ BODY["history_timeline"] = """SELECT *, md5(txt) AS clave, row_number() OVER (PA
 BODY["history_search"] = "SELECT *, md5(txt) AS clave FROM hg WHERE contains(lower(txt), 'the') OR contains(lower(texto_resumen), 'the') OR contains(lower(idioma), 'the')"
 BODY["history_page"] = "SELECT md5(txt) AS clave, veces, tiempo FROM hg ORDER BY tiempo DESC, primero LIMIT 25 OFFSET 50"
 
-BODY["class_distribution"] = "SELECT Category, count(*) AS conteo, round(count(*) * 100e0 / (SELECT count(*) FROM corpus), 1) AS porcentaje FROM corpus GROUP BY 1"
+BODY["class_distribution"] = "SELECT Category, count(*) AS conteo, round(count(*) * 100e0 / (SELECT count(*) FROM whole), 1) AS porcentaje FROM whole GROUP BY 1"
 
 
 def histogram(src: str, value: str, bins: int, name: str) -> str:
@@ -446,9 +450,9 @@ def histogram(src: str, value: str, bins: int, name: str) -> str:
             f"SELECT Category, lo, hi, {at} AS bin FROM {src}, (SELECT log10(min({value})) AS lo, log10(max({value})) AS hi FROM {src} WHERE {value} > 0) WHERE {value} > 0) GROUP BY 2, 3, lo, hi")
 
 
-CTES["lens"] = f"SELECT Category, longitud_correo, len({f.words('msg')}) AS num_palabras FROM corpus"
+CTES["lens"] = f"SELECT Category, longitud_correo, len({f.words('msg')}) AS num_palabras FROM whole"
 BODY["length_histogram"] = histogram("lens", "longitud_correo", 40, "caracteres") + " UNION ALL " + histogram("lens", "num_palabras", 60, "palabras")
-CTES["kc"] = "SELECT Category, CAST(round(log10(longitud_correo) / 0.01e0) AS INT) AS c, count(*) AS w FROM corpus GROUP BY 1, 2"
+CTES["kc"] = "SELECT Category, CAST(round(log10(longitud_correo) / 0.01e0) AS INT) AS c, count(*) AS w FROM whole GROUP BY 1, 2"
 CTES["kp"] = """SELECT *, greatest(sqrt(greatest((ss - n * (s / n) * (s / n)) / greatest(n - 1, 1), 0e0)) * pow(n, -0.2e0), 0.01e0) AS bw FROM (
   SELECT Category, CAST(sum(w) AS DOUBLE) AS n, sum(w * (c * 0.01e0)) AS s, sum(w * (c * 0.01e0) * (c * 0.01e0)) AS ss, min(c) AS lo, max(c) AS hi FROM kc GROUP BY 1)"""
 BODY["length_density"] = """SELECT Category, punto, round(any_value(x), 6) AS x, round(sum(w * exp(-0.5e0 * ((c * 0.01e0 - x) / bw) ** 2) / (n * bw * sqrt(2e0 * pi()))), 6) AS densidad FROM (

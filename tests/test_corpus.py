@@ -1,4 +1,6 @@
+import collections
 import json
+import math
 import os
 
 import pytest
@@ -25,7 +27,7 @@ def raw(spark):
 
 
 def test_clean_corpus(raw):
-    rows = {r.message_id: r for r in clean.clean_corpus(raw).collect()}
+    rows = {r.message_id: r for r in clean.clean_corpus(raw, 10000).collect()}
     assert sorted(rows) == [1, 5, 7]
     assert rows[1].Category == "ham" and rows[7].Label_Code == 0
     assert (rows[5].longitud_correo, rows[5].truncado, len(rows[5].Message)) == (10000, 1, 10000)
@@ -37,8 +39,13 @@ def test_rejects_and_funnel(raw):
     assert got == {"inicial": 7, "sin_nulos": 6, "sin_dup": 4, "final": 3, "truncados": 1}
 
 
+def test_nothing_is_cut_unless_asked(raw):
+    for rows in (clean.clean_corpus(raw), clean.heldout_corpus(raw)):
+        assert {len(r.Message) for r in rows.filter("message_id = 5").collect()} == {10001}
+
+
 def test_heldout_keeps_copies_and_length(raw):
-    rows = clean.heldout_corpus(raw).collect()
+    rows = clean.heldout_corpus(raw, 10000).collect()
     assert sorted(r.message_id for r in rows) == [1, 2, 5, 7]
     assert {r.longitud_correo for r in rows if r.message_id == 5} == {10001}
 
@@ -183,3 +190,31 @@ def test_too_many_languages_are_refused(spark):
     df = spark.range(normalise.MAX_LANGUAGES + 1).select(F.lit("texto").alias("text"), F.col("id").cast("string").alias("lang"))
     with pytest.raises(ValueError):
         normalise.train_languages(df)
+
+
+def test_serving_model_learns_from_whole_texts(spark):
+    """All texts open with the same 1,000 characters; only what follows tells the languages apart."""
+    head = "xx yy " * 170
+    tail = {"en": "the quick reply about money was sent this week ", "es": "los pagos de esta semana se enviaron ayer "}
+    rows = [(i, head + tail[lang] * 30, lang) for i, lang in enumerate(["en", "es"] * 5)]
+    docs = spark.createDataFrame(rows, "message_id long, text string, lang string")
+    model = normalise.train_whole_texts(docs)
+    got = {r.message_id: r.idioma_detectado for r in normalise.detect_mail_language(docs, model).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+
+
+def test_language_scores_equal_plain_counts(spark):
+    """N-gram sums in batches against dictionaries; characters beyond the first plane, blanks and empty texts too."""
+    texts = ["hello there friend", "hola que tal amigo", "\U00020000\U00020001 hello", "", None, "ab", "hola " * 5000]
+    rows = [(i, t, "en" if i % 2 == 0 else "es") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "message_id long, text string, lang string").repartition(2)
+    model = normalise.train_languages(docs, window=None)
+    grams = lambda t: [t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+    counts = {lang: collections.Counter(g for _, t, own in rows if own == lang for g in grams((t or "").strip().lower())) for lang in ("en", "es")}
+    sizes = len({g for c in counts.values() for g in c})
+    for i, t, _ in rows:
+        text = (t or "").strip().lower()
+        scores = {lang: sum(math.log((c[g] + 0.5) / (sum(c.values()) + 0.5 * sizes)) for g in grams(text)) for lang, c in counts.items()}
+        want = "desconocido" if len(text) < 6 else max(scores, key=lambda k: round(scores[k], 6))
+        got = normalise.detect_language(docs.filter(F.col("message_id") == i), model, window=None).first()["idioma_detectado"]
+        assert got == want, (i, scores)

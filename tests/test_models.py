@@ -199,3 +199,22 @@ def test_norms_need_no_exchange_of_term_rows(spark):
     plan = features.tfidf(feats, vocab, 10)._jdf.queryExecution().executedPlan().toString()
     window, generate, dealt = plan.index("Window ["), plan.index("Generate inline"), plan.index("REPARTITION_BY_COL")
     assert window < generate < dealt and "ENSURE_REQUIREMENTS" not in plan[window:generate]
+
+
+def test_scores_in_place_equal_scores_by_joins(spark, monkeypatch):
+    """One pass over the mails against the long table: scores, explanations, ties and mails without known words."""
+    train = spark.createDataFrame(corpus(60), "message_id long, clean_en string, Label_Code int")
+    both = [features.featurise(train, "clean_en", m, features.stop_words(m), n) for m, n in (("en", 2), ("es", 1))]
+    model = bayes.train(both[0].unionByName(both[1]), 500, models=2)
+    texts = [r.clean_en for r in train.limit(20).collect()] + ["", "unseen words only", "a b c", "the the the"]
+    rows = [(i, m, t) for i, (t, m) in enumerate((t, m) for t in texts for m in ("en", "es"))]
+    routed = spark.createDataFrame(rows, "message_id long, modelo string, texto_procesado string").repartition(3)
+    for explain in (True, False):
+        here = score.score_mails(routed, model, explain)
+        monkeypatch.setattr(score, "BROADCAST_ROWS", 0)
+        joined = score.score_mails(routed, model, explain)
+        monkeypatch.undo()
+        a, b = ({r.message_id: r.asDict() for r in df.collect()} for df in (here, joined))
+        assert a.keys() == b.keys() == set(range(len(rows)))
+        for i in a:
+            assert abs(a[i].pop("p_spam") - b[i].pop("p_spam")) < 1e-12 and a[i] == b[i]
