@@ -276,7 +276,8 @@ def _terms(carry, batches):
 def search(index: DataFrame, items: DataFrame, k: int = 50, ident: str = "item_id") -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` documents of ``index`` with the highest scores above 0 for every item."""
     lead = index.filter("term is null")
-    counts = lead.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_terms"), F.lit(0)).alias("l")).first()
+    counts = lead.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_terms"), F.lit(0)).alias("l"),
+                      F.count(F.lit(1)).alias("shards")).first()
     kind = items.schema[ident].dataType.simpleString()
     asked = items.select(F.col(ident), "text").filter("text is not null").distinct().withColumn("query", F.xxhash64(ident, "text"))
     asked = stage(asked.mapInArrow(partial(_terms, ident), f"`{ident}` {kind}, query long, terms array<long>").filter("size(terms) > 0"), "asked")
@@ -296,7 +297,9 @@ def search(index: DataFrame, items: DataFrame, k: int = 50, ident: str = "item_i
     rows = lists.unionByName(docs)
     ids = index.schema["doc_ids"].dataType.elementType.simpleString()
     n_docs, n_terms = counts["n"], counts["l"]
-    best = rows.groupBy("shard", "group").applyInArrow(
+    # Work goes by documents and queries, not by the few bytes moved: one task per shard and group, as far as that is sensible.
+    parts = min(counts["shards"] * groups, 8 * int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    best = rows.repartition(max(1, parts), "shard", "group").groupBy("shard", "group").applyInArrow(
         lambda table: _search(n_docs, n_terms, k, table), f"query long, doc_id {ids}, score long")
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
