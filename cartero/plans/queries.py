@@ -16,7 +16,7 @@ from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
 from cartero.functions.expressions import hash_order
 from cartero.operators import (bayes, clean, diagnostics, evaluate, features, history, logistic,
-                               normalise, sampling, score, selection, translate)
+                               normalise, registry, sampling, score, selection, translate)
 from cartero.plans.tables import documents, feedback, raw_mail, table
 from cartero.sources import mail
 from cartero.streaming import feedback as stream
@@ -650,11 +650,11 @@ def error_totals(spark, d):
     return evaluate.error_totals(bayes.predict(scored_all(spark, d), 0.5))
 
 
-@query("modelo:s n:l accuracy:d4 precision:d4 recall:d4 f1:d4 roc_auc:d4 pr_auc:d4")
-def heldout_evaluation(spark, d):
-    """Models trained on the train split, evaluated on the unseen test split."""
+def _heldout_unit(spark, d):
+    """(unit, features of the unseen split): trained on the train split, its thresholds calibrated on a fifth of it."""
     raw = raw_mail(spark, d)
-    seen = normalise.normalise(clean.clean_corpus(raw.filter("split = 'train'"))).withColumn("parte", F.lit("train"))
+    seen = normalise.normalise(clean.clean_corpus(raw.filter("split = 'train'")))
+    seen = sampling.stratified_split(mail.write_stage(seen, "seen"), {"fit": 0.8, "val": 0.2})
     unseen = normalise.normalise(clean.heldout_corpus(raw.filter("split = 'test'"))).withColumn("parte", F.lit("test"))
     rows = mail.write_stage(seen.unionByName(unseen, allowMissingColumns=True), "heldout")
     # Training texts are translated whole; the mode under test cuts unseen mails only.
@@ -664,10 +664,28 @@ def heldout_evaluation(spark, d):
     stack = features.featurise(rows, "clean_en", "en_heldout", features.stop_words("en"), 2).unionByName(
         features.featurise(spanish, "texto_es", "es_heldout", features.stop_words("es"), 1))
     stack = mail.write_stage(stack, "stack")
-    test = bayes.score(stack.filter(F.col("parte") == "test"), trained(stack, models=2), "Label_Code")
-    test = test.withColumn("p_spam", F.round("p_spam", 6))
-    th = F.when(F.col("modelo") == "en_heldout", 0.75).otherwise(0.65)
-    return evaluate.evaluate(mail.write_stage(bayes.predict(test, th), "pred"))
+    val = bayes.score(stack.filter("parte = 'val'"), trained(stack, "fit", models=2), "Label_Code")
+    val = mail.write_stage(val.withColumn("p_spam", F.round("p_spam", 6)), "val")
+    best = mail.write_stage(bayes.calibrate_threshold(val), "thresholds")
+    accepted = evaluate.classification_metrics(bayes.predict(val.join(F.broadcast(best), "modelo"), F.col("umbral")))
+    model = bayes.train(stack.filter("parte <> 'test'"), models=2)
+    store = registry.ModelStore(mail.new_path(spark, "unit"))
+    store.commit(registry.ModelUnit(model, best, accepted, bayes.top_terms(bayes.term_weights(model))))
+    return store.load(spark), stack.filter("parte = 'test'")
+
+
+@query("modelo:s umbral:d2 n:l accuracy:d4 precision:d4 recall:d4 f1:d4 clase:s rango:l term:s peso:d3")
+def model_unit(spark, d):
+    """What a stored unit says of itself: thresholds, the metrics it was accepted with and its strongest terms."""
+    unit, _ = _heldout_unit(spark, d)
+    return unit.terms.join(unit.thresholds, "modelo").join(unit.metrics, "modelo")
+
+
+@query("modelo:s n:l accuracy:d4 precision:d4 recall:d4 f1:d4 roc_auc:d4 pr_auc:d4")
+def heldout_evaluation(spark, d):
+    """Models trained on the train split, evaluated on the unseen test split with the thresholds stored with them."""
+    unit, test = _heldout_unit(spark, d)
+    return evaluate.evaluate(mail.write_stage(unit.predict(test, "Label_Code"), "pred"))
 
 
 @query("modelo:s metrica:s valor:d4 valor_x100:d2")
@@ -690,6 +708,10 @@ def route_by_language(spark, d):
     return _routed(spark, d).withColumn("clave", F.md5("texto_procesado"))
 
 
+# FIXED VALUES: thresholds of the served models.
+SERVED_THRESHOLDS = [("en", 0.75), ("es", 0.65)]
+
+
 def served_model(spark, d):
     """English and Spanish model trained on the labelled corpus."""
     rows = labelled_nlp(spark, d)
@@ -698,12 +720,18 @@ def served_model(spark, d):
     return bayes.train(mail.write_stage(en.unionByName(es), "served"), models=2)
 
 
-def thresholds(spark):
-    return spark.createDataFrame([("en", 0.75), ("es", 0.65)], "modelo string, umbral double")
+def served_unit(spark, d) -> registry.ModelUnit:
+    """The newest stored version of the served models, with the thresholds it was stored with."""
+    model, store = served_model(spark, d), registry.ModelStore(mail.new_path(spark, "served-unit"))
+    thresholds = spark.createDataFrame(SERVED_THRESHOLDS, "modelo string, umbral double")
+    none = spark.createDataFrame([], "modelo string, n long")
+    store.commit(registry.ModelUnit(model, thresholds, none, bayes.top_terms(bayes.term_weights(model))))
+    return store.load(spark)
 
 
 def _predictions(spark, d, explain=False, truth=None):
-    return score.predict_batch(_routed(spark, d, truth), served_model(spark, d), thresholds(spark), explain)
+    unit = served_unit(spark, d)
+    return score.predict_batch(_routed(spark, d, truth), unit.model, unit.thresholds, explain)
 
 
 @query("message_id:l etiqueta:s etiqueta_tentativa:s es_incierto:b motivo_incertidumbre:s")

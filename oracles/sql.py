@@ -135,17 +135,23 @@ CTES["mcp"] = "SELECT modelo, y, round(p, 6) AS p, umbral, CASE WHEN round(p, 6)
 
 # held-out evaluation
 CTES["hs"] = f"""
-SELECT message_id, CASE Category WHEN 'ham' THEN 0 ELSE 1 END AS y, true AS tr, {f.clean(_subject_body + 'text')} AS clean_en
+SELECT message_id, Category, CASE Category WHEN 'ham' THEN 0 ELSE 1 END AS y, true AS tr, {f.clean(_subject_body + 'text')} AS clean_en
 FROM (SELECT * FROM valid WHERE split = 'train' QUALIFY row_number() OVER (PARTITION BY text ORDER BY message_id) = 1) WHERE length(text) > 5"""
 CTES["ho"] = f"""
 SELECT * FROM (SELECT * FROM hs UNION ALL
-  SELECT message_id, coalesce(label, y) AS y, false AS tr, {f.clean(_subject_body + 'text')} AS clean_en
+  SELECT message_id, Category, coalesce(label, y) AS y, false AS tr, {f.clean(_subject_body + 'text')} AS clean_en
   FROM valid WHERE split = 'test' AND length(text) > 5) WHERE length(clean_en) > 5"""
 CTES["ho_es"] = f"SELECT *, {f.lexical('CASE WHEN tr THEN clean_en ELSE substr(clean_en, 1, 600) END')} AS texto_es FROM ho"
+CTES["ho_r"] = f"SELECT message_id, CASE WHEN r <= round_even(0.8e0 * nc, 0) THEN 'fit' ELSE 'val' END AS parte FROM ({ranked('(SELECT * FROM ho WHERE tr)')})"
+CTES["hxf"] = "SELECT hx.* EXCLUDE (tr), parte, parte = 'fit' AS tr FROM hx JOIN ho_r USING (message_id) WHERE tr"
+CTES.update(f.nb("hxf", "hxf"))
+CTES["hxv"] = "SELECT s.modelo, s.y, round(p, 6) AS p FROM hxf_p s WHERE NOT tr"
+CTES["hxt"] = best_threshold("hxv", 0.5, C50)
+CTES["hxm"] = "SELECT modelo, y, p, CASE WHEN p >= umbral THEN 1 ELSE 0 END AS pred FROM hxv JOIN hxt USING (modelo)"
 CTES["hx"] = (terms("ho", "'en_heldout' AS modelo, message_id, y, tr", "clean_en", EN, 2) + " UNION ALL "
               + terms("ho_es", "'es_heldout' AS modelo, message_id, y, tr", "texto_es", ES, 1))
 CTES.update(f.nb("hx", "hx"))
-CTES["hxp"] = "SELECT modelo, y, round(p, 6) AS p, CASE WHEN round(p, 6) >= CASE modelo WHEN 'en_heldout' THEN 0.75e0 ELSE 0.65e0 END THEN 1 ELSE 0 END AS pred FROM hx_p WHERE NOT tr"
+CTES["hxp"] = "SELECT modelo, y, round(p, 6) AS p, CASE WHEN round(p, 6) >= umbral THEN 1 ELSE 0 END AS pred FROM hx_p JOIN hxt USING (modelo) WHERE NOT tr"
 
 # folds
 _fold = "CASE WHEN r <= round_even({0!r}::DOUBLE * nc, 0) THEN 0 WHEN r <= round_even({1!r}::DOUBLE * nc, 0) THEN 1 ELSE 2 END"
@@ -407,6 +413,11 @@ BODY["error_audit"] = """SELECT message_id, md5(text) AS clave, y AS real, round
   FROM ex6 JOIN (SELECT message_id, text FROM raw) USING (message_id) WHERE pred <> y ORDER BY message_id LIMIT 100"""
 BODY["error_totals"] = "SELECT modelo, count(*) FILTER (WHERE y = 0 AND pred = 1) AS falsos_positivos, count(*) FILTER (WHERE y = 1 AND pred = 0) AS falsos_negativos FROM ex6 GROUP BY 1"
 BODY["heldout_evaluation"] = f.metrics("hxp")
+CTES["hxw"] = "SELECT modelo, term, round(lp_spam - lp_ham, 9) AS peso FROM hx_k"
+BODY["model_unit"] = (f"SELECT * FROM ({f.metrics('hxm', ranking=False)}) JOIN (SELECT modelo, umbral FROM hxt) USING (modelo) JOIN (" + " UNION ALL ".join(
+    f"SELECT modelo, '{c}' AS clase, r AS rango, term, round(peso, 3) AS peso FROM (SELECT modelo, term, {s} * peso AS peso, "
+    f"row_number() OVER (PARTITION BY modelo ORDER BY {s} * peso DESC, term) AS r FROM hxw) WHERE r <= 60"
+    for c, s in (("spam", "1"), ("ham", "-1"))) + ") USING (modelo)")
 BODY["metrics_unpivot"] = (f"SELECT *, round(valor * 100, 2) AS valor_x100 FROM (UNPIVOT (SELECT modelo, accuracy, precision, recall, f1 FROM ({f.metrics('ex6', ranking=False)})) "
                            "ON accuracy, precision, recall, f1 INTO NAME metrica VALUE valor)")
 BODY["mail_classifier"] = f.metrics("ex6t")

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cartero.operators import bayes, evaluate, features, logistic, score, selection
+from cartero.operators import bayes, evaluate, features, logistic, registry, score, selection
 from cartero.sources.mail import write_stage
 
 STOP = ["the"]
@@ -218,3 +218,26 @@ def test_scores_in_place_equal_scores_by_joins(spark, monkeypatch):
         assert a.keys() == b.keys() == set(range(len(rows)))
         for i in a:
             assert abs(a[i].pop("p_spam") - b[i].pop("p_spam")) < 1e-12 and a[i] == b[i]
+
+
+def test_units_are_read_whole(spark, tmp_path):
+    """A version without a manifest is not there, an old one stays readable, and the thresholds are the unit's own."""
+    train = spark.createDataFrame(corpus(60), "message_id long, clean_en string, Label_Code int")
+    feats = write_stage(features.featurise(train, "clean_en", "m", STOP, 2), "features")
+    store = registry.ModelStore(str(tmp_path / "unit"))
+    with pytest.raises(FileNotFoundError):
+        store.load(spark)
+    metrics = spark.createDataFrame([("m", 0.9)], "modelo string, f1 double")
+    for k, umbral in ((10, 0.2), (30, 0.9)):
+        model = bayes.train(feats, k)
+        th = spark.createDataFrame([("m", umbral)], "modelo string, umbral double")
+        assert store.commit(registry.ModelUnit(model, th, metrics, bayes.top_terms(bayes.term_weights(model), 3))) == (1 if k == 10 else 2)
+    # a third version whose writer was lost: tables and a manifest folder, but no finished manifest
+    (tmp_path / "unit" / "manifests" / "3").mkdir()
+    new, old = store.load(spark), store.load(spark, 1)
+    assert (new.version, old.version, store.versions(spark)) == (2, 1, [1, 2])
+    assert old.model.counts.count() == 10 and new.model.counts.count() > 10 and new.terms.count() == 6
+    got = {r.message_id: (r.p_spam, r.pred) for r in new.predict(feats, "Label_Code").collect()}
+    assert len(got) == 60 and all(pred == (p >= 0.9) for p, pred in got.values())
+    assert sum(p for _, p in got.values()) < old.predict(feats).filter("pred = 1").count()
+    assert store.commit(new) == 3 and store.load(spark).version == 3  # the number given up is taken again
