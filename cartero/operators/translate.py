@@ -73,6 +73,50 @@ def translate_fragments_by(df: DataFrame, batch_fn, text: str = "clean_en", iden
     return regroup_fragments(rows.mapInPandas(run, rows.schema), ident)
 
 
+def bisected(batch_fn, texts: list[str]) -> list[tuple[str | None, str | None]]:
+    """(translation, error) of every text.
+
+    A batch that fails is halved until the texts that fail stand alone, so a failure costs two calls
+    per halving and loses no neighbour.
+    """
+    if not texts:
+        return []
+    try:
+        out = batch_fn(texts)
+        if len(out) != len(texts):
+            raise ValueError(f"{len(out)} translations of {len(texts)} texts")
+        return [(t, None if t is not None else "no translation") for t in out]
+    except Exception as e:  # whatever a model raises is the text's error
+        if len(texts) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+        half = len(texts) // 2
+        return bisected(batch_fn, texts[:half]) + bisected(batch_fn, texts[half:])
+
+
+def translate_fragments_safely(df: DataFrame, batch_fn, text: str = "clean_en", ident: str = ID,
+                               limit: int = tx.FRAGMENT_CHARS) -> DataFrame:
+    """Same, with a translator that may fail: (id, texto_es, num_fragmentos, fallos, error).
+
+    A mail with a failed block has no ``texto_es``, the number of its failed blocks and the first
+    error; ``safe_translate`` puts its own text in place.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            done = bisected(batch_fn, pdf["fragmento"].tolist())
+            yield pdf.assign(fragmento=[t for t, _ in done], error=[e for _, e in done])
+
+    rows = fragments(df, text, ident, limit)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    rows = rows.mapInPandas(run, schema + ", error string")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "fragmento")))
+    out = rows.groupBy(ident).agg(ordered.alias("_b"), F.count("error").alias("fallos"),
+                                  F.min_by("error", F.when(F.col("error").isNotNull(), F.col("pos"))).alias("error"))
+    whole = tx.post_normalise(F.array_join(F.col("_b.fragmento"), " "))
+    return out.select(ident, F.when(F.col("fallos") == 0, whole).alias("texto_es"),
+                      F.size("_b").alias("num_fragmentos"), "fallos", "error")
+
+
 def regroup_fragments(rows: DataFrame, ident: str = ID) -> DataFrame:
     """(id, pos, fragmento) -> (id, texto_es, num_fragmentos), blocks in order.
 

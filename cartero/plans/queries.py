@@ -16,7 +16,7 @@ from cartero.functions import lexicons as lx
 from cartero.functions import text as tx
 from cartero.functions.expressions import hash_order
 from cartero.operators import (bayes, clean, diagnostics, evaluate, features, history, logistic,
-                               normalise, registry, sampling, score, selection, translate)
+                               normalise, registry, sampling, score, selection, store, translate)
 from cartero.plans.tables import documents, feedback, raw_mail, table
 from cartero.sources import mail
 from cartero.streaming import feedback as stream
@@ -375,6 +375,28 @@ def resume_pending(spark, d):
     return translate.resume(docs, done, lambda rows: translate.translate_lexical(rows, "text"))
 
 
+def _translated_store(spark, d):
+    """(store, counts of three runs): the train split, the test split, then all mails once more."""
+    kept = store.TranslationStore(mail.new_path(spark, "translations"))
+    raw = mail.write_stage(raw_mail(spark, d).select(ID, "text", "split"), "raw")
+    runs = [raw.filter("split = 'train'"), raw.filter("split = 'test'"), raw]
+    return kept, raw, [kept.fill(r, lambda rows: translate.translate_fragments(rows, "text"), chunks=2) for r in runs]
+
+
+@query("corrida:l textos:l reutilizados:l traducidos:l fallidos:l")
+def translation_reuse(spark, d):
+    """What each run found in the store and what it had to translate; the last run translates nothing."""
+    runs = _translated_store(spark, d)[2]
+    return spark.createDataFrame([(i, r.textos, r.reutilizados, r.traducidos, r.fallidos) for i, r in enumerate(runs, 1)],
+                                 "corrida long, textos long, reutilizados long, traducidos long, fallidos long")
+
+
+@query("message_id:l texto_es:s num_fragmentos:l fallo:b")
+def stored_translations(spark, d):
+    kept, raw, _ = _translated_store(spark, d)
+    return kept.apply(raw)
+
+
 @query("n:l correlacion:d6 razon_media:d6 mas_largos:l")
 def length_parity(spark, d):
     rows = translate.translate_lexical(documents(spark, d), "text")
@@ -607,6 +629,27 @@ def model_comparison(spark, d):
     return evaluate.evaluate(pred).join(best, "modelo")
 
 
+def _both_algorithms(spark, d):
+    """(comparison, logistic coefficients) of Naive Bayes and logistic regression on all corpora."""
+    stack = model_stack(spark, d, {"fit": 0.64, "val": 0.16, "test": 0.2})
+    labelled = stack.filter("modelo = 'en' AND parte <> 'test'").select(ID, "Label_Code")
+    folds = sampling.stratified_kfold(labelled, selection.FOLDS).select(ID, "pliegue")
+    stack = mail.write_stage(stack.join(folds, ID, "left"), "compared")
+    return selection.compare_models(stack)
+
+
+@query("modelo:s algoritmo:s parametros:s umbral:d2 f1_cv_mean:d4 f1_cv_std:d4 n:l accuracy:d4 precision:d4 recall:d4 "
+       "f1:d4 roc_auc:d4 pr_auc:d4")
+def algorithm_comparison(spark, d):
+    return _both_algorithms(spark, d)[0]
+
+
+@query("modelo:s clase:s rango:l term:s peso:d3")
+def lr_top_terms(spark, d):
+    """The strongest terms of the logistic model of each corpus at the chosen C."""
+    return bayes.top_terms(_both_algorithms(spark, d)[1])
+
+
 # ------------------------------------------------------------------- evaluation
 @query("modelo:s tn:l fp:l fn:l tp:l")
 def confusion_matrix(spark, d):

@@ -102,6 +102,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none where there is no folder."""
+    if not path_exists(spark, path):
+        return []
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(f.getPath().getName() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root))
+
+
 # ---------------------------------------------------------------------- readers
 def read_splits(spark: SparkSession, paths: dict[str, str], source: str,
                 schema: T.StructType = RAW_SCHEMA) -> DataFrame:

@@ -366,6 +366,12 @@ SELECT count(*) AS n, corr(b, a) AS correlacion, avg(b / nullif(a, 0)) AS razon_
     docs)"""
 BODY["examples_per_language"] = """SELECT message_id, lang, r AS orden FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY message_id) AS r FROM docs)
   WHERE r <= CASE lang WHEN 'en' THEN 10 ELSE 3 END"""
+_runs = " UNION ALL ".join(f"SELECT {i} AS corrida, text, {seen} AS antes FROM (SELECT DISTINCT text FROM raw WHERE text IS NOT NULL AND {cond})"
+                           for i, cond, seen in ((1, "split = 'train'", "false"),
+                                                 (2, "split = 'test'", "text IN (SELECT text FROM raw WHERE split = 'train')"),
+                                                 (3, "true", "true")))
+BODY["translation_reuse"] = f"""SELECT corrida, count(*) AS textos, count(*) FILTER (WHERE antes) AS reutilizados,
+       count(*) FILTER (WHERE NOT antes) AS traducidos, 0 AS fallidos FROM ({_runs}) GROUP BY corrida"""
 BODY["translated_corpus"] = "SELECT message_id, texto_es, 1 AS num_fragmentos, length(texto_es) AS longitud_es FROM nlp_es"
 BODY["translation_validation"] = "SELECT count(*) AS filas, count(texto_es) AS traducidas, round(avg(num_fragmentos), 2) AS fragmentos_media, max(num_fragmentos) AS fragmentos_max FROM frag"
 

@@ -2,10 +2,11 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartero.operators import bayes, evaluate, features, logistic, registry, score, selection
+from cartero.operators import bayes, cells, evaluate, features, logistic, registry, score, selection
 from cartero.sources.mail import write_stage
 
 STOP = ["the"]
@@ -160,6 +161,113 @@ def test_logistic_grid(spark):
     assert got[4.0][1] and got[4.0][0] > 0.8 and not got[0.01][1]
 
 
+def newton(x, y, c, steps=50):
+    """Logistic regression by Newton steps; the last column of ``x`` is the free intercept."""
+    n, w = len(y), np.zeros(x.shape[1])
+    decay = np.append(np.full(x.shape[1] - 1, 1 / (c * n)), 0.0)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x.T * (p * (1 - p))) @ x / n + np.diag(decay), x.T @ (p - y) / n + decay * w)
+    return w
+
+
+def design(train, docs, k):
+    """Unit-length TF-IDF rows of ``docs`` by the vocabulary of ``train``, and the vocabulary."""
+    def grams(t):
+        w = [x for x in t.split() if len(x) >= 2 and x not in STOP]
+        return Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+
+    total, df = Counter(), Counter()
+    for _, t, _ in train:
+        total.update(grams(t))
+        df.update(grams(t).keys())
+    vocab = [t for t, _ in sorted(total.items(), key=lambda e: (-e[1], e[0]))[:k]]
+    x = np.zeros((len(docs), len(vocab) + 1))
+    for i, (_, t, _) in enumerate(docs):
+        c = grams(t)
+        for j, g in enumerate(vocab):
+            x[i, j] = (1 + math.log(c[g])) * (math.log((1 + len(train)) / (1 + df[g])) + 1) if c[g] else 0.0
+        x[i] /= np.linalg.norm(x[i]) or 1.0
+        x[i, -1] = 1.0
+    return x, vocab
+
+
+@pytest.fixture(scope="module")
+def folded(spark):
+    """Two corpora with folds by id; mail 100 has no known term and mail 101 no text."""
+    out, rows = {}, []
+    for name, seed in (("a", 3), ("b", 5)):
+        docs = corpus(60, seed) + [(100, "zzz", 1), (101, "", 0)]
+        out[name] = docs
+        rows += [(name, i, t, y, i // 3 % 3) for i, t, y in docs]
+    df = spark.createDataFrame(rows, "modelo string, message_id long, t string, Label_Code int, pliegue int")
+    parts = [features.featurise(df.filter(F.col("modelo") == m), "t", m, STOP, 2, ("Label_Code", "pliegue")) for m in out]
+    return out, write_stage(parts[0].unionByName(parts[1]), "test_folded")
+
+
+def test_all_logistic_cells_equal_a_fit_each(spark, folded):
+    docs, stack = folded
+    grid = [0.5, 4.0]
+    fit = cells.fit_cells(stack, 3, grid, 30, tol=1e-7)
+    got = {(r.modelo, r.c, r.message_id): r.p_spam for r in fit.score(stack).collect()}
+    whole = {(r.modelo, r.c, r.message_id): r.p_spam
+             for r in fit.score(stack.withColumn("pliegue", F.lit(None).cast("int"))).collect()}
+    coefs = {(r.modelo, r.c, r.term): r.peso for r in fit.coefficients().collect()}
+    assert len(got) == len(whole) == 2 * 2 * 62
+    for m, rows in docs.items():
+        for c in grid:
+            for fold in (0, 1, 2, None):
+                train = [r for r in rows if fold is None or r[0] // 3 % 3 != fold]
+                held = [r for r in rows if fold is None or r[0] // 3 % 3 == fold]
+                w = newton(design(train, train, 30)[0], np.array([r[2] for r in train]), c)
+                p = 1 / (1 + np.exp(-design(train, held, 30)[0] @ w))
+                have = whole if fold is None else got
+                assert [have[m, c, r[0]] for r in held] == pytest.approx(p, abs=1e-5)
+                if fold is None:
+                    vocab = design(train, train, 30)[1]
+                    assert [coefs[m, c, t] for t in vocab] == pytest.approx(w[:-1], abs=1e-4)
+
+
+def f1_of(held, p):
+    tp = sum(p[i] > 0.5 and y for i, _, y in held)
+    wrong = sum((p[i] > 0.5) != bool(y) for i, _, y in held)
+    return 2 * tp / (2 * tp + wrong) if tp else 0.0
+
+
+def test_slices_cover_all_rows_and_long_mails(monkeypatch):
+    monkeypatch.setattr(cells, "SLICE", 5)
+    offsets = np.array([0, 2, 2, 9, 10, 14, 15])
+    assert list(cells._slices(offsets)) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    assert list(cells._slices(np.array([0]))) == []
+
+
+def test_comparison_has_both_algorithms(spark, folded):
+    docs, stack = folded
+    part = F.when(F.col("message_id") % 5 == 0, "test").when(F.col("message_id") % 5 == 1, "val").otherwise("fit")
+    rows = write_stage(stack.withColumn("parte", part).withColumn(
+        "pliegue", F.when(F.col("parte") != "test", F.col("pliegue"))), "test_compared")
+    out, terms = selection.compare_models(rows, [0.5, 4.0], 30, nb_features=30, models=2)
+    got = {r.modelo: r for r in out.collect()}
+    assert set(got) == {"a_nb", "a_lr", "b_nb", "b_lr"}
+    assert all(r.n == 13 for r in got.values())
+    for m, mails in docs.items():
+        seen = [r for r in mails if r[0] % 5]
+        nb, lr = [], {0.5: [], 4.0: []}
+        for f in range(3):
+            train, held = [r for r in seen if r[0] // 3 % 3 != f], [r for r in seen if r[0] // 3 % 3 == f]
+            nb.append(f1_of(held, brute_nb(train, held, 30, bayes.ALPHA)))
+            x, y, z = design(train, train, 30)[0], np.array([r[2] for r in train]), design(train, held, 30)[0]
+            for c, out_of in lr.items():
+                p = 1 / (1 + np.exp(-z @ newton(x, y, c)))
+                out_of.append(f1_of(held, {r[0]: v for r, v in zip(held, p)}))
+        assert (got[f"{m}_nb"].f1_cv_mean, got[f"{m}_nb"].f1_cv_std) == pytest.approx((np.mean(nb), np.std(nb)), abs=1e-6)
+        best = max(lr, key=lambda c: (round(np.mean(lr[c]), 6), -c))
+        assert got[f"{m}_lr"].parametros == f"C={best}"
+        assert (got[f"{m}_lr"].f1_cv_mean, got[f"{m}_lr"].f1_cv_std) == pytest.approx((np.mean(lr[best]), np.std(lr[best])), abs=1e-6)
+    top = {r.term for r in bayes.top_terms(terms, 4).filter("clase = 'spam' AND modelo = 'a'").collect()}
+    assert top & {"win", "cash", "prize", "now"}
+
+
 def test_explanation(spark):
     weights = spark.createDataFrame([("m", "win", 2.0), ("m", "win cash", 1.5), ("m", "office", -1.0)], "modelo string, term string, peso double")
     mails = spark.createDataFrame([("m", 1, "Win cash, win office!"), ("m", 2, "")], "modelo string, message_id long, t string")
