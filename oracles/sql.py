@@ -372,6 +372,10 @@ _runs = " UNION ALL ".join(f"SELECT {i} AS corrida, text, {seen} AS antes FROM (
                                                  (3, "true", "true")))
 BODY["translation_reuse"] = f"""SELECT corrida, count(*) AS textos, count(*) FILTER (WHERE antes) AS reutilizados,
        count(*) FILTER (WHERE NOT antes) AS traducidos, 0 AS fallidos FROM ({_runs}) GROUP BY corrida"""
+CTES["frag_raw"] = CTES["frag"].replace("FROM docs", "FROM raw")
+BODY["stored_translations"] = """SELECT message_id, CASE WHEN text IS NOT NULL THEN frag_raw.texto_es END AS texto_es,
+       CASE WHEN text IS NULL THEN 0 ELSE frag_raw.num_fragmentos END AS num_fragmentos, false AS fallo
+FROM raw JOIN frag_raw USING (message_id)"""
 BODY["translated_corpus"] = "SELECT message_id, texto_es, 1 AS num_fragmentos, length(texto_es) AS longitud_es FROM nlp_es"
 BODY["translation_validation"] = "SELECT count(*) AS filas, count(texto_es) AS traducidas, round(avg(num_fragmentos), 2) AS fragmentos_media, max(num_fragmentos) AS fragmentos_max FROM frag"
 
