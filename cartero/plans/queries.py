@@ -629,25 +629,25 @@ def model_comparison(spark, d):
     return evaluate.evaluate(pred).join(best, "modelo")
 
 
-def _both_algorithms(spark, d):
-    """(comparison, logistic coefficients) of Naive Bayes and logistic regression on all corpora."""
+def _compared(spark, d):
+    """The stack of all corpora in three parts, with folds of the mails outside the test part."""
     stack = model_stack(spark, d, {"fit": 0.64, "val": 0.16, "test": 0.2})
     labelled = stack.filter("modelo = 'en' AND parte <> 'test'").select(ID, "Label_Code")
     folds = sampling.stratified_kfold(labelled, selection.FOLDS).select(ID, "pliegue")
-    stack = mail.write_stage(stack.join(folds, ID, "left"), "compared")
-    return selection.compare_models(stack)
+    return mail.write_stage(stack.join(folds, ID, "left"), "compared")
 
 
 @query("modelo:s algoritmo:s parametros:s umbral:d2 f1_cv_mean:d4 f1_cv_std:d4 n:l accuracy:d4 precision:d4 recall:d4 "
        "f1:d4 roc_auc:d4 pr_auc:d4")
 def algorithm_comparison(spark, d):
-    return _both_algorithms(spark, d)[0]
+    return selection.compare_models(_compared(spark, d))[0]
 
 
 @query("modelo:s clase:s rango:l term:s peso:d3")
 def lr_top_terms(spark, d):
     """The strongest terms of the logistic model of each corpus at the chosen C."""
-    return bayes.top_terms(_both_algorithms(spark, d)[1])
+    rest = mail.write_stage(_compared(spark, d).filter("parte <> 'test'"), "seen_rows")
+    return bayes.top_terms(selection.chosen_coefficients(*selection.chosen_logistic(rest)))
 
 
 # ------------------------------------------------------------------- evaluation
