@@ -12,6 +12,12 @@
    one are compared with all members, in blocks; a task keeps a union-find of what
    it has joined and so returns fewer links than it has members.  No pairs are
    written out, and no bucket is capped.
+5. Members of an open bucket of more than BLOCK are first posted again by their
+   rarest shingles: of n shingles the first n - ceil(0.75 n) + 1, in one order for all
+   texts, so that two texts of similarity 0.75 share one of them.  What many texts have
+   in common (a header, say) comes last in the order and is not posted, and texts that
+   share nothing else no longer meet.  The order is by counts in 2**SLOTS hashed slots;
+   it decides how many texts meet, never which links are found.
 
 Null, empty and blank texts have no shingles and link with nothing; fewer than five
 words are one shingle.  Rows that repeat an id belong to one node.  Extra columns
@@ -20,6 +26,8 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +42,7 @@ BANDS, ROWS, BITS = 50, 5, 4
 THRESHOLD = 75  # per cent
 ESTIMATE_CUT = 0.55
 BLOCK = 512
+SLOTS = 20  # 4 MB of counts in a task, whatever the number of texts
 BROADCAST_IDS = 1_000_000
 
 _SPACE = np.zeros(256, bool)
@@ -135,6 +144,33 @@ def _confirmed(batches):
         yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _slots(batches):
+    """How many of the shingles of these texts fall into every slot."""
+    total = np.zeros(1 << SLOTS, np.int64)
+    for b in batches:
+        every = np.frombuffer(b"".join(b.column("shingles").to_pylist()), np.uint64)
+        total += np.bincount((every >> U64(64 - SLOTS)).astype(np.int64), minlength=1 << SLOTS)
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+
+def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a set, so many that a set of enough similarity holds one of its own among them."""
+    n = len(shingles)
+    size = n - -(-THRESHOLD * n // 100) + 1
+    order = np.lexsort((shingles, counts[(shingles >> U64(64 - SLOTS)).astype(np.int64)]))
+    return shingles[order[:size]]
+
+
+def _posted(counts, batches):
+    for b in batches:
+        found = [prefix(np.frombuffer(s.as_py(), np.uint64), counts) for s in b.column("shingles")]
+        rows = np.repeat(np.arange(b.num_rows), [len(f) for f in found])
+        keys = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), *(b.column(c).take(pa.array(rows)) for c in ("doc_id", "component"))],
+                                         ["band", "doc_id", "component"])
+
+
 def _across(group: pa.Table) -> pa.Table:
     """Links of a block between different components, at most one per component joined."""
     ids, comps = group["doc_id"].to_pylist(), group["component"].to_pylist()
@@ -167,6 +203,49 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return stage(wanted.dropDuplicates(["doc_id"]), "sets")
 
 
+def _open(named: DataFrame, rows: int) -> DataFrame:
+    """(band, doc_id, component, size) of the buckets with several components.
+
+    Where the same members meet in many buckets, one of them is enough.
+    """
+    open_ = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.count(F.lit(1)).alias("size")).filter("lo != hi").select("band", "size")
+    rest = stage(sized(named.join(open_, "band"), rows), "open")
+    marks = rest.groupBy("band").agg(F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("mark"), F.max("size").alias("size"))
+    once = marks.groupBy("mark", "size").agg(F.min("band").alias("band")).select("band")
+    return stage(sized(rest.join(once, "band"), rows), "rest")
+
+
+def _by_prefix(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(band, doc_id, component): the members posted by their rarest shingles, in place of their buckets."""
+    held = stage(members.join(sets, "doc_id"), "held")
+    slots = held.select("shingles").mapInArrow(_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = slots.toArrow()  # at most 2**SLOTS rows
+    counts = np.zeros(1 << SLOTS, np.uint32)
+    counts[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), (1 << 32) - 1)
+    return stage(held.mapInArrow(partial(_posted, counts), "band long, doc_id long, component long"), "posted")
+
+
+def _dealt(rest: DataFrame, rows: int) -> DataFrame:
+    """Members of open buckets, once for every block (band, x, y) they are compared in."""
+    # A pair of different components has a member outside the bucket's largest one: those
+    # few meet every block of members, and the members are dealt out once for them.
+    parts = rest.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                      F.max("n").alias("most"), F.sum("n").alias("all"))
+    parts = stage(sized(parts, rows), "parts")
+    rest = rest.join(parts, "band").withColumn("outside", F.col("component") != F.col("largest"))
+    blocks = F.ceil(F.col("all") / BLOCK).cast("int")
+    groups = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
+    spot = F.xxhash64("doc_id")
+    left = rest.select("band", "doc_id", "component", F.lit(False).alias("asks"), F.pmod(spot, blocks).cast("long").alias("x"),
+                       F.explode(F.sequence(F.lit(0), groups - 1)).alias("y"))
+    right = rest.filter("outside").select(
+        "band", "doc_id", "component", F.lit(True).alias("asks"),
+        F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("x"), F.pmod(spot, groups).cast("int").alias("y"))
+    return left.unionByName(right)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document row."""
     source = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text")
@@ -200,33 +279,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Buckets with several components: pairs of two members were all compared with their hub above.
     named = members.filter("n > 2").join(labels, members.doc_id == labels.id, "left").select(
-        "band", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-    named = stage(sized(named, BANDS * n), "named")
-    open_ = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("size")).filter("lo != hi").select("band", "size")
-    rest = stage(sized(named.join(open_, "band"), BANDS * n), "open")
-    # The same members meet in many bands: one bucket of each set of members is enough.
-    marks = rest.groupBy("band").agg(F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("mark"), F.max("size").alias("size"))
-    once = marks.groupBy("mark", "size").agg(F.min("band").alias("band")).select("band")
-    rest = stage(sized(rest.join(once, "band"), BANDS * n), "rest")
+        "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    rest = _open(stage(sized(named, BANDS * n), "named"), BANDS * n)
+    large = stage(sized(rest.filter(F.col("size") > BLOCK).select("doc_id", "component").distinct(), n), "large")
     if not rest.isEmpty():
         sets = _sets_of(source, stage(sized(rest.select("doc_id").distinct(), n), "ids"))
-        # A pair of different components has a member outside the bucket's largest one: those
-        # few meet every block of members, and the members are dealt out once for them.
-        parts = rest.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-        parts = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                          F.max("n").alias("most"), F.sum("n").alias("all"))
-        parts = stage(sized(parts, BANDS * n), "parts")
-        rest = rest.join(parts, "band").withColumn("outside", F.col("component") != F.col("largest"))
-        blocks = F.ceil(F.col("all") / BLOCK).cast("int")
-        groups = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
-        spot = F.xxhash64("doc_id")
-        left = rest.select("band", "doc_id", "component", F.lit(False).alias("asks"), F.pmod(spot, blocks).cast("long").alias("x"),
-                           F.explode(F.sequence(F.lit(0), groups - 1)).alias("y"))
-        right = rest.filter("outside").select(
-            "band", "doc_id", "component", F.lit(True).alias("asks"),
-            F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("x"), F.pmod(spot, groups).cast("int").alias("y"))
-        dealt = left.unionByName(right).join(sets, "doc_id").join(light, "doc_id")
+        if not large.isEmpty():
+            rest = rest.filter(F.col("size") <= BLOCK).unionByName(_open(_by_prefix(large, sets), BANDS * n))
+        dealt = _dealt(rest, BANDS * n).join(sets, "doc_id").join(light, "doc_id")
         more = dealt.groupBy("band", "x", "y").applyInArrow(_across, "a long, b long")
         links = stage(links.unionByName(more), "confirmed")
         labels = stage(sized(components(links), n), "labels")
