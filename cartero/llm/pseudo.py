@@ -58,8 +58,11 @@ def initial() -> np.ndarray:
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
+    """In place, by rows."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
 
 
 def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -85,15 +88,20 @@ def _by_class(words: np.ndarray):
     return [(c, order[cut[c]:cut[c + 1]]) for c in range(CLASSES) if cut[c] < cut[c + 1]]
 
 
+def _log_softmax_at(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log-softmax of every row at one column; x is used up."""
+    top = x.max(1)
+    out = x[np.arange(len(x)), column] - top
+    x -= top[:, None]
+    np.exp(x, out=x)
+    return out - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
 def log_probabilities(net: dict, around: np.ndarray, words: np.ndarray) -> np.ndarray:
     h = np.tanh(net["embed"][around].reshape(len(words), -1) @ net["w1"] + net["b1"])
-    s = h @ net["wc"] + net["bc"]
-    top = s.max(1)
-    out = s[np.arange(len(words)), words // CLASSES] - top - np.log(np.exp(s - top[:, None]).sum(1))
+    out = _log_softmax_at(h @ net["wc"] + net["bc"], words // CLASSES)
     for c, rows in _by_class(words):
-        s = h[rows] @ net["ww"][c] + net["bw"][c]
-        top = s.max(1)
-        out[rows] += s[np.arange(len(rows)), words[rows] % CLASSES] - top - np.log(np.exp(s - top[:, None]).sum(1))
+        out[rows] += _log_softmax_at(h[rows] @ net["ww"][c] + net["bw"][c], words[rows] % CLASSES)
     return out
 
 
@@ -106,16 +114,24 @@ def step(net: dict, memory: dict, around: np.ndarray, words: np.ndarray) -> None
     x = net["embed"][around].reshape(n, -1)
     h = np.tanh(x @ net["w1"] + net["b1"])
     g = {k: np.zeros_like(v) for k, v in net.items()}
-    p = _softmax(h @ net["wc"] + net["bc"])
-    p[np.arange(n), words // CLASSES] -= 1
+    row, kind = np.arange(n), words // CLASSES
+    p = h @ net["wc"]
+    p += net["bc"]
+    p = _softmax(p)
+    p[row, kind] -= 1
     g["wc"], g["bc"] = h.T @ p, p.sum(0)
     dh = p @ net["wc"].T
-    for c in np.flatnonzero(cuts[1:] > cuts[:-1]):
-        rows = slice(cuts[c], cuts[c + 1])
-        p = _softmax(h[rows] @ net["ww"][c] + net["bw"][c])
-        p[np.arange(len(p)), words[rows] % CLASSES] -= 1
-        g["ww"][c], g["bw"][c] = h[rows].T @ p, p.sum(0)
-        dh[rows] += p @ net["ww"][c].T
+    some = np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()
+    parts = [(c, slice(cuts[c], cuts[c + 1])) for c in some]
+    p = net["bw"][kind]
+    for c, rows in parts:
+        p[rows] += h[rows] @ net["ww"][c]
+    p = _softmax(p)
+    p[row, words % CLASSES] -= 1
+    g["bw"][some] = np.add.reduceat(p, cuts[some], axis=0)
+    for c, rows in parts:
+        np.matmul(h[rows].T, p[rows], out=g["ww"][c])
+        dh[rows] += p[rows] @ net["ww"][c].T
     da = dh * (1 - h * h)
     g["w1"], g["b1"] = x.T @ da, da.sum(0)
     cells = (around.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
