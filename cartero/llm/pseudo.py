@@ -4,7 +4,9 @@ Words are those of the benchmark contract.  The vocabulary holds the VOCAB - 1 m
 frequent words of all documents; any other word is word 0, whose probability is shared
 out: a word with LEAST occurrences has its share of all words outside the vocabulary, and
 the share of the rarer ones is spelt out, letter by letter after the two letters before.
-Both count all documents, so their tables grow with the input.  The network reads the
+Both count all documents, so their tables grow with the input.  The counts of at most HELD
+of these words, the most frequent, go to the tasks; those of all others stay in a table
+that is joined by word to the words of the texts.  The network reads the
 embeddings of SIDE words on either side (a padding word beyond the ends), one hidden
 layer, and a softmax in two steps, class and word in class.  Every partition trains on
 masked positions of all its documents (every ROUNDS-th of a text, from the next one on
@@ -34,6 +36,7 @@ SIDE, WIDTH, HIDDEN = 2, 16, 24
 ROUNDS, BATCH, RATE = 2, 2048, 0.2
 FLUSH = 1 << 20
 LEAST, SMOOTH = 5, 16
+HELD = 1 << 17  # 2 MB of counts in a task, whatever the number of words
 _LETTER = np.zeros(256, np.int64)  # 0 is the end of a word, and what stands before it
 _LETTER[48:58], _LETTER[97:123], _LETTER[128:] = np.arange(1, 11), np.arange(11, 37), np.arange(37, 165)
 LETTERS = 165
@@ -170,13 +173,16 @@ def spelling(buf: np.ndarray, s: np.ndarray, e: np.ndarray):
 
 
 class Outside:
-    """Log probabilities of words given that they are outside the vocabulary."""
+    """Log probabilities of words given that they are outside the vocabulary.
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, rarer: int, codes: np.ndarray, n: np.ndarray):
+    ``counted`` is the sum of the counts of all words with LEAST occurrences, of which ``keys`` are the held ones.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, counted: int, rarer: int, codes: np.ndarray, n: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.counts = keys[order], counts[order]
         self.rarer = max(rarer, 1)
-        self.total = int(counts.sum()) + self.rarer
+        self.total = counted + self.rarer
         three = np.zeros(LETTERS ** 3, np.float32)
         three[codes] = n
         three = three.reshape(LETTERS, LETTERS, LETTERS)
@@ -187,17 +193,19 @@ class Outside:
         three += (SMOOTH * two).astype(np.float32)
         self.logs = np.log(three / size).ravel()
 
-    def of(self, hashes: np.ndarray, buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    def of(self, hashes: np.ndarray, buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log probabilities, whether the word is held); that of a word that is not held is its spelling's alone."""
         if not len(hashes):
-            return np.zeros(0)
+            return np.zeros(0), np.zeros(0, bool)
         codes, first = spelling(buf, s, e)
         spelt = np.add.reduceat(self.logs[codes].astype(np.float64), first) + np.log(self.rarer / self.total)
         if not len(self.keys):
-            return spelt
+            return spelt, np.zeros(len(hashes), bool)
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        known = np.flatnonzero(self.keys[at] == hashes)
+        held = self.keys[at] == hashes
+        known = np.flatnonzero(held)
         spelt[known] = np.logaddexp(spelt[known], np.log(self.counts[at[known]] / self.total))
-        return spelt
+        return spelt, held
 
 
 # -------------------------------------------------------------------- in tasks
@@ -271,18 +279,29 @@ def _score(vocabulary, flat, carry, batches):
             at = np.arange(i, min(len(ids), i + (1 << 14)))
             total[at + 1] = log_probabilities(net, contexts(ids, bounds, at), ids[at])
         other = np.flatnonzero(ids == 0)
-        total[other + 1] += vocabulary.outside.of(hashes[other], buf, s[other], e[other])
+        spelt, held = vocabulary.outside.of(hashes[other], buf, s[other], e[other])
+        total[other + 1] += spelt
         np.cumsum(total, out=total)
+        # Words that are not held, once for every text, with their number: their counts are joined.
+        left = np.flatnonzero(~held)
+        word, text = hashes[other[left]], np.searchsorted(bounds, other[left], "right") - 1
+        by = np.lexsort((word, text))
+        word, text, own = word[by], text[by], spelt[left[by]]
+        first = np.flatnonzero((np.diff(word, prepend=0) != 0) | (np.diff(text, prepend=-1) != 0))
+        number = np.diff(np.append(first, len(word)))
+        cuts = np.searchsorted(text[first], np.arange(b.num_rows + 1)).astype(np.int32)
+        rare = pa.StructArray.from_arrays([pa.array(word[first]), pa.array(own[first]), pa.array(number)], ["word", "spelt", "k"])
         yield pa.RecordBatch.from_arrays(
-            [*(b.column(c) for c in carry), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]])],
-            [*carry, "n_words", "log_likelihood"])
+            [*(b.column(c) for c in carry), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]]),
+             pa.ListArray.from_arrays(pa.array(cuts), rare)], [*carry, "n_words", "_base", "_rare"])
 
 
 # --------------------------------------------------------------- the operator
 def fit(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and weights from all documents."""
+    """Vocabulary and weights from all documents; the vocabulary names the written table of counts."""
     source = narrow(docs, "text")
-    words = stage(source.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    path: list = []
+    words = stage(source.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words", path)
     top = words.orderBy(F.desc("n"), "word").limit(VOCAB - 1).collect()  # VOCAB - 1 rows
     vocabulary, flat = Vocabulary([r["word"] for r in top]), initial()
     codes, n = np.zeros(0, np.int64), np.zeros(0)
@@ -297,17 +316,37 @@ def fit(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
             own = (i >= 0) & (i < len(flat))
             new[i[own]] = v[own]
             flat = (new / v[i < 0][0]).astype(np.float32)
-    table = words.filter(F.col("n") >= LEAST).toArrow()  # one row per word; none of the rarer ones
+    # What follows the vocabulary in the same order; at most HELD of the words go to the tasks.
+    last = (top[-1]["n"], top[-1]["word"]) if top else (0, 0)
+    other = words.filter((F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("word") > last[1])))
+    rarer = other.filter(F.col("n") < LEAST).agg(F.sum("n")).first()[0] or 0
+    other = other.filter(F.col("n") >= LEAST)
+    counted, room, cut = 0, HELD, 0
+    for r in other.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).collect():  # one row per count
+        counted += r["n"] * r["words"]
+        room -= r["words"]
+        if room < 0:
+            cut = max(cut, r["n"] + 1)
+    table = other.filter(F.col("n") >= cut).toArrow()  # at most HELD rows
     keys, counts = (table[c].to_numpy() for c in ("word", "n"))
-    own = vocabulary.of(keys) == 0
-    every = words.agg(F.sum("n")).first()[0] or 0
-    rarer = every - sum(r["n"] for r in top) - int(counts[own].sum())
-    vocabulary.outside = Outside(keys[own], counts[own], rarer, codes, n)
+    vocabulary.outside = Outside(keys, counts, counted, rarer, codes, n)
+    vocabulary.outside.rest = (path[0], cut)
     return vocabulary, flat
 
 
 def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(carried columns, n_words, log_likelihood) of every whole text."""
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return narrow(docs, *dict.fromkeys([*carry, "text"])).mapInArrow(
-        partial(_score, *model, carry), schema + "n_words long, log_likelihood double")
+    found = narrow(docs, *dict.fromkeys([*carry, "text"])).mapInArrow(
+        partial(_score, *model, carry),
+        schema + "n_words long, _base double, _rare array<struct<word:long,spelt:double,k:long>>")
+    found = stage(found.withColumn("_row", F.monotonically_increasing_id()), "scored")
+    # A word has its share by count or is spelt: log(exp(spelt) + share), of which spelt is in the base already.
+    more = F.log(F.col("n") / F.lit(float(model[0].outside.total))) - F.col("spelt")
+    gain = F.greatest(more, F.lit(0.0)) + F.log1p(F.exp(-F.abs(more)))
+    path, cut = model[0].outside.rest
+    counts = docs.sparkSession.read.schema("word long, n long").parquet(path).filter((F.col("n") >= LEAST) & (F.col("n") < cut))
+    rare = found.select("_row", F.inline("_rare")).join(counts, "word")
+    gains = rare.groupBy("_row").agg(F.sum(F.col("k") * gain).alias("_gain"))
+    return found.drop("_rare").join(gains, "_row", "left").select(
+        *carry, "n_words", (F.col("_base") + F.coalesce("_gain", F.lit(0.0))).alias("log_likelihood"))
