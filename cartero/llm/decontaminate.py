@@ -5,9 +5,9 @@ bytes.  A window is ``n`` consecutive item words; an item of fewer words, but no
 none, is one window.  Token windows of the texts are looked up in the hash set and
 every hit is verified word by word.
 
-The hash set is broadcast in chunks of at most CHUNK_WORDS words, so a benchmark
-of any size is scanned in as many passes as it takes; the number of words is
-counted first.
+The hash set is built once and broadcast, in chunks of about CHUNK_WORDS words (some
+30 bytes each), so a benchmark of any size is scanned in as many passes as it takes;
+the number of words is counted first.
 
 Null and empty texts have no words and are clean; null and empty items have no
 windows; repeated items each count; repeated document rows are scanned each by
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartero.llm.common import LOWER, U64, bytes_of, narrow, runs, slices, span_hashes, window_hashes
+from cartero.llm.common import LOWER, U64, bytes_of, narrow, ragged, runs, slices, span_hashes, window_hashes
 
 WINDOW = 13
 CHUNK_WORDS = 2_000_000
@@ -43,50 +43,63 @@ def words_of(column: pa.Array):
 
 
 class WindowSet:
-    """Windows of benchmark items as a hash table with their words."""
+    """Windows of benchmark items as sorted hashes, with the place of their words in one buffer.
+
+    Arrays of about 24 bytes a window beside the words, built once and broadcast.
+    """
 
     def __init__(self, items: list[tuple[str, str]], n: int):
-        self.grams: dict[int, dict[int, list[tuple[bytes, str]]]] = {}
-        for ident, text in items:
-            buf, _, s, e, _ = words_of(pa.array([text], pa.string()))
-            k = min(n, len(s))
-            if not k:
-                continue
-            raw, table = buf.tobytes(), self.grams.setdefault(k, {})
-            words = [raw[a:b] for a, b in zip(s, e)]
-            for i, h in enumerate(window_hashes(span_hashes(buf, s, e), k).tolist()):
-                table.setdefault(h, []).append((b" ".join(words[i:i + k]), ident))
-        self.keys, self.filters = {}, {}
-        for k, table in self.grams.items():
-            self.keys[k] = np.sort(np.fromiter(table, np.uint64, len(table)))
-            self.filters[k] = np.zeros(1 << FILTER_BITS, bool)
-            self.filters[k][(self.keys[k] >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
-
-    def find(self, buf, starts, ends, bounds):
+        self.items = [ident for ident, _ in items]
+        buf, _, starts, ends, bounds = words_of(pa.array([text for _, text in items], pa.string()))
+        hashes, sizes = span_hashes(buf, starts, ends), np.diff(bounds)
+        # The words of all items, each followed by one space.
+        places = ragged(starts, ends - starts + 1)
+        after = np.cumsum(ends - starts + 1)
+        spaced = np.append(buf, np.uint8(32))[np.minimum(places, len(buf))]
+        spaced[after - 1] = 32
+        self.words, first = spaced.tobytes(), after - (ends - starts + 1)
+        self.keys, self.low, self.high, self.owner = {}, {}, {}, {}
+        for k in np.unique(np.minimum(sizes[sizes > 0], n)).tolist():
+            own = np.flatnonzero((sizes >= n) if k == n else (sizes == k))
+            at = ragged(bounds[own], sizes[own] - k + 1)
+            h = window_hashes(hashes, k)[at]
+            by = np.argsort(h, kind="stable")
+            self.keys[k], self.low[k], self.high[k] = h[by], first[at][by], after[at + k - 1][by] - 1
+            self.owner[k] = np.repeat(own, sizes[own] - k + 1).astype(np.int32)[by]
+
+    def filters(self) -> dict[int, np.ndarray]:
+        """Per window length, which leading bits of a hash occur."""
+        out = {}
+        for k, keys in self.keys.items():
+            out[k] = np.zeros(1 << FILTER_BITS, bool)
+            out[k][(keys >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
+        return out
+
+    def find(self, filters, buf, starts, ends, bounds):
         """Verified hits (first word, number of words, item ids) in the words of a batch."""
         hashes = span_hashes(buf, starts, ends)
-        raw = buf
-        for k, table in self.grams.items():
+        for k, keys in self.keys.items():
             h = window_hashes(hashes, k)
-            at = np.flatnonzero(self.filters[k][(h >> U64(64 - FILTER_BITS)).astype(np.int64)])
-            keys = self.keys[k]
-            at = at[keys[np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)] == h[at]]
+            at = np.flatnonzero(filters[k][(h >> U64(64 - FILTER_BITS)).astype(np.int64)])
             text = np.searchsorted(bounds, at, "right")
             at = at[at + k <= bounds[np.minimum(text, len(bounds) - 1)]]  # windows do not cross texts
-            for i in at.tolist():
-                own = b" ".join([raw[a:b].tobytes() for a, b in zip(starts[i:i + k], ends[i:i + k])])
-                ids = [ident for gram, ident in table[int(h[i])] if gram == own]
+            low, high = np.searchsorted(keys, h[at]), np.searchsorted(keys, h[at], "right")
+            for i, a, z in zip(*(x[low < high].tolist() for x in (at, low, high))):
+                own = b" ".join([buf[s:e].tobytes() for s, e in zip(starts[i:i + k], ends[i:i + k])])
+                ids = [self.items[o] for o, s, e in zip(self.owner[k][a:z].tolist(), self.low[k][a:z].tolist(), self.high[k][a:z].tolist())
+                       if self.words[s:e] == own]
                 if ids:
                     yield i, k, ids
 
 
-def _scan(items, n, carry, batches):
-    found = WindowSet(items, n)
+def _scan(windows, carry, batches):
+    found = windows.value
+    filters = found.filters()
     for b in slices(batches):
         buf, offs, starts, ends, bounds = words_of(b.column("text"))
         marks = np.zeros(len(starts) + 1, np.int64)
         ids: list[set] = [set() for _ in range(b.num_rows)]
-        for i, k, own in found.find(buf, starts, ends, bounds[1:]):
+        for i, k, own in found.find(filters, buf, starts, ends, bounds[1:]):
             marks[i] += 1
             marks[i + k] -= 1
             ids[int(np.searchsorted(bounds, i, "right")) - 1].update(own)
@@ -125,16 +138,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, chunk_words: in
         F.col("item_id").cast("string").alias("item_id"), "text")
     total = items.agg(F.sum(F.size(F.split("text", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")).cast("long"))).first()[0] or 0
     chunks = max(1, -(-int(total) // chunk_words))
+
+    def broadcast(rows):
+        return docs.sparkSession.sparkContext.broadcast(WindowSet(rows, n))
+
     if chunks == 1:
         rows = [(r["item_id"], r["text"]) for r in items.collect()]  # at most chunk_words words
-        return source.mapInArrow(partial(_scan, rows, n, carry), kept + HITS)
+        return source.mapInArrow(partial(_scan, broadcast(rows), carry), kept + HITS)
     # Several passes: rows of one text meet again by a key; equal rows have equal hits.
     ident = source.schema["doc_id"].dataType.simpleString()
     keyed, out = source.withColumn("row", F.xxhash64("doc_id", "text")), None
     for i in range(chunks):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == i)
         rows = [(r["item_id"], r["text"]) for r in mine.collect()]  # about chunk_words words
-        part = keyed.mapInArrow(partial(_scan, rows, n, ("doc_id", "row")), f"doc_id {ident}, row long, {HITS}")
+        part = keyed.mapInArrow(partial(_scan, broadcast(rows), ("doc_id", "row")), f"doc_id {ident}, row long, {HITS}")
         out = part if out is None else out.unionByName(part)
     one = out.groupBy("doc_id", "row", "n_words").agg(
         F.collect_set("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
