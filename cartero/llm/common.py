@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import glob
 import os
 import tempfile
 import uuid
@@ -93,6 +95,19 @@ def crc_mod(ident: str, m: int):
     return F.crc32(F.col(ident).cast("string").cast("binary")) % m
 
 
+def one_core() -> None:
+    """Matrix products of this task on one core: the small ones here cost twice the time on two, and other cores have tasks of their own.
+
+    Without effect where numpy has another library than OpenBLAS.
+    """
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), os.pardir, "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(os.path.realpath(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 # ------------------------------------------------------------- texts as bytes
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(buffer, offsets) of a string array; null counts as empty."""

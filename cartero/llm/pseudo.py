@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartero.llm.common import narrow, ragged, slices, span_hashes, stage
+from cartero.llm.common import narrow, one_core, ragged, slices, span_hashes, stage
 from cartero.llm.decontaminate import words_of
 
 CLASSES = 32
@@ -231,6 +231,7 @@ def _count(batches):
 
 
 def _train(vocabulary, flat, turn, batches):
+    one_core()
     net = {k: v.copy() for k, v in unpack(flat).items()}
     memory, seen, wait = {k: np.full_like(v, 1e-3) for k, v in net.items()}, 0, []
     spelt, held = np.zeros(LETTERS ** 3 if turn == 0 else 0, np.int64), []
@@ -269,6 +270,7 @@ def _train(vocabulary, flat, turn, batches):
 
 
 def _score(vocabulary, flat, carry, batches):
+    one_core()
     net = unpack(flat)
     for b in slices(batches):
         buf, _, s, e, bounds = words_of(b.column("text"))
