@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartero.llm.common import stage
+from cartero.llm.common import one_core, stage
 
 PIVOTS, ORDER, SAMPLE = 512, 64, 4096
 BLOCK, QUERIES = 16_384, 512
@@ -66,6 +66,7 @@ def orders(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def _index(size, norm2, pivots, group: pa.Table) -> pa.Table:
+    one_core()
     ids = group["vec_id"].to_numpy()
     at = np.argsort(ids, kind="stable")
     ids, x = ids[at], _matrix(group["vector"], size)[at]
@@ -97,6 +98,7 @@ def footrule_gain(near: np.ndarray, n: int, starts, posted, ranks, m: int) -> np
 
 
 def _search(size, pivots, k, batches):
+    one_core()
     for b in batches:
         for r in b.to_pylist():
             ids, x = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["vectors"], np.float64).reshape(-1, size)
