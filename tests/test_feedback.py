@@ -1,9 +1,13 @@
+import glob
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from cartero.operators import bayes, features, history, online
+from cartero.functions.expressions import text_key
+from cartero.plans import tables
+from cartero.sources import mail
 from cartero.sources.mail import FEEDBACK_SCHEMA
 from cartero.streaming import feedback as stream
 
@@ -198,3 +202,48 @@ def test_catalogue_replays_and_snapshots(spark, log, tmp_path, monkeypatch):
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     texts = spark.read.parquet(*[f"{tmp_path}/cat/delta/{b}/texts" for b in range(5)])
     assert texts.count() == texts.select("clave").distinct().count() == 2
+
+
+def test_history_by_key_equals_history_by_text(log):
+    """A log may carry the key of its text; the texts are added to the result."""
+    trimmed = log.withColumn("texto", F.trim("texto")).filter("texto <> ''").withColumn("clave", text_key(F.col("texto")))
+    narrow, texts = trimmed.drop("texto"), trimmed.select("clave", "texto").dropDuplicates(["clave"])
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    records, plain = history.feedback_records(narrow), history.feedback_records(log)
+    assert "texto" not in records.columns and same(history.with_texts(records, texts).select(*plain.columns), plain)
+    assert same(history.history_groups(records, texts), history.history_groups(plain))
+    assert same(history.retrain_catalogue(narrow, stretch=7, texts=texts), history.retrain_catalogue(log, stretch=7))
+    line = history.history_timeline(records, stretch=5)
+    assert same(line, history.history_timeline(plain, stretch=5))
+
+
+@pytest.fixture
+def small_tables(spark, tmp_path):
+    """300 events over four documents: one null, one blank, two of one trimmed text."""
+    docs = [(1, "buy now", "en"), (2, " buy now ", "es"), (3, None, "en"), (4, "  ", "es"), (5, "hola", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumn("source", F.lit("x")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(300).select(F.col("id").alias("event_id"), F.expr("timestamp_seconds(1700000000 + id * 60)").alias("ts"),
+                            F.when(F.col("id") % 4 == 0, "error").otherwise("view").alias("event_type"), (F.col("id") % 7 + 0.5).alias("value"),
+                            F.format_string('{"k": %d}', F.col("id") % 100).alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("trim", [True, False])
+def test_keyed_feedback_equals_feedback(spark, small_tables, trim):
+    """Each different text once, and with it the events of the plain feedback."""
+    events, texts = tables.keyed_feedback(spark, small_tables, trim)
+    assert texts.count() == (2 if trim else 5) and "texto" not in events.columns
+    got, plain = events.join(texts, "clave").drop("clave"), tables.feedback(spark, small_tables)
+    if trim:
+        plain = plain.withColumn("texto", F.trim("texto")).filter("texto <> ''")
+    assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_log_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mail, "LOG_ROWS", 50)
+    rows = spark.range(200).select(F.col("id").alias("seq"), F.lit("text " * 100).alias("texto")).coalesce(1)
+    mail.append_log(rows, f"{tmp_path}/log")
+    mail.append_log(rows, f"{tmp_path}/log")
+    files = glob.glob(f"{tmp_path}/log/*.json.lz4")
+    assert len(files) == 8
+    assert mail.read_log(spark, f"{tmp_path}/log", rows.schema).count() == 400
