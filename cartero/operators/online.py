@@ -1,22 +1,23 @@
 """Scores while a model is being taught: every event is scored by the model that has just learnt it.
 
 Teaching adds to counts only, so the model after event e is the model before all events plus
-the sums of what the events up to e have added.  These running sums are taken per term and
-per model in arrival order; no event waits for another, and the result does not depend on
-how events are cut into batches.
+the sums of what the events up to e have added.  Arrival numbers are cut into stretches: the counts at
+the start of every stretch are prefix sums, and inside a stretch one task teaches its events in
+order.  No term row moves per event, and the result does not depend on how events are cut into batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartero.functions.expressions import bounded_broadcast
-from cartero.operators.bayes import NaiveBayes
-from cartero.operators.features import ID, MODEL
+from cartero.operators.bayes import NaiveBayes, class_sums
+from cartero.operators.features import ID, MODEL, tfidf
 from cartero.sources.mail import write_stage
 
 STRETCH = 100_000  # arrival numbers whose rows of one key are summed by one task
+EVENTS = 20_000    # arrival numbers of one model that one task teaches in order, with their texts and the model's counts
 
 
 def running_sums(rows: DataFrame, keys: list[str], order: str, values: list[str], stretch: int = STRETCH) -> DataFrame:
@@ -35,35 +36,142 @@ def running_sums(rows: DataFrame, keys: list[str], order: str, values: list[str]
     return out.select(*rows.columns, *[(F.col(f"_i_{v}") + F.col(f"_b_{v}")).alias(f"run_{v}") for v in values])
 
 
-def posterior_after_each(features: DataFrame, terms: DataFrame, before: NaiveBayes, stretch: int = STRETCH) -> DataFrame:
+def text_cells(features: DataFrame, before: NaiveBayes) -> tuple[DataFrame, DataFrame]:
+    """(vocabulary, texts): the model's terms with a number, and per text the numbers and unit weights of its known terms.
+
+    ``features`` has one row per model and text (modelo, id = key of the text, rasgos).  Both are written stages.
+    """
+    number = (F.row_number().over(Window.partitionBy(MODEL).orderBy("term")) - 1).alias("i")     # max_rows terms at most
+    vocab = write_stage(before.counts.select(MODEL, "term", "idf", "w_ham", "w_spam", number), "taught_vocab")
+    side = bounded_broadcast(vocab.select(MODEL, "term", "i"), before.max_rows)
+    terms = tfidf(features, vocab, before.max_rows, norm="norma").join(side, [MODEL, "term"])
+    cells = terms.groupBy(MODEL, ID).agg(F.collect_list(F.struct("i", "x")).alias("celdas"),
+                                         F.max("norma").alias("norma"), F.sum("x").alias("masa"))
+    return vocab, write_stage(cells.withColumnRenamed(ID, "clave"), "taught_texts")
+
+
+def weighted_events(events: DataFrame, cells: DataFrame) -> DataFrame:
+    """Events (modelo, id = arrival number, Label_Code, clave) with ``peso`` and ``masa``, a written stage.
+
+    An arrival number that occurs twice is one mail of both texts: their weights are scaled to a common length of one.
+    """
+    mail = Window.partitionBy(MODEL, ID)
+    rows = events.join(cells.select(MODEL, "clave", "norma", "masa"), [MODEL, "clave"], "left").na.fill(0.0, ["norma", "masa"])
+    rows = rows.withColumn("_l", F.sqrt(F.sum(F.col("norma") * F.col("norma")).over(mail)))
+    rows = rows.withColumn("peso", F.when(F.col("_l") > 0, F.col("norma") / F.col("_l")).otherwise(0.0))
+    return write_stage(rows.select(MODEL, ID, "Label_Code", "clave", "peso",
+                                   F.sum(F.col("peso") * F.col("masa")).over(mail).alias("masa")), "taught_events")
+
+
+def gains(events: DataFrame, cells: DataFrame, *keys: str) -> DataFrame:
+    """(modelo, keys, i, w_ham, w_spam): what weighted events add to the counts; events of one text are added up first."""
+    texts = class_sums(events, [MODEL, *keys, "clave"], F.col("peso")).join(cells.select(MODEL, "clave", "celdas"), [MODEL, "clave"])
+    flat = texts.select(MODEL, *keys, "w_ham", "w_spam", F.inline("celdas"))
+    return flat.groupBy(MODEL, *keys, "i").agg(*[F.sum(F.col("x") * F.col(w)).alias(w) for w in ("w_ham", "w_spam")])
+
+
+def posterior_after_each(events: DataFrame, vocab: DataFrame, cells: DataFrame, before: NaiveBayes,
+                         stretch: int = EVENTS) -> DataFrame:
     """(modelo, id, p_posterior) of every event right after the model was taught with it.
 
-    ``features`` has one row per event (modelo, id = arrival number, Label_Code); ``terms`` its
-    known terms with their unit weights (``features.tfidf`` under the frozen idf) and must be a
-    written stage; ``before`` is the model before the first of the events.
+    ``events`` are ``weighted_events``, ``vocab`` and ``cells`` the tables of ``text_cells``; ``before`` is
+    the model before the first of the events.
     """
     spam = F.col("Label_Code") == 1
-    of = {"ham": ~spam, "spam": spam}
-    gains = terms.select("*", *[F.when(c, F.col("x")).otherwise(0.0).alias(k) for k, c in of.items()])
-    taught = running_sums(gains, [MODEL, "term"], ID, list(of), stretch)
-    base = before.counts.select(MODEL, "term", "w_ham", "w_spam")
-    taught = taught.join(bounded_broadcast(base, before.max_rows), [MODEL, "term"])
-    odds = F.log(F.col("w_spam") + F.col("run_spam") + before.alpha) - F.log(F.col("w_ham") + F.col("run_ham") + before.alpha)
-    mails = taught.groupBy(MODEL, ID).agg(F.sum(F.col("x") * odds).alias("_dot"), F.sum("x").alias("_x"))
-
-    events = features.select(MODEL, ID, "Label_Code").join(mails, [MODEL, ID], "left").na.fill(0.0, ["_dot", "_x"])
-    events = events.select("*", *[F.when(c, F.col("_x")).otherwise(0.0).alias(f"mass_{k}") for k, c in of.items()],
-                           *[F.when(c, 1.0).otherwise(0.0).alias(f"mails_{k}") for k, c in of.items()])
-    values = [f"{kind}_{k}" for kind in ("mass", "mails") for k in of]
-    summed = running_sums(write_stage(events, "taught"), [MODEL], ID, values, stretch)
-    whole = before.counts.groupBy(MODEL).agg(
+    cut = events.filter(F.col(ID).isNotNull()).withColumn("_s", F.floor(F.col(ID) / stretch))
+    kinds = cut.withColumn("Label_Code", F.when(spam, 1).when(~spam, 0))
+    stretches = kinds.groupBy(MODEL, "_s").agg(*[
+        F.sum(F.when(c, v).otherwise(0.0)).alias(f"_{n}_{k}") for k, c in (("ham", ~spam), ("spam", spam))
+        for n, v in (("mass", F.col("masa")), ("mails", F.lit(1.0)))])
+    stretches = write_stage(stretches, "taught_stretches")            # one row per model and stretch
+    earlier = Window.partitionBy(MODEL).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+
+    def so_far(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0.0))
+
+    whole = vocab.groupBy(MODEL).agg(
         F.count(F.lit(1)).alias("_v"), F.sum("w_ham").alias("_ham"), F.sum("w_spam").alias("_spam"))
-    models = whole.join(before.priors, MODEL)  # one row per model
-    out = summed.join(F.broadcast(models), MODEL)
+    start = stretches.select(MODEL, "_s", *[so_far(f"_{n}_{k}", earlier).alias(f"_{n}_{k}")
+                                            for n in ("mass", "mails") for k in ("ham", "spam")])
+    start = start.join(whole, MODEL).join(before.priors, MODEL).select(MODEL, "_s", F.array(
+        F.col("n_ham") + F.col("_mails_ham"), F.col("n_spam") + F.col("_mails_spam"),
+        F.col("_ham") + F.col("_mass_ham") + before.alpha * F.col("_v"),
+        F.col("_spam") + F.col("_mass_spam") + before.alpha * F.col("_v")).alias("a"))
+
+    # The counts of every term at the start of every stretch.
+    added = gains(kinds, cells, "_s").select(MODEL, "_s", "i", F.col("w_ham").alias("_h"), F.col("w_spam").alias("_p"))
+    grid = stretches.select(MODEL, "_s").join(vocab.select(MODEL, "i", "w_ham", "w_spam"), MODEL)
+    grid = grid.join(added, [MODEL, "_s", "i"], "left").na.fill(0.0, ["_h", "_p"])
+    term = Window.partitionBy(MODEL, "i").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    grid = grid.select(MODEL, "_s", "i", (F.col("w_ham") + so_far("_h", term)).alias("h"), (F.col("w_spam") + so_far("_p", term)).alias("p"))
+    counts = grid.groupBy(MODEL, "_s").agg(F.array_sort(F.collect_list(F.struct("i", "h", "p"))).alias("_c"))
+
+    none = F.lit(None).cast("binary").alias("clave")
+    numbers, no_numbers = F.lit(None).cast("array<int>").alias("i"), F.lit(None).cast("array<double>").alias("b")
+    texts = kinds.select(MODEL, "_s", "clave").distinct().join(cells, [MODEL, "clave"])
+    known = texts.select(MODEL, "_s", F.lit(0).alias("tipo"), "clave", F.col("celdas.i").alias("i"), F.col("celdas.x").alias("a"), no_numbers)
+    known = known.unionByName(counts.select(
+        MODEL, "_s", F.lit(1).alias("tipo"), none, F.col("_c.i").alias("i"), F.col("_c.h").alias("a"), F.col("_c.p").alias("b")))
+    known = known.unionByName(start.select(MODEL, "_s", F.lit(2).alias("tipo"), none, numbers, "a", no_numbers))
+    # Names of their own: both sides come from the same table.
+    rows = kinds.toDF(*[f"e_{c.lstrip('_')}" for c in kinds.columns])
+    return rows.groupBy(f"e_{MODEL}", "e_s").cogroup(known.groupBy(MODEL, "_s")).applyInArrow(
+        _taught_in_order(before.alpha), f"{MODEL} string, {ID} long, p_posterior double")
+
+
+def _taught_in_order(alpha: float):
+    """What teaches the events of a stretch one after the other; pickled by value, so that workers need no copy of the package."""
+
+    def run(events, known):
+        import math
+
+        import numpy as np
+        import pyarrow as pa
+
+        def lists(name):
+            column = known.column(name).combine_chunks()
+            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+            ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+            return lambda row: values[ends[row]:ends[row + 1]]
 
-    def mass(k: str):
-        return F.log(F.col(f"_{k}") + F.col(f"run_mass_{k}") + before.alpha * F.col("_v"))
+        out = pa.schema([("modelo", pa.string()), ("message_id", pa.int64()), ("p_posterior", pa.float64())])
+        kind = known.column("tipo").to_numpy()
+        if not (kind == 2).any() or events.num_rows == 0:
+            return out.empty_table()
+        i, a, b = lists("i"), lists("a"), lists("b")
+        place = {key: row for row, key in enumerate(known.column("clave").to_pylist()) if key is not None}
+        n_ham, n_spam, m_ham, m_spam = a(int(np.flatnonzero(kind == 2)[0]))
+        base = int(np.flatnonzero(kind == 1)[0])
+        ham, spam = a(base) + alpha, b(base) + alpha
+        events = events.sort_by("e_message_id")
+        seq, keys = events.column("e_message_id").to_numpy(), events.column("e_clave").to_pylist()
+        label = events.column("e_Label_Code").to_pylist()
+        peso, masa = events.column("e_peso").to_numpy(), events.column("e_masa").to_numpy()
+        p, k = [], 0
+        while k < len(seq):
+            end = k + 1
+            while end < len(seq) and seq[end] == seq[k]:
+                end += 1
+            dot = 0.0
+            for j in range(k, end):
+                row = place.get(keys[j])
+                if row is None:
+                    continue
+                terms, x = i(row), a(row) * peso[j]
+                if label[j] is not None:
+                    (spam if label[j] else ham)[terms] += x
+                dot += float(x @ (np.log(spam[terms]) - np.log(ham[terms])))
+            for j in range(k, end):
+                if label[j] == 1:
+                    n_spam, m_spam = n_spam + 1, m_spam + masa[j]
+                elif label[j] == 0:
+                    n_ham, m_ham = n_ham + 1, m_ham + masa[j]
+                if n_spam <= 0:
+                    p.append(None)
+                    continue
+                margin = math.log(n_spam / n_ham) + dot + masa[j] * (math.log(m_ham) - math.log(m_spam))
+                p.append(1.0 / (1.0 + math.exp(-margin)) if margin > -700 else 0.0)
+            k = end
+        return pa.table([events.column("e_modelo"), events.column("e_message_id"), pa.array(p, pa.float64())], schema=out)
 
-    prior = F.log((F.col("n_spam") + F.col("run_mails_spam")) / (F.col("n_ham") + F.col("run_mails_ham")))
-    margin = prior + F.col("_dot") + F.col("_x") * (mass("ham") - mass("spam"))
-    return out.select(MODEL, ID, (1.0 / (1.0 + F.exp(-margin))).alias("p_posterior"))
+    return run

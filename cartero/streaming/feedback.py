@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartero.functions import text as tx
-from cartero.functions.expressions import text_key
+from cartero.functions.expressions import compute_once, text_key
 from cartero.operators import bayes, history, online, score
 from cartero.operators.features import ID, MODEL
-from cartero.sources.mail import FEEDBACK_SCHEMA, path_exists, stage_scope, write_stage
+from cartero.sources.mail import FEEDBACK_SCHEMA, LOG_ROWS, path_exists, stage_scope, write_stage
 
 COMPACT_EVERY = 50      # batches between two snapshots of the counts
 
@@ -91,11 +91,11 @@ class ModelState(BatchState):
         return bayes.add_counts(base, self._read(spark, "delta", later, "counts"),
                                 self._read(spark, "delta", later, "priors"))
 
-    def teach(self, spark: SparkSession, batch: int, features: DataFrame, terms: DataFrame | None = None) -> bayes.NaiveBayes:
-        """Write the batch's own counts and return the model after it; ``terms`` are the unit weights, if they are known."""
-        if terms is None:
-            terms = unit_terms(features, self.model_before(spark, batch))
-        counts = bayes.class_sums(terms, [MODEL, "term"], F.col("x")).withColumn("idf", F.lit(None).cast("double"))
+    def teach(self, spark: SparkSession, batch: int, features: DataFrame, gained: DataFrame | None = None) -> bayes.NaiveBayes:
+        """Write the batch's own counts and return the model after it; ``gained`` are its sums by term, if they are known."""
+        if gained is None:
+            gained = bayes.class_sums(unit_terms(features, self.model_before(spark, batch)), [MODEL, "term"], F.col("x"))
+        counts = gained.withColumn("idf", F.lit(None).cast("double"))
         self._write("delta", batch, counts.select(MODEL, "term", "idf", "w_ham", "w_spam"),
                     bayes.class_counts(features))
         after = self.model_before(spark, batch + 1)
@@ -113,17 +113,22 @@ class CatalogueState(BatchState):
     a text taught again is not written again.
     """
 
-    def add(self, batch: int, events: DataFrame, posterior: str) -> None:
-        """Write the entries that the events (seq, timestamp, texto, label, idioma, posterior) of a batch add."""
-        spark = events.sparkSession
-        rows = events.withColumn("texto", tx.sanitise(F.col("texto"))).filter(F.col("texto") != "")
-        rows = rows.withColumn("clave", text_key(F.col("texto")))
+    def add(self, batch: int, events: DataFrame, posterior: str, texts: DataFrame | None = None) -> None:
+        """Write the entries that the events (seq, timestamp, texto, label, idioma, posterior) of a batch add.
+
+        With ``texts`` (clave, texto) the events carry the key in place of the text.
+        """
+        spark, rows = events.sparkSession, events
+        if texts is None:
+            rows = events.withColumn("texto", tx.sanitise(F.col("texto"))).filter(F.col("texto") != "")
+            rows = rows.withColumn("clave", text_key(F.col("texto")))
         first = F.struct(F.upper("idioma").alias("idioma"), F.col("timestamp").alias("fecha"))
         last = F.struct("label", F.col("timestamp").alias("fecha"), F.col(posterior).alias("p"))
         entries = rows.groupBy("clave").agg(
             F.count(F.lit(1)).alias("veces_entrenado"), F.min("seq").alias("primero"), F.max("seq").alias("ultimo"),
             F.min_by(first, F.col("seq")).alias("primera"), F.max_by(last, F.col("seq")).alias("ultima"))
-        texts = rows.groupBy("clave").agg(F.any_value("texto").alias("texto"))
+        if texts is None:
+            texts = rows.groupBy("clave").agg(F.any_value("texto").alias("texto"))
         known = [self._folder("delta", b, "texts") for b in self._all(spark, batch)]
         if known:
             texts = texts.join(spark.read.schema(TEXT_SCHEMA).parquet(*known).select("clave"), "clave", "left_anti")
@@ -161,6 +166,10 @@ def unit_terms(features: DataFrame, model: bayes.NaiveBayes) -> DataFrame:
     return bayes.tfidf(features, model.counts, model.max_rows, "Label_Code")
 
 
+def _taught_model():
+    return F.when(F.lower("idioma") == "en", "en").otherwise("es").alias(MODEL)
+
+
 def taught_features(events: DataFrame) -> DataFrame:
     """Features of taught mails under the model of their language (English, else Spanish).
 
@@ -168,32 +177,73 @@ def taught_features(events: DataFrame) -> DataFrame:
     """
     rows = events.withColumn("texto", tx.sanitise(F.col("texto"))).filter(F.col("texto") != "")
     routed = rows.select(
-        F.when(F.lower("idioma") == "en", "en").otherwise("es").alias(MODEL), F.col("seq").alias(ID),
+        _taught_model(), F.col("seq").alias(ID),
         F.col("label").alias("Label_Code"), tx.clean_text(F.col("texto")).alias("texto_procesado"))
     return score.routed_features(routed, "Label_Code")
 
 
+def keyed_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events, texts), written: the events with the key ``clave`` in place of the text, and every different text once.
+
+    Texts are trimmed and blank ones refused.  Copies are left out where they are read, so no text moves per event.
+    """
+    rows = compute_once(batch, texto=tx.sanitise(F.col("texto"))).filter(F.col("texto") != "")
+    rows = rows.withColumn("clave", text_key(F.col("texto")))
+    texts = rows.select("clave", "texto").mapInArrow(_first_of_each(), "clave binary, texto string")
+    return write_stage(rows.drop("texto"), "batch"), write_stage(texts.dropDuplicates(["clave"]), "batch_texts")
+
+
+def _first_of_each():
+    """Rows of a partition whose key has not come before; holds 16 bytes a different text."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        seen = set()
+        for batch in batches:
+            new = []
+            for key in batch.column("clave").to_pylist():
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    return run
+
+
+def taught_texts(events: DataFrame, texts: DataFrame) -> DataFrame:
+    """(modelo, id = key, rasgos): features of the texts of keyed events, once per model and text."""
+    pairs = events.select(MODEL, "clave").distinct().join(texts, "clave")
+    return score.routed_features(pairs.select(MODEL, F.col("clave").alias(ID), tx.clean_text(F.col("texto")).alias("texto_procesado")))
+
+
+def _write_log(scored: DataFrame, texts: DataFrame, path: str) -> None:
+    records = history.with_texts(history.feedback_records(scored), texts).drop("clave")
+    records.write.mode("overwrite").option("compression", "lz4").option("maxRecordsPerFile", LOG_ROWS).json(path)
+
+
 def learn(events: DataFrame, state: ModelState, log_path: str, checkpoint: str,
           catalogue: CatalogueState | None = None) -> StreamingQuery:
     """Teach the model with each micro-batch, append the history records and keep the catalogue.
 
-    Every mail is scored again by the model that has just learnt it, by running sums over the
-    batch in arrival order; neither scores nor counts depend on the batches.
+    Every mail is scored again by the model that has just learnt it, in arrival order; neither
+    scores nor counts depend on the batches.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with stage_scope(spark):
-            rows = write_stage(batch, "batch")
-            features = write_stage(taught_features(rows), "taught_features")
+            rows, texts = keyed_batch(batch)
+            taught = rows.select(_taught_model(), F.col("seq").alias(ID), F.col("label").alias("Label_Code"), "clave")
             before = state.model_before(spark, batch_id)
-            terms = write_stage(unit_terms(features, before), "taught_terms")
-            state.teach(spark, batch_id, features, terms)
-            after = online.posterior_after_each(features, terms, before).select(F.col(ID).alias("seq"), "p_posterior")
-            scored = write_stage(rows.join(after, "seq"), "taught_scores")
-            history.feedback_records(scored).write.mode("overwrite").json(f"{log_path}/batch={batch_id}")
+            vocab, cells = online.text_cells(taught_texts(taught, texts), before)
+            taught = online.weighted_events(taught, cells)
+            gained = online.gains(taught, cells).join(vocab.select(MODEL, "i", "term"), [MODEL, "i"])
+            state.teach(spark, batch_id, taught, gained)
+            after = online.posterior_after_each(taught, vocab, cells, before).select(F.col(ID).alias("seq"), "p_posterior")
+            scored = write_stage(rows.drop("p_posterior").join(after, "seq"), "taught_scores")
+            _write_log(scored, texts, f"{log_path}/batch={batch_id}")
             if catalogue is not None:
-                catalogue.add(batch_id, scored, "p_posterior")
+                catalogue.add(batch_id, scored, "p_posterior", texts)
 
     return (events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -204,7 +254,8 @@ def keep_catalogue(events: DataFrame, state: CatalogueState, checkpoint: str, po
 
     def add(batch: DataFrame, batch_id: int) -> None:
         with stage_scope(batch.sparkSession):
-            state.add(batch_id, write_stage(batch, "batch"), posterior)
+            rows, texts = keyed_batch(batch)
+            state.add(batch_id, rows, posterior, texts)
 
     return (events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
