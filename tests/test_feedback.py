@@ -247,3 +247,22 @@ def test_log_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
     files = glob.glob(f"{tmp_path}/log/*.json.lz4")
     assert len(files) == 8
     assert mail.read_log(spark, f"{tmp_path}/log", rows.schema).count() == 400
+
+
+def test_catalogue_of_repeated_arrival_numbers_is_numbered_by_row(log):
+    """Entries that an arrival number repeats keep ids of their own."""
+    twice = log.filter("seq < 3").unionByName(log.filter("seq = 1"))
+    got = [r["id"] for r in history.retrain_catalogue(twice, stretch=7).collect()]
+    assert sorted(got) == [f"fb_{i:03d}" for i in range(1, len(got) + 1)] and len(got) == 5
+
+
+def test_scores_do_not_depend_on_stretches(spark):
+    """Counts at the start of a stretch are prefix sums; a stretch of 3 and of all events give one result."""
+    rows, base = spark.createDataFrame(events(), FEEDBACK_SCHEMA), base_model(spark)
+    keyed, texts = stream.keyed_batch(rows)
+    taught = keyed.select(stream._taught_model(), F.col("seq").alias("message_id"), F.col("label").alias("Label_Code"), "clave")
+    vocab, cells = online.text_cells(stream.taught_texts(taught, texts), base)
+    weighted, want = online.weighted_events(taught, cells), one_by_one(spark, base, rows)
+    assert cells.count() <= 4                                     # models x different texts, not events
+    got = {r.message_id: r.p_posterior for r in online.posterior_after_each(weighted, vocab, cells, base, 3).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
