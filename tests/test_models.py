@@ -234,6 +234,14 @@ def f1_of(held, p):
     return 2 * tp / (2 * tp + wrong) if tp else 0.0
 
 
+def test_ended_columns_are_not_asked_again(spark, folded, monkeypatch):
+    asked, whole = [], cells._sums
+    monkeypatch.setattr(cells, "_sums", lambda data, tables, points: asked.append(set(points)) or whole(data, tables, points))
+    cells.fit_cells(folded[1], 3, [0.01, 100.0], 30)
+    assert len(asked[0]) == 2 * 4 * 2 and len(asked[-1]) < len(asked[0])
+    assert all(later <= earlier for earlier, later in zip(asked, asked[1:]))
+
+
 def test_slices_cover_all_rows_and_long_mails(monkeypatch):
     monkeypatch.setattr(cells, "SLICE", 5)
     offsets = np.array([0, 2, 2, 9, 10, 14, 15])
