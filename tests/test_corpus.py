@@ -218,3 +218,34 @@ def test_language_scores_equal_plain_counts(spark):
         want = "desconocido" if len(text) < 6 else max(scores, key=lambda k: round(scores[k], 6))
         got = normalise.detect_language(docs.filter(F.col("message_id") == i), model, window=None).first()["idioma_detectado"]
         assert got == want, (i, scores)
+
+
+def test_ngrams_by_table_equal_ngrams_by_key(monkeypatch):
+    """Counts and gains are the same whether characters are numbered, too many for a table or met in part only."""
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    from cartero.functions import grams
+    texts, langs = ["", "a", "ab", "hello there", "\U00020000\U00020001 hello", "", "tschüß hello", "中文字符"], ["en", "de"] * 4
+    plain = collections.Counter((lang, t[i:i + n]) for t, lang in zip(texts, langs) for n in (1, 2, 3) for i in range(len(t) - n + 1))
+    key = lambda g: sum((ord(c) + 1) << (42 - 21 * k) for k, c in enumerate(g))
+    batch = pa.RecordBatch.from_pydict({"idioma": langs, "_t": texts})
+    for table in (1 << 23, 1):
+        monkeypatch.setattr(grams, "TABLE", table)
+        got = collections.Counter()
+        for b in grams.counter((1, 2, 3))([batch]):
+            for r in b.to_pylist():
+                got[r["idioma"], r["g"]] += r["n"]
+        assert got == {(lang, key(g)): n for (lang, g), n in plain.items()}
+    known = sorted({key(g): g for lang, g in plain if lang == "en"}.items())
+    keys, gains = np.array([k for k, _ in known]), np.arange(2.0 * len(known)).reshape(-1, 2)
+    rows = pa.RecordBatch.from_pydict({"_row": list(range(len(texts))), "_t": texts})
+    for dense in (160, 3):
+        monkeypatch.setattr(grams, "DENSE", dense)
+        out = next(grams.scorer((1, 2, 3), types.SimpleNamespace(value=(keys, gains)), 2)([rows])).to_pylist()
+        for t, r in zip(texts, out):
+            found = [gains[np.searchsorted(keys, key(g))] for n in (1, 2, 3) for g in (t[i:i + n] for i in range(len(t) - n + 1)) if key(g) in keys]
+            assert r["_sums"] == list(np.sum(found, axis=0) if found else [0.0, 0.0])
+            assert r["_n"] == grams.gram_number(len(t), (1, 2, 3))
