@@ -357,3 +357,51 @@ def test_units_are_read_whole(spark, tmp_path):
     assert len(got) == 60 and all(pred == (p >= 0.9) for p, pred in got.values())
     assert sum(p for _, p in got.values()) < old.predict(feats).filter("pred = 1").count()
     assert store.commit(new) == 3 and store.load(spark).version == 3  # the number given up is taken again
+
+
+def test_mails_are_weighted_where_they_are(spark, feats):
+    """Neither training sums nor scores take the terms of mails apart into rows."""
+    vocab = write_stage(features.vocabulary(feats, 25), "vocab")
+    model = bayes.train(feats, 25)
+    for df in (bayes.unit_sums(feats, vocab, 25), bayes.score(feats, model)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Generate" not in plan and "Window" not in plan
+
+
+def test_sums_of_mails_equal_sums_by_joins(spark, monkeypatch):
+    """Two models, repeated and null keys, a mail without label and one without known terms."""
+    rows = [(i, t, y) for i, t, y in corpus(40)] + [(3, "win win mail", 1), (3, "hello mail", 0), (None, "cash now", 1), (None, "day mail", 0),
+                                                   (50, "win day", None), (51, "zzz", 1), (52, "", 0)]
+    df = spark.createDataFrame(rows, "message_id long, t string, Label_Code int")
+    stack = features.featurise(df, "t", "a", STOP, 2).unionByName(features.featurise(df, "t", "b", [], 1))
+    stack = write_stage(stack, "stack")
+    vocab = write_stage(features.vocabulary(stack, 15), "vocab")
+    weights = bayes.term_weights(bayes.train(stack, 15, models=2))
+    mails = df.withColumn("modelo", F.lit("a"))
+
+    def found():
+        sums = {(r.modelo, r.term): (r.w_ham, r.w_spam) for r in bayes.unit_sums(stack, vocab, 30).collect() if r.w_ham or r.w_spam}
+        p = {(r.modelo, r.message_id, r.Label_Code): r.p_spam for r in bayes.score(stack, bayes.train(stack, 15, models=2), "Label_Code").collect()}
+        told = {r.message_id: (r.tokens_spam, r.tokens_ham) for r in bayes.explain(mails, "t", weights, 15).collect()}
+        return sums, p, told
+
+    here = found()
+    monkeypatch.setattr(bayes, "BROADCAST_ROWS", 0)
+    by_joins = found()
+    assert here[2] == by_joins[2]
+    for a, b in zip(here[:2], by_joins):
+        assert a.keys() == b.keys()
+        assert all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
+
+
+def test_counts_of_mails_in_batches(spark, monkeypatch):
+    from cartero.functions import terms
+    monkeypatch.setattr(terms, "SLICE", 10)
+    texts = ["big a red the car big red", "", None, "the", "ñ él él  él", "car red big"]
+    df = spark.createDataFrame(list(enumerate(texts)), "message_id long, t string")
+    for n in (1, 2):
+        got = {r.message_id: r.rasgos for r in features.featurise(df, "t", "m", STOP, n).collect()}
+        for i, t in enumerate(texts):
+            w = [x for x in (t or "").split(" ") if len(x) >= 2 and x not in STOP]
+            want = Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])] * (n == 2))
+            assert got[i] is None if t is None else dict((x.term, x.cnt) for x in got[i]) == want
