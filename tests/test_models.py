@@ -405,3 +405,25 @@ def test_counts_of_mails_in_batches(spark, monkeypatch):
             w = [x for x in (t or "").split(" ") if len(x) >= 2 and x not in STOP]
             want = Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])] * (n == 2))
             assert got[i] is None if t is None else dict((x.term, x.cnt) for x in got[i]) == want
+
+
+def test_folds_in_batches_equal_folds_by_joins(spark, folded, monkeypatch):
+    """Margins of every fold and size; repeated keys and a mail of no fold too."""
+    more = [("a", 3, "win win mail", 1, 0), ("a", 70, "cash day", 1, None), ("b", 71, "hello day", 0, 2)]
+    df = spark.createDataFrame(more, "modelo string, message_id long, t string, Label_Code int, pliegue int")
+    stack = folded[1]
+    for m in ("a", "b"):
+        stack = stack.unionByName(features.featurise(df.filter(F.col("modelo") == m), "t", m, STOP, 2, ("Label_Code", "pliegue")))
+    stack = write_stage(stack, "stack")
+
+    def found():
+        rows = selection.fold_margins(stack, 3, [10, 20], [0.1, 1.0], 2)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        return sorted((r.modelo, r.Label_Code, r.alpha, r.max_features, r._m) for r in rows.collect()), plan
+
+    here, plan = found()
+    monkeypatch.setattr(selection, "BROADCAST_ROWS", 0)
+    by_joins, _ = found()
+    assert "MapInArrow" in plan and "Generate inline(rasgos" not in plan
+    assert [r[:4] for r in here] == [r[:4] for r in by_joins]
+    assert [r[4] for r in here] == pytest.approx([r[4] for r in by_joins], abs=1e-8)
