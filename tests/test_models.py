@@ -427,3 +427,30 @@ def test_folds_in_batches_equal_folds_by_joins(spark, folded, monkeypatch):
     assert "MapInArrow" in plan and "Generate inline(rasgos" not in plan
     assert [r[:4] for r in here] == [r[:4] for r in by_joins]
     assert [r[4] for r in here] == pytest.approx([r[4] for r in by_joins], abs=1e-8)
+
+
+def odd_features(spark):
+    """Featurised mails of two corpora with a repeated key, null keys, a null text and a mail of stop words only."""
+    rows = [(i, t, y, "fit" if i % 4 else "val") for i, t, y in corpus(40)]
+    rows += [(7, "win cash office", 1, "fit"), (None, "win day", 0, "fit"), (None, "hello team", 1, "fit"), (90, None, 0, "fit"), (91, "the the", 1, "fit")]
+    df = spark.createDataFrame(rows, "message_id long, clean_en string, Label_Code int, parte string").repartition(3)
+    both = [features.featurise(df, "clean_en", m, STOP, n) for m, n in (("a", 2), ("b", 1))]
+    return write_stage(both[0].unionByName(both[1]), "odd_features")
+
+
+def test_models_of_folds_equal_models_trained_one_by_one(spark, monkeypatch):
+    feats = odd_features(spark)
+    folds = write_stage(feats.withColumn("pliegue", F.when(F.col("parte") == "val", 0).otherwise(2)), "folds")
+
+    def rows(model):
+        counts = sorted((r.modelo, r.term, round(r.idf, 9), round(r.w_ham, 9), round(r.w_spam, 9)) for r in model.counts.collect())
+        return counts, sorted((r.modelo, r.n_ham, r.n_spam) for r in model.priors.collect()), model.max_rows
+
+    wanted = [rows(bayes.train(df, 15, models=2)) for df in (feats.filter("parte = 'fit'"), feats)]
+    assert [rows(m) for m in selection.train_outside_folds(folds, 2, 15, models=2)] == wanted
+    monkeypatch.setattr(selection, "BROADCAST_ROWS", 0)
+    assert [rows(m) for m in selection.train_outside_folds(folds, 2, 15, models=2)] == wanted
+    alone = write_stage(folds.filter("modelo = 'a' OR pliegue = 0"), "alone")     # outside fold 0 there is no mail of corpus b
+    fitted, whole = selection.train_outside_folds(alone, 2, 15, models=2)
+    assert {r.modelo for r in fitted.priors.collect()} == {r.modelo for r in fitted.counts.collect()} == {"a"}
+    assert {r.modelo for r in whole.priors.collect()} == {"a", "b"}
