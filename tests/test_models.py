@@ -438,6 +438,21 @@ def odd_features(spark):
     return write_stage(both[0].unionByName(both[1]), "odd_features")
 
 
+def test_tfidf_in_place_equals_dealt_out_mails(spark, monkeypatch):
+    feats = odd_features(spark)
+    vocab = write_stage(features.vocabulary(feats, 12), "vocab")
+    found = []
+    for in_place in (True, False):
+        out = features.tfidf(feats, vocab, 24, "Label_Code", norm="norma", in_place=in_place)
+        found.append(sorted((str(r.modelo), str(r.message_id), r.Label_Code, r.term, round(r.x, 9), round(r.norma, 9)) for r in out.collect()))
+    assert found[0] == found[1] and len({r[1] for r in found[0]}) == 41
+    single = feats.filter("message_id < 40 AND message_id <> 7")
+    plan = features.tfidf(single, vocab, 24, in_place=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    monkeypatch.setattr(features, "BROADCAST_ROWS", 0)
+    assert "Window" in features.tfidf(single, vocab, 24, in_place=True)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_models_of_folds_equal_models_trained_one_by_one(spark, monkeypatch):
     feats = odd_features(spark)
     folds = write_stage(feats.withColumn("pliegue", F.when(F.col("parte") == "val", 0).otherwise(2)), "folds")
