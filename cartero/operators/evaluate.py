@@ -96,10 +96,14 @@ def evaluate(pred: DataFrame) -> DataFrame:
     return classification_metrics(pred).join(ranking_metrics(pred), MODEL)
 
 
+def first_errors(pred: DataFrame, limit: int = 100, ident: str = ID) -> DataFrame:
+    """The ``limit`` wrong mails that ``error_audit`` lists, before their texts are fetched."""
+    return pred.filter(F.col("pred") != F.col("Label_Code")).orderBy(ident).limit(limit)
+
+
 def error_audit(pred: DataFrame, text: str, limit: int = 100, ident: str = ID) -> DataFrame:
     """First wrong mails (a report of ``limit`` rows)."""
-    wrong = pred.filter(F.col("pred") != F.col("Label_Code"))
-    return wrong.orderBy(ident).limit(limit).select(
+    return first_errors(pred, limit, ident).select(
         ident, F.col(text).alias("texto"), F.col("Label_Code").alias("real"),
         F.round("p_spam", 3).alias("p_spam"), "pred",
         F.when(F.col("pred") == 1, "FP").otherwise("FN").alias("tipo"))

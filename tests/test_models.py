@@ -469,3 +469,15 @@ def test_models_of_folds_equal_models_trained_one_by_one(spark, monkeypatch):
     fitted, whole = selection.train_outside_folds(alone, 2, 15, models=2)
     assert {r.modelo for r in fitted.priors.collect()} == {r.modelo for r in fitted.counts.collect()} == {"a"}
     assert {r.modelo for r in whole.priors.collect()} == {"a", "b"}
+
+
+def test_errors_are_chosen_before_their_texts_are_fetched(spark):
+    pred = spark.createDataFrame([(i if i % 9 else None, i % 2, 0.5, 1) for i in range(60)], "message_id long, Label_Code int, p_spam double, pred int")
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(60)] + [(4, "again"), (None, "none")], "message_id long, t string")
+    first = evaluate.first_errors(pred.filter("message_id IS NOT NULL"), 10)
+    assert [r.message_id for r in first.collect()] == [2, 4, 6, 8, 10, 12, 14, 16, 20, 22]
+
+    def audit(wrong):
+        return sorted(tuple(r) for r in evaluate.error_audit(wrong.join(texts, "message_id"), "t", 10).collect())
+
+    assert audit(F.broadcast(first)) == audit(pred) and len(audit(pred)) == 10
