@@ -211,9 +211,9 @@ def _first_of_each():
 
 
 def taught_texts(events: DataFrame, texts: DataFrame) -> DataFrame:
-    """(modelo, id = key, rasgos): features of the texts of keyed events, once per model and text."""
+    """(modelo, id = key, texto_procesado): the cleaned texts of keyed events, once per model and text."""
     pairs = events.select(MODEL, "clave").distinct().join(texts, "clave")
-    return score.routed_features(pairs.select(MODEL, F.col("clave").alias(ID), tx.clean_text(F.col("texto")).alias("texto_procesado")))
+    return pairs.select(MODEL, F.col("clave").alias(ID), tx.clean_text(F.col("texto")).alias("texto_procesado"))
 
 
 def _write_log(scored: DataFrame, texts: DataFrame, path: str) -> None:
@@ -237,9 +237,11 @@ def learn(events: DataFrame, state: ModelState, log_path: str, checkpoint: str,
             before = state.model_before(spark, batch_id)
             vocab, cells = online.text_cells(taught_texts(taught, texts), before)
             taught = online.weighted_events(taught, cells)
-            gained = online.gains(taught, cells).join(vocab.select(MODEL, "i", "term"), [MODEL, "i"])
-            state.teach(spark, batch_id, taught, gained)
-            after = online.posterior_after_each(taught, vocab, cells, before).select(F.col(ID).alias("seq"), "p_posterior")
+            known = online.stretch_texts(taught, cells)
+            added = online.stretch_gains(known)
+            state.teach(spark, batch_id, taught, online.gains(added, vocab))
+            after = online.posterior_after_each(taught, vocab, cells, before, known=(known, added))
+            after = after.select(F.col(ID).alias("seq"), "p_posterior")
             scored = write_stage(rows.drop("p_posterior").join(after, "seq"), "taught_scores")
             _write_log(scored, texts, f"{log_path}/batch={batch_id}")
             if catalogue is not None:

@@ -266,3 +266,45 @@ def test_scores_do_not_depend_on_stretches(spark):
     assert cells.count() <= 4                                     # models x different texts, not events
     got = {r.message_id: r.p_posterior for r in online.posterior_after_each(weighted, vocab, cells, base, 3).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_texts_are_looked_up_where_they_are(spark, monkeypatch):
+    """One packed row per model and text without a shuffle of terms; the joins of a larger model give the same."""
+    base = base_model(spark)
+    rows = [("en", b"a", "win cash cash prize the meeting"), ("es", b"a", "win cash"), ("en", b"b", "nothing known"), ("en", b"c", None)]
+    texts = spark.createDataFrame(rows, "modelo string, message_id binary, texto_procesado string")
+
+    def read(pair):
+        names = {(r.modelo, r.i): r.term for r in pair[0].collect()}
+        return {(r.modelo, bytes(r.clave)): ({names[r.modelo, i]: n for i, n in zip(memoryview(r.i).cast("i"), memoryview(r.cnt).cast("i"))},
+                                             round(r.norma, 9), round(r.masa, 9)) for r in pair[1].collect()}
+
+    got = read(online.text_cells(texts, base))
+    assert got.keys() == {("en", b"a"), ("es", b"a")}
+    assert got["en", b"a"][0] == {"win": 1, "cash": 2, "prize": 1, "meeting": 1, "win cash": 1, "cash prize": 1}
+    assert got["es", b"a"][0] == {"win": 1, "cash": 1}
+    monkeypatch.setattr(online, "BROADCAST_ROWS", 0)
+    assert read(online.text_cells(texts, base)) == got
+
+
+def test_stretches_gain_blocks_of_terms(spark, monkeypatch):
+    """A stretch sends lists per block of terms and no row per text and term; unlabelled mails are scored and teach nothing."""
+    monkeypatch.setattr(online, "BLOCK", 3)
+    rows = spark.createDataFrame([(*r[:3], None if r[0] % 5 == 0 else r[3], *r[4:]) for r in events()] + [(None, *events()[1][1:])], FEEDBACK_SCHEMA)
+    base, labelled = base_model(spark), rows.filter("label IS NOT NULL AND seq IS NOT NULL")
+    keyed, texts = stream.keyed_batch(rows)
+    taught = keyed.select(stream._taught_model(), F.col("seq").alias("message_id"), F.col("label").alias("Label_Code"), "clave")
+    vocab, cells = online.text_cells(stream.taught_texts(taught, texts), base)
+    weighted = online.weighted_events(taught, cells)
+    known = online.stretch_texts(weighted, cells, 4)
+    added = online.stretch_gains(known)
+    assert added.count() <= 2 * 11 * (1 + vocab.count() // 3)
+    gained = {(r.modelo, r.term): (r.w_ham, r.w_spam) for r in online.gains(added, vocab).collect()}
+    flat = bayes.class_sums(bayes.tfidf(stream.taught_features(rows), base.counts, base.max_rows, "Label_Code"), ["modelo", "term"], F.col("x"))
+    want = {(r.modelo, r.term): (r.w_ham, r.w_spam) for r in flat.collect()}
+    assert gained.keys() == want.keys()
+    assert all(abs(a - b) < 1e-9 for k in want for a, b in zip(gained[k], want[k]))
+    scored = online.posterior_after_each(weighted, vocab, cells, base, 4, (known, added)).collect()
+    got, alone = {r.message_id: r.p_posterior for r in scored}, one_by_one(spark, base, labelled)
+    assert got.keys() == {i for i in range(40) if i % 4 < 3} and all(abs(got[k] - alone[k]) < 1e-9 for k in alone)
+    assert all(0 < p < 1 for p in got.values())
