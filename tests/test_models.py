@@ -481,3 +481,35 @@ def test_errors_are_chosen_before_their_texts_are_fetched(spark):
         return sorted(tuple(r) for r in evaluate.error_audit(wrong.join(texts, "message_id"), "t", 10).collect())
 
     assert audit(F.broadcast(first)) == audit(pred) and len(audit(pred)) == 10
+
+
+def test_stacks_are_fitted_in_the_same_passes(spark, folded, monkeypatch):
+    """Columns of all stacks are asked together, and each stack gets what it gets alone."""
+    stack, grid = folded[1], [0.5, 4.0]
+    some = write_stage(stack.filter("message_id % 5 > 1").withColumn("pliegue", F.lit(None).cast("int")), "test_some")
+    alone = [cells.fit_cells(stack, 3, grid, 30), cells.fit_cells(some, 0, grid, 30)]
+    asked, whole = [], cells._sums
+    monkeypatch.setattr(cells, "_sums", lambda data, tables, points: asked.append(set(points)) or whole(data, tables, points))
+    both = cells.fit_together([(stack, 3), (some, 0)], grid, 30)
+    assert len(asked[0]) == 2 * 4 * 2 + 2 * 2 and len(asked) == max(f.passes for f in alone)
+    for one, got in zip(alone, both):
+        assert got.passes == one.passes and got.weights.keys() == one.weights.keys()
+        assert all(got.weights[m] == pytest.approx(w, abs=1e-9) for m, w in one.weights.items())
+
+
+def test_mails_are_coded_where_they_are(spark, folded, monkeypatch):
+    """No term row moves; shared keys, unknown models and missing texts give what the joins give."""
+    stack = folded[1].select("modelo", "message_id", "Label_Code", "pliegue", "rasgos")
+    odd = stack.filter("message_id = 4").unionByName(stack.filter("message_id = 7").withColumn("modelo", F.lit("z"))).unionByName(
+        stack.filter("message_id = 8").withColumn("message_id", F.lit(900)).withColumn("rasgos", F.lit(None).cast(stack.schema["rasgos"].dataType)))
+    numbered = spark.createDataFrame([("a", "cash", 1), ("a", "win", 0), ("b", "meeting", 0)], "modelo string, term string, i int")
+    rows = write_stage(stack.unionByName(odd), "test_odd")
+
+    def read(df):
+        return sorted((r.modelo, r.message_id, r.Label_Code, r.pliegue, sorted(map(tuple, r.celdas))) for r in df.collect())
+
+    got = cells.coded(rows, numbered, 3)
+    assert "Exchange hashpartitioning(modelo" not in cells.coded(stack, numbered, 3)._jdf.queryExecution().toString()
+    found = read(got)
+    monkeypatch.setattr(cells, "BROADCAST_ROWS", 0)
+    assert found == read(cells.coded(rows, numbered, 3)) and any(r[-1] for r in found)
