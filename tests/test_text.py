@@ -118,3 +118,12 @@ def test_charset_keeps_words_and_replaces_nothing(spark):
     for r in out.collect():
         kept = r.low if r.low is None else re.sub(f"[^{tx.CLEAN_ALPHABET}]{{2,}}|[^{tx.CLEAN_ALPHABET} ]", " ", r.low).strip(" ")
         assert r.x == kept
+
+
+@pytest.mark.parametrize("limit", [1, 2, 7, 20])
+def test_words_are_packed_as_one_by_one(spark, limit):
+    """Blocks found as matches are those of packing word after word; longer words keep blocks of their own."""
+    texts = ["", "a", "one two  three\tfour\nfive", "w" * 30 + " a bb " + "x" * 21, "ñandú 😀😀😀😀😀😀   é é fin.", "ab " * 40]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(tx._pack_words(F.col("t"), limit).alias("a"), tx._pack(tx.words(F.col("t")), limit).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and sum(len(r.a) for r in got) > 6
